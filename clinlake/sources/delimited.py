@@ -72,11 +72,13 @@ def load_dataset(
     path: str,
     schema: T.StructType | str | None = None,
     infer_types: bool = True,
+    json_array: bool = False,
 ) -> DataFrame:
     """CSV, TSV, Parquet or JSON by file extension; other extensions read as CSV.
 
     Give a schema for large text files: without one, typed columns cost a pass
-    over the data (switch it off with ``infer_types=False``).
+    over the data (switch it off with ``infer_types=False``). JSON is one object
+    per line, or with ``json_array`` one array of objects per file.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no such dataset: {path}")
@@ -85,7 +87,7 @@ def load_dataset(
     if extension == "parquet":
         return reader.parquet(path)
     if extension == "json":
-        return reader.json(path)
+        return reader.option("multiLine", json_array).json(path)
     reader = reader.option("header", True).option("sep", "\t" if extension == "tsv" else ",")
     if schema is None and infer_types:
         reader = reader.option("inferSchema", True)
