@@ -237,8 +237,8 @@ class TableStore:
         else:
             rows = rows.coalesce(files) if files else rows.hint("rebalance")
         after_path = self._write_version(rows, tier, table, "COMPACT", table, cluster_by)
-        before = file_stats(self.spark, before_path, self.fmt, "before")
-        after = file_stats(self.spark, after_path, self.fmt, "after")
+        before = file_stats(self.spark, before_path, "before")
+        after = file_stats(self.spark, after_path, "after")
         return before.unionByName(after)
 
     def prune_versions(
@@ -254,36 +254,41 @@ class TableStore:
     def telemetry(self, tier: str, table: str, commits: int = 5) -> DataFrame:
         """One row: state, file count, bytes, clustering columns, last commits."""
         path = self.current_path(tier, table)
-        history = self.commits().where((F.col("tier") == tier) & (F.col("table_name") == table.lower()))
-        newest = history.orderBy(F.desc("committed_at"), F.desc("version")).limit(commits)
-        told = newest.agg(
-            F.sort_array(
-                F.collect_list(F.struct("committed_at", "version", "operation", "user_metadata")), False
-            ).alias("recent_commits"),
+        mine = (F.col("tier") == tier) & (F.col("table_name") == table.lower())
+        newest = self.commits().where(mine).orderBy(F.desc("committed_at"), F.desc("version"))
+        entry = F.struct("committed_at", "version", "operation", "user_metadata")
+        told = newest.limit(commits).agg(
+            F.sort_array(F.collect_list(entry), False).alias("recent_commits"),
             F.max_by("clustering_columns", "committed_at").alias("clustering_columns"),
         )
+        described = told.select(
+            F.lit(NOT_FOUND if path is None else AVAILABLE).alias("status"),
+            F.lit(path or self.table_path(tier, table)).alias("table_path"),
+            F.lit(self.fmt).alias("format"),
+            "clustering_columns",
+            "recent_commits",
+        )
         if path is None:
-            missing = self.spark.range(1).select(
-                F.lit(NOT_FOUND).alias("status"), F.lit(self.table_path(tier, table)).alias("table_path"),
-                F.lit(self.fmt).alias("format"),
-                F.lit(None).cast("bigint").alias("num_files"), F.lit(None).cast("bigint").alias("bytes"),
+            return described.withColumns(
+                {c: F.lit(None).cast("bigint") for c in ("num_files", "bytes")}
             )
-            return missing.crossJoin(told)
-        stats = file_stats(self.spark, path, self.fmt, AVAILABLE).select(
-            F.col("label").alias("status"), F.lit(path).alias("table_path"),
-            F.lit(self.fmt).alias("format"), "num_files", "bytes",
+        return described.join(file_stats(self.spark, path, AVAILABLE), "status").select(
+            *described.columns, "num_files", "bytes"
         )
-        return stats.crossJoin(told)
 
 
-def file_stats(spark: SparkSession, path: str, fmt: str, label: str) -> DataFrame:
-    """Number and bytes of a table's data files; no data column is read."""
-    files = spark.read.format(fmt).load(path).select("_metadata.file_path", "_metadata.file_size")
-    sizes = files.groupBy("file_path").agg(F.max("file_size").alias("file_size"))
-    return sizes.agg(
+def file_stats(spark: SparkSession, path: str, label: str) -> DataFrame:
+    """Number and bytes of a table's data files, from the listing; no file is opened."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "part-*")
+        .load(path)
+    )
+    return files.agg(
         F.count(F.lit(1)).alias("num_files"),
-        F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"),
-    ).select(F.lit(label).alias("label"), "num_files", "bytes")
+        F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
+    ).select(F.lit(label).alias("status"), "num_files", "bytes")
 
 
 def write_reports(reports: DataFrame, path: str, date_column: str = "audit_date") -> None:
