@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clinlake import fixed_values as fixed
 from clinlake.functions.parsing import is_sha256
@@ -127,10 +126,7 @@ def commit_log_checks() -> list[Check]:
 
 def expected_columns(contract_columns: Sequence[str] | None = None) -> dict[str, list[str]]:
     """Mandatory columns per table: PERSON by its contract, the others by the registry."""
-    required = {
-        name: [f.name for f in T.StructType.fromDDL(ddl).fields if not f.nullable]
-        for name, ddl in fixed.REGISTERED_SCHEMAS.items()
-    }
+    required = {name: list(columns) for name, columns in fixed.REQUIRED_COLUMNS.items()}
     if contract_columns is None:
         rule = next(
             r for r in fixed.DEFAULT_CONTRACT["expectations"]

@@ -7,31 +7,29 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def project(
     df: DataFrame,
     values: Mapping[str, Any],
-    layout: str,
+    layout: Mapping[str, str],
     keep_type: Collection[str] = (),
 ) -> DataFrame:
-    """Project onto a DDL layout, in its order and with its types.
+    """Project onto a layout (column -> type), in its order and with its types.
 
     Layout columns without a value become typed NULLs; plain Python values become
     constants. Columns in ``keep_type`` are passed on in the type they come in.
     """
-    fields = T.StructType.fromDDL(layout).fields
-    unknown = set(values) - {f.name for f in fields}
+    unknown = set(values) - set(layout)
     if unknown:
         raise ValueError(f"columns outside the layout: {sorted(unknown)}")
     shaped = []
-    for field in fields:
-        value = values.get(field.name)
+    for name, data_type in layout.items():
+        value = values.get(name)
         column = value if isinstance(value, Column) else F.lit(value)
-        if field.name not in keep_type:
-            column = column.cast(field.dataType)
-        shaped.append(column.alias(field.name))
+        if name not in keep_type:
+            column = column.cast(data_type)
+        shaped.append(column.alias(name))
     return df.select(*shaped)
 
 

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from clinlake.fixed_values import CLUSTER_KEYS, PRIMARY_KEYS, REGISTERED_SCHEMAS
+from clinlake.fixed_values import CLUSTER_KEYS, PRIMARY_KEYS, REGISTERED_SCHEMAS, REQUIRED_COLUMNS
 
 REGISTRY_LAYOUT = (
     "table_name string, ordinal int, column_name string, data_type string, nullable boolean, "
@@ -14,21 +13,22 @@ REGISTRY_LAYOUT = (
 )
 
 
-def registered_schema(table: str) -> T.StructType:
+def registered_name(table: str) -> str:
     name = table.strip().lower()
     if name not in REGISTERED_SCHEMAS:
         raise KeyError(f"{table} is not registered; known: {', '.join(REGISTERED_SCHEMAS)}")
-    return T.StructType.fromDDL(REGISTERED_SCHEMAS[name])
+    return name
 
 
 def registry_rows(table: str) -> list[tuple]:
-    name = table.strip().lower()
+    """Registered columns of one table, in the order of ``REGISTRY_LAYOUT``."""
+    name = registered_name(table)
     return [
         (
-            name, i, f.name, f.dataType.simpleString(), f.nullable,
-            f.name in PRIMARY_KEYS[name], f.name in CLUSTER_KEYS[name],
+            name, i, column, data_type, column not in REQUIRED_COLUMNS[name],
+            column in PRIMARY_KEYS[name], column in CLUSTER_KEYS[name],
         )
-        for i, f in enumerate(registered_schema(name).fields)
+        for i, (column, data_type) in enumerate(REGISTERED_SCHEMAS[name].items())
     ]
 
 
@@ -85,8 +85,4 @@ def conformance(df: DataFrame, table: str) -> DataFrame:
 
 def missing_columns(df: DataFrame, table: str) -> list[str]:
     """Mandatory columns of the registered schema that the frame does not have."""
-    return [
-        f.name
-        for f in registered_schema(table).fields
-        if not f.nullable and f.name not in df.columns
-    ]
+    return [c for c in REQUIRED_COLUMNS[registered_name(table)] if c not in df.columns]

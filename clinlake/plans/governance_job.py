@@ -18,20 +18,27 @@ from clinlake.sources.delimited import load_dataset
 from clinlake.sources.files import file_manifest
 
 
+def _fold(parts: DataFrame, key: str, length: int) -> DataFrame:
+    """Combine digests that share the first ``length`` digits of their key."""
+    entry = F.struct(key, "part")
+    return parts.groupBy(F.substring(key, 1, length).alias("prefix")).agg(
+        F.sha2(F.to_json(F.sort_array(F.collect_list(entry))), 256).alias("part")
+    )
+
+
 def data_digest(spark: SparkSession, path: str) -> str:
-    """SHA-256 of a file; of a folder, over the sorted digests of its files.
+    """SHA-256 of a file; of a folder, over the digests of its files.
 
-    A manifest row is short, but a folder may hold very many files, so their digests
-    are first combined per digest prefix; the driver sees at most 4096 of them.
+    Equal files are counted, not listed, and digests are folded in three steps by
+    ever shorter prefixes. As digests are spread evenly, a group stays small however
+    many files there are, and one value reaches the driver.
     """
     manifest = file_manifest(spark, path).select("sha256")
     if manifest.limit(2).count() == 1:
         return manifest.first()["sha256"]
-    grouped = manifest.groupBy(F.substring("sha256", 1, 3).alias("prefix")).agg(
-        F.sha2(F.concat_ws("", F.sort_array(F.collect_list("sha256"))), 256).alias("part")
-    )
-    total = grouped.agg(F.sort_array(F.collect_list(F.struct("prefix", "part"))).alias("p"))
-    return total.select(F.sha2(F.to_json("p"), 256).alias("d")).first()["d"]
+    counted = manifest.groupBy("sha256").agg(F.count(F.lit(1)).cast("string").alias("part"))
+    fine = _fold(counted, "sha256", 6)
+    return _fold(_fold(fine, "prefix", 3), "prefix", 0).first()["part"]
 
 
 def ledger_entry(

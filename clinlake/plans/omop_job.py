@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clinlake.fixed_values import CLUSTER_KEYS, PRIMARY_KEYS
@@ -79,7 +79,7 @@ def scan_sources(
     return frames
 
 
-def parse_sources(bronze: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame, F.Column]]:
+def parse_sources(bronze: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame, Column]]:
     """Parsed rows and accept predicate of every source."""
     return {
         "patients": (silver.parse_patients(bronze["patients"]), silver.patient_is_valid()),
@@ -154,7 +154,7 @@ def check_gold(
 
 
 def _write_silver(
-    store: TableStore, name: str, parsed: DataFrame, condition
+    store: TableStore, name: str, parsed: DataFrame, condition: Column
 ) -> dict[str, int]:
     """Write accepted rows and count both sides on the way; then the rejected, if any."""
     seen = Observation(f"{name}-tiers")

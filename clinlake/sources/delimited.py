@@ -16,7 +16,7 @@ from clinlake.workspace import path_exists
 
 def stamp_ingest(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Append ``ingestion_timestamp``; a given moment makes reruns reproducible."""
-    moment = F.current_timestamp() if as_of is None else F.lit(as_of)
+    moment = F.current_timestamp() if as_of is None else F.to_timestamp(F.lit(as_of.isoformat()))
     return df.withColumn("ingestion_timestamp", moment)
 
 
