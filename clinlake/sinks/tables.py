@@ -237,8 +237,8 @@ class TableStore:
         else:
             rows = rows.coalesce(files) if files else rows.hint("rebalance")
         after_path = self._write_version(rows, tier, table, "COMPACT", table, cluster_by)
-        before = file_stats(self.spark, before_path, "before")
-        after = file_stats(self.spark, after_path, "after")
+        before = file_stats(self.spark, before_path).withColumn("status", F.lit("before"))
+        after = file_stats(self.spark, after_path).withColumn("status", F.lit("after"))
         return before.unionByName(after)
 
     def prune_versions(
@@ -261,23 +261,20 @@ class TableStore:
             F.sort_array(F.collect_list(entry), False).alias("recent_commits"),
             F.max_by("clustering_columns", "committed_at").alias("clustering_columns"),
         )
-        described = told.select(
+        if path is not None:
+            facts = told.unionByName(file_stats(self.spark, path), allowMissingColumns=True)
+        else:
+            facts = told.withColumns({c: F.lit(None).cast("bigint") for c in ("num_files", "bytes")})
+        # The log and the listing give one row each; put them into one.
+        return facts.agg(
             F.lit(NOT_FOUND if path is None else AVAILABLE).alias("status"),
             F.lit(path or self.table_path(tier, table)).alias("table_path"),
             F.lit(self.fmt).alias("format"),
-            "clustering_columns",
-            "recent_commits",
-        )
-        if path is None:
-            return described.withColumns(
-                {c: F.lit(None).cast("bigint") for c in ("num_files", "bytes")}
-            )
-        return described.join(file_stats(self.spark, path, AVAILABLE), "status").select(
-            *described.columns, "num_files", "bytes"
+            *[F.first(c, ignorenulls=True).alias(c) for c in facts.columns],
         )
 
 
-def file_stats(spark: SparkSession, path: str, label: str) -> DataFrame:
+def file_stats(spark: SparkSession, path: str) -> DataFrame:
     """Number and bytes of a table's data files, from the listing; no file is opened."""
     files = (
         spark.read.format("binaryFile")
@@ -288,7 +285,7 @@ def file_stats(spark: SparkSession, path: str, label: str) -> DataFrame:
     return files.agg(
         F.count(F.lit(1)).alias("num_files"),
         F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
-    ).select(F.lit(label).alias("status"), "num_files", "bytes")
+    )
 
 
 def write_reports(reports: DataFrame, path: str, date_column: str = "audit_date") -> None:
