@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clinlake.operators.sequence import setbacks
+from clinlake.operators.sequence import LEVEL_BITS
 
 UNKNOWN_OPERATION = "UNKNOWN"
 KEYS = ("table_id",)
@@ -42,6 +42,7 @@ def commit_rollup(actions: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
         "file_name",
         F.col("info.timestamp").alias("commit_ts"),
         F.coalesce("info.operation", F.lit(UNKNOWN_OPERATION)).alias("operation"),
+        F.col("info.operationParameters").alias("operation_parameters"),
         F.col("info.engineInfo").alias("engine_info"),
         F.col("info.userMetadata").alias("user_metadata"),
         "add_actions",
@@ -56,56 +57,87 @@ def commit_rollup(actions: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     )
 
 
-def _latest(column: str) -> Column:
-    known = F.when(F.col(column).isNotNull(), F.col("version"))
+def _latest(column: str, order: str = "version") -> Column:
+    known = F.when(F.col(column).isNotNull(), F.col(order))
     return F.max_by(column, known).alias(column)
 
 
+_ADDED_UP = (
+    "total_commits", "total_add_actions", "total_remove_actions", "unreadable_lines",
+    "commits_without_operation", "repeated_versions", "time_setbacks",
+)
+
+
+def _fold(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merge the parts of each group, which are in ascending order of ``place``.
+
+    A part that begins earlier than the last known time before it is a setback.
+    """
+    ordered = W.partitionBy(*keys, "grp").orderBy("place", "tie")
+    known_before = F.last("last_ts", ignorenulls=True).over(
+        ordered.rowsBetween(W.unboundedPreceding, -1)
+    )
+    set_back = F.coalesce((F.col("first_ts") < known_before).cast("bigint"), F.lit(0))
+    checked = parts.withColumn("time_setbacks", F.col("time_setbacks") + set_back)
+    has_time = F.when(F.col("first_ts").isNotNull(), F.struct("place", "tie"))
+    return checked.groupBy(*keys, "grp").agg(
+        *[F.sum(c).alias(c) for c in _ADDED_UP],
+        F.min("first_version").alias("first_version"),
+        F.max("last_version").alias("last_version"),
+        F.min_by("first_ts", has_time).alias("first_ts"),
+        F.max_by("last_ts", has_time).alias("last_ts"),
+        F.bool_or("change_feed").alias("change_feed"),
+        F.bool_or("deletion_vectors").alias("deletion_vectors"),
+        *[_latest(c, "place") for c in ("protocol", "schema_string", "clustering_columns")],
+    )
+
+
 def table_rollup(commits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per table: totals, latest metadata, sequence and time checks.
 
-    Two passes over the commits, each pre-aggregated before its shuffle; the sequence
-    check needs only counts, the time check compares neighbours segment by segment.
+    Commits are merged in the order of their versions, first within segments of 2**21
+    versions, then segments, then blocks of segments. So the log of one very busy
+    table is worked on by many tasks, and every commit is read once.
     """
     no_operation = F.coalesce("operation", F.lit(UNKNOWN_OPERATION)) == UNKNOWN_OPERATION
-    totals = commits.groupBy(*keys).agg(
-        F.count("version").alias("total_commits"),
-        F.count_distinct("version").alias("different_versions"),
-        F.min("version").alias("first_version"),
-        F.max("version").alias("last_version"),
-        F.sum("add_actions").alias("total_add_actions"),
-        F.sum("remove_actions").alias("total_remove_actions"),
-        F.sum("unreadable_lines").alias("unreadable_lines"),
-        F.count_if(no_operation).alias("commits_without_operation"),
-        F.bool_or("change_feed").alias("change_feed"),
-        F.bool_or("deletion_vectors").alias("deletion_vectors"),
-        _latest("protocol"),
-        _latest("schema_string"),
-        _latest("clustering_columns"),
+    same_version = W.partitionBy(*keys, "grp").orderBy("version", "file_name")
+    level = commits.withColumn("grp", F.shiftright("version", LEVEL_BITS)).select(
+        *keys,
+        "grp",
+        F.col("version").alias("place"),
+        F.col("file_name").alias("tie"),
+        F.lit(1).cast("bigint").alias("total_commits"),
+        F.col("add_actions").alias("total_add_actions"),
+        F.col("remove_actions").alias("total_remove_actions"),
+        "unreadable_lines",
+        no_operation.cast("bigint").alias("commits_without_operation"),
+        F.coalesce((F.lag("version").over(same_version) == F.col("version")).cast("bigint"), F.lit(0))
+        .alias("repeated_versions"),
+        F.lit(0).cast("bigint").alias("time_setbacks"),
+        F.col("version").alias("first_version"),
+        F.col("version").alias("last_version"),
+        F.col("commit_ts").alias("first_ts"),
+        F.col("commit_ts").alias("last_ts"),
+        "change_feed",
+        "deletion_vectors",
+        "protocol",
+        "schema_string",
+        "clustering_columns",
     )
+    segments = _fold(level, keys)
+    blocks = _fold(_raise(segments, F.shiftright("place", LEVEL_BITS)), keys)
+    tables = _fold(_raise(blocks, F.lit(0)), keys)
     span = F.col("last_version") - F.col("first_version") + 1
-    whole = (F.col("total_commits") == F.col("different_versions")) & (
-        F.col("total_commits") == span
-    )
-    backwards = time_setbacks(commits, keys)
-    return (
-        totals.join(backwards, list(keys), "left")
-        .withColumn("is_continuous", whole)
-        .withColumn("time_setbacks", F.coalesce("time_setbacks", F.lit(0)))
-        .withColumn("is_monotonic", F.col("time_setbacks") == 0)
-        .drop("different_versions")
+    whole = (F.col("repeated_versions") == 0) & (F.col("total_commits") == span)
+    return tables.drop("grp").withColumns(
+        {"is_continuous": whole, "is_monotonic": F.col("time_setbacks") == 0}
     )
 
 
-def time_setbacks(commits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """How often a commit is older than its predecessor, for tables where that occurs."""
-    # Two files may claim one version; the later time stands for the version.
-    timed = commits.groupBy(*keys, "version").agg(F.max("commit_ts").alias("commit_ts"))
-    return (
-        setbacks(timed, keys, "version", "commit_ts")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("time_setbacks"))
-    )
+def _raise(parts: DataFrame, group: Column) -> DataFrame:
+    """Groups of one level become the parts of the next."""
+    moved = parts.withColumnsRenamed({"grp": "place"}).withColumn("tie", F.lit(""))
+    return moved.withColumn("grp", group.cast("bigint"))
 
 
 def commit_tail(commits: DataFrame, limit: int = 10, keys: Sequence[str] = KEYS) -> DataFrame:

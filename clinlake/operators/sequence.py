@@ -38,7 +38,8 @@ def neighbours(
     for depth in range(3):
         top = depth == 2
         group = F.lit(0).cast("bigint") if top else F.shiftright("place", LEVEL_BITS)
-        level = level.withColumn("grp", group)
+        # Both uses of a level read the same exchange, so it is shuffled once.
+        level = level.withColumn("grp", group).repartition(*keys, "grp")
         in_group = W.partitionBy(*keys, "grp").orderBy("place")
         linked = level.withColumn("before", F.lag("last").over(in_group))
         found = linked.where(F.col("before").isNotNull()).select(
