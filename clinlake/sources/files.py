@@ -14,16 +14,13 @@ from clinlake.functions.parsing import as_column
 # Larger files do not fit into one row and are hashed block by block instead.
 WHOLE_FILE_BYTES = 256 * 1024 * 1024
 BLOCK_BYTES = 8 * 1024 * 1024
-_MANIFEST = "path string, length bigint, sha256 string"
+_MANIFEST = "path string, length bigint, uri string, sha256 string"
 
 
 def _hash_in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
     def digest(uri: str) -> str:
-        # Hadoop writes local paths as file:/x, which Arrow only knows as file:///x.
-        if uri.startswith("file:/") and not uri.startswith("file://"):
-            uri = "file://" + uri[len("file:"):]
         filesystem, path = fs.FileSystem.from_uri(uri)
         state = hashlib.sha256()
         with filesystem.open_input_stream(path) as stream:
@@ -32,7 +29,7 @@ def _hash_in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return state.hexdigest()
 
     for batch in batches:
-        yield batch.assign(sha256=[digest(uri) for uri in batch["path"]])
+        yield batch.assign(sha256=[digest(uri) for uri in batch["uri"]])
 
 
 def file_manifest(
@@ -44,7 +41,8 @@ def file_manifest(
     """``(path, length, sha256)`` of every file under the given paths.
 
     The content column is only read for files that fit into a row. A larger file
-    stays with one task, which streams it.
+    stays with one task, which streams it. Spark's scan passes over empty files, so
+    they are the listed files that the scan does not return.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if name_filter:
@@ -53,9 +51,20 @@ def file_manifest(
     in_rows = files.where(F.col("length") <= whole_file_bytes).select(
         "path", "length", F.sha2("content", 256).alias("sha256")
     )
-    large = files.where(F.col("length") > whole_file_bytes).select("path", "length")
-    in_blocks = large.repartition("path").mapInPandas(_hash_in_blocks, _MANIFEST)
-    return in_rows.unionByName(in_blocks)
+    uri = F.regexp_replace("_metadata.file_path", "^file:/+", "file:///").alias("uri")
+    large = files.where(F.col("length") > whole_file_bytes).select("path", "length", uri)
+    in_blocks = large.repartition("path").mapInPandas(_hash_in_blocks, _MANIFEST).drop("uri")
+    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "uri string").select(
+        F.regexp_replace("uri", "^file:/+", "file:///").alias("uri")
+    )
+    # The listing escapes names as in URLs, where only a plus sign stands for itself.
+    plain_path = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
+    empty = listed.join(files.select(uri), "uri", "left_anti").select(
+        F.regexp_replace(plain_path, "^file:///", "file:/").alias("path"),
+        F.lit(0).cast("bigint").alias("length"),
+        F.sha2(F.lit(""), 256).alias("sha256"),
+    )
+    return in_rows.unionByName(in_blocks).unionByName(empty)
 
 
 def text_digest(value: Column | str) -> Column:
