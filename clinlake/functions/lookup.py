@@ -45,6 +45,18 @@ def dotless_keys(mapping: Mapping[str, Any]) -> dict[str, int]:
     return {code.replace(".", ""): concept for code, concept in upper_keys(mapping).items()}
 
 
+def _as_written(code: Column | str) -> Column:
+    return as_column(code)
+
+
+# How a code and the codes of its vocabulary are brought into one form.
+CODE_FORMS = {
+    "exact": (_as_written, usable_entries),
+    "normalised": (normalise, upper_keys),
+    "dotless": (normalise_dotless, dotless_keys),
+}
+
+
 def concept_of(code: Column | str, mapping: Mapping[str, Any], default: int = 0) -> Column:
     """Concept id of a code; the default for NULL and for codes that are not mapped."""
     entries = usable_entries(mapping)
@@ -117,3 +129,29 @@ def join_concepts(
     return joined.select(
         *kept, F.coalesce(F.col("_concept"), F.lit(default)).cast("int").alias(out)
     )
+
+
+def with_concept(
+    df: DataFrame,
+    out: str,
+    code: Column | str,
+    vocabulary: Mapping[str, Any] | DataFrame,
+    form: str = "normalised",
+    default: int = 0,
+) -> DataFrame:
+    """Append the concept of ``code``, by whichever form suits the vocabulary's size.
+
+    Spark searches a map literal entry by entry, so only a dictionary of a few codes
+    is used that way; a larger one, or a vocabulary table, is joined.
+    """
+    shape, entries_of = CODE_FORMS[form]
+    if not isinstance(vocabulary, DataFrame):
+        entries = entries_of(vocabulary)
+        if len(entries) <= MAP_LITERAL_ENTRIES:
+            return df.withColumn(out, concept_of(shape(code), entries, default))
+        table = df.sparkSession.createDataFrame(
+            list(entries.items()), "source_code string, concept_id int"
+        )
+    else:
+        table = vocabulary.select(shape("source_code").alias("source_code"), "concept_id")
+    return join_concepts(df, shape(code), table, out, default)

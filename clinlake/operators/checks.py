@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 from operator import add
 
 from pyspark.sql import Column, DataFrame
@@ -41,16 +41,25 @@ class Check:
     applies: Column = field(default_factory=always)
     details: Mapping[str, Column] = field(default_factory=dict)
 
+    # Columns are built once per check, however many results they go into.
+
+    @cached_property
     def ok(self) -> Column:
         return F.coalesce(self.passed, F.lit(False))
 
+    @cached_property
     def relevant(self) -> Column:
         return F.coalesce(self.applies, F.lit(False))
 
+    @cached_property
+    def fails(self) -> Column:
+        return self.relevant & ~self.ok
+
+    @cached_property
     def severity(self) -> Column:
         if self.passed_severity in (None, self.failed_severity):
             return F.lit(self.failed_severity)
-        return F.when(self.ok(), self.passed_severity).otherwise(self.failed_severity)
+        return F.when(self.ok, self.passed_severity).otherwise(self.failed_severity)
 
     def finding(self) -> Column:
         """The finding as a struct; NULL where the check does not apply."""
@@ -63,15 +72,12 @@ class Check:
         body = F.struct(
             F.lit(self.code).alias("code"),
             F.lit(self.category).alias("category"),
-            self.severity().alias("severity"),
+            self.severity.alias("severity"),
             F.lit(self.title).alias("title"),
-            self.ok().alias("passed"),
+            self.ok.alias("passed"),
             details.alias("details"),
         )
-        return F.when(self.relevant(), body)
-
-    def fails(self) -> Column:
-        return self.relevant() & ~self.ok()
+        return F.when(self.relevant, body)
 
 
 def _count(conditions: Sequence[Column]) -> Column:
@@ -131,12 +137,12 @@ def assess(evidence: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Evidence rows with their findings, failure counts, score and status; row-wise."""
 
     def failing(severity: str) -> Column:
-        return _count([c.fails() for c in checks if c.failed_severity == severity])
+        return _count([c.fails for c in checks if c.failed_severity == severity])
 
     penalty = reduce(
         add,
         [
-            F.when(c.fails(), fixed.SEVERITY_WEIGHTS.get(c.failed_severity, fixed.UNLISTED_SEVERITY_WEIGHT))
+            F.when(c.fails, fixed.SEVERITY_WEIGHTS.get(c.failed_severity, fixed.UNLISTED_SEVERITY_WEIGHT))
             .otherwise(0.0)
             for c in checks
         ],
@@ -146,8 +152,8 @@ def assess(evidence: DataFrame, checks: Sequence[Check]) -> DataFrame:
     counted = evidence.withColumns(
         {
             "findings": F.array_compact(F.array(*[c.finding() for c in by_code])),
-            "total_evaluations": _count([c.relevant() for c in checks]),
-            "passed_evaluations": _count([c.relevant() & c.ok() for c in checks]),
+            "total_evaluations": _count([c.relevant for c in checks]),
+            "passed_evaluations": _count([c.relevant & c.ok for c in checks]),
             "critical_failures": failing("CRITICAL_FATAL"),
             "error_failures": failing("ERROR"),
             "warning_failures": failing("WARNING"),

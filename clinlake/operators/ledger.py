@@ -46,7 +46,7 @@ def run_state(runs: DataFrame) -> DataFrame:
 def run_evidence(requested: DataFrame, ledger: DataFrame) -> DataFrame:
     """Ledger rows of requested runs; runs the ledger does not know are ``ERROR``."""
     ids = requested.select("run_id").where(F.col("run_id").isNotNull()).distinct()
-    rows = latest_run(ledger, by=["run_id"])
+    rows = latest_run(ledger.join(ids, "run_id", "left_semi"), by=["run_id"])
     marked = rows.withColumn("_known", F.lit(True))
     joined = ids.join(marked, "run_id", "left")
     state = F.when(F.col("_known"), "COLLECTED").otherwise("ERROR")

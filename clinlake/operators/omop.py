@@ -1,7 +1,7 @@
 """Silver -> gold: the OMOP PERSON, CONDITION_OCCURRENCE and MEASUREMENT tables.
 
-Each transform is one projection without a shuffle, so the same function serves a
-batch of any size and a streaming frame.
+Each transform is one projection without a shuffle (with a large vocabulary: one
+broadcast join), so the same function serves a batch of any size and a streaming frame.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from clinlake import fixed_values as fixed
 from clinlake.functions.keys import surrogate_key
-from clinlake.functions.lookup import concept_of, icd10_concept_of, normalised_concept_of
+from clinlake.functions.lookup import with_concept
 from clinlake.functions.parsing import (
     date_parts,
     info_value,
@@ -25,10 +25,11 @@ from clinlake.functions.parsing import (
 )
 from clinlake.operators.columns import first_present, present_name, project, union_by_name
 
-Mapped = Mapping[str, int] | None
+# A dictionary of codes, a vocabulary table of one category, or the built-in codes.
+Mapped = Mapping[str, int] | DataFrame | None
 
 
-def _mapping(given: Mapped, category: str) -> Mapping[str, int]:
+def _mapping(given: Mapped, category: str) -> Mapping[str, int] | DataFrame:
     return fixed.CONCEPTS[category] if given is None else given
 
 
@@ -54,10 +55,12 @@ def person(
         "month_of_birth": month,
         "day_of_birth": day,
     }
+    coded = patients
     for name, mapping in demographics.items():
-        values[f"{name}_concept_id"] = normalised_concept_of(name, mapping)
+        coded = with_concept(coded, f"_{name}", name, mapping)
+        values[f"{name}_concept_id"] = F.col(f"_{name}")
         values[f"{name}_source_value"] = F.col(name)
-    return project(patients, values, fixed.GOLD_LAYOUT["person"], keep_type={"birth_datetime"})
+    return project(coded, values, fixed.GOLD_LAYOUT["person"], keep_type={"birth_datetime"})
 
 
 def condition_occurrence(
@@ -68,20 +71,21 @@ def condition_occurrence(
     The key covers encounter, code and date, so that several diagnoses of one
     encounter stay apart. What the source does not record stays NULL.
     """
+    coded = with_concept(
+        diagnoses, "_concept_id", "icd10_code", _mapping(codes, "icd10_to_snomed"), form="dotless"
+    )
     values = {
         "condition_occurrence_id": surrogate_key(
             "encounter_id", normalise("icd10_code"), "parsed_diag_dt", style=key_style
         ),
         "person_id": surrogate_key("raw_patient_id", style=key_style),
-        "condition_concept_id": icd10_concept_of(
-            "icd10_code", _mapping(codes, "icd10_to_snomed")
-        ),
+        "condition_concept_id": F.col("_concept_id"),
         "condition_start_date": F.col("parsed_diag_dt"),
         "condition_type_concept_id": fixed.CONDITION_TYPE_EHR,
         "condition_source_value": joined_source_value("icd10_code", "diagnosis_description"),
         "condition_source_concept_id": fixed.NO_CONCEPT,
     }
-    return project(diagnoses, values, fixed.GOLD_LAYOUT["condition_occurrence"])
+    return project(coded, values, fixed.GOLD_LAYOUT["condition_occurrence"])
 
 
 def measurement_from_labs(
@@ -99,12 +103,11 @@ def measurement_from_labs(
     else:
         taken_at = F.lit(None).cast("timestamp")
     taken_on = F.col("parsed_lab_dt") if present_name(labs, "parsed_lab_dt") else taken_at
+    coded = with_concept(labs, "_concept_id", "loinc_code", _mapping(codes, "loinc_to_concept"))
     values = {
         "measurement_id": surrogate_key("lab_event_id", style=key_style),
         "person_id": surrogate_key("raw_patient_id", style=key_style),
-        "measurement_concept_id": normalised_concept_of(
-            "loinc_code", _mapping(codes, "loinc_to_concept")
-        ),
+        "measurement_concept_id": F.col("_concept_id"),
         "measurement_date": taken_on.cast("date"),
         "measurement_datetime": taken_at,
         "measurement_type_concept_id": fixed.MEASUREMENT_TYPE_LAB,
@@ -114,7 +117,7 @@ def measurement_from_labs(
         "measurement_source_value": joined_source_value("loinc_code", "test_name"),
         "value_source_value": F.col("numeric_value"),
     }
-    return project(labs, values, fixed.GOLD_LAYOUT["measurement"])
+    return project(coded, values, fixed.GOLD_LAYOUT["measurement"])
 
 
 def measurement_from_variants(
@@ -134,21 +137,25 @@ def measurement_from_variants(
     sample = first_present(variants, "sample_id", "sample", absent=default_sample)
     gene, significance = info_value("info", "GENE"), info_value("info", "CLNSIG")
     locus = [F.col(c) for c in ("chrom", "pos", "ref", "alt", "id")]
-    look_up = normalised_concept_of if ignore_case else concept_of
+    coded = with_concept(
+        variants,
+        "_concept_id",
+        significance,
+        _mapping(significances, "clinvar_to_concept"),
+        form="normalised" if ignore_case else "exact",
+    )
     values = {
         "measurement_id": surrogate_key(patient, sample, *locus, style=key_style),
         "person_id": surrogate_key(patient, style=key_style),
         "measurement_concept_id": fixed.VARIANT_MEASUREMENT_CONCEPT,
         "measurement_type_concept_id": fixed.MEASUREMENT_TYPE_VARIANT,
         "value_as_number": number_or_zero("qual"),
-        "value_as_concept_id": look_up(
-            significance, _mapping(significances, "clinvar_to_concept")
-        ),
+        "value_as_concept_id": F.col("_concept_id"),
         "unit_source_value": fixed.VARIANT_UNIT,
         "measurement_source_value": joined_source_value(sample, "filter"),
         "value_source_value": joined_source_value(*locus, gene, significance),
     }
-    return project(variants, values, fixed.GOLD_LAYOUT["measurement"])
+    return project(coded, values, fixed.GOLD_LAYOUT["measurement"])
 
 
 def measurement(labs: DataFrame, variants: DataFrame, key_style: str = "masked") -> DataFrame:

@@ -15,14 +15,15 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from clinlake.fixed_values import CLUSTER_KEYS, PRIMARY_KEYS
+from clinlake.fixed_values import CLUSTER_KEYS, CONCEPTS, PRIMARY_KEYS
+from clinlake.functions.lookup import MAP_LITERAL_ENTRIES, at_most
 from clinlake.operators import omop, silver
 from clinlake.operators.contracts import ContractBreach, GateResult, run_gate
-from clinlake.sinks.tables import TableStore
+from clinlake.sinks.tables import TableStore, partitions_for
 from clinlake.sources.contracts import Contract, contract_of, load_contract
 from clinlake.sources.delimited import scan_source
 from clinlake.sources.vcf import scan_vcf
-from clinlake.sources.vocabulary import load_vocabulary, mapping_of, vocabulary_path
+from clinlake.sources.vocabulary import category, load_vocabulary, mapping_of, vocabulary_path
 
 # File names of the sources inside a data folder.
 SOURCE_FILES = {
@@ -31,6 +32,12 @@ SOURCE_FILES = {
     "labs": "lab_measurements.csv",
     "variants": "genomic_variants.vcf",
 }
+# Silver sources that each gold table is built from.
+GOLD_SOURCES = {
+    "person": ("patients",),
+    "condition_occurrence": ("diagnoses",),
+    "measurement": ("labs", "variants"),
+}
 # Names of the silver tables.
 SILVER_TABLES = {
     "patients": "clinical_demographics",
@@ -91,7 +98,7 @@ def parse_sources(bronze: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame,
 
 def gold_tables(
     silver_rows: Mapping[str, DataFrame],
-    mappings: Mapping[str, Mapping[str, int]] | None = None,
+    mappings: Mapping[str, Mapping[str, int] | DataFrame] | None = None,
     key_style: str = "masked",
 ) -> dict[str, DataFrame]:
     """The three gold tables of accepted silver rows; projections only, no shuffle."""
@@ -118,12 +125,16 @@ def gold_tables(
     }
 
 
-def _vocabulary(spark: SparkSession, path: str | None) -> dict[str, dict[str, int]] | None:
+def _vocabulary(spark: SparkSession, path: str | None) -> dict[str, dict[str, int] | DataFrame]:
+    """Categories of a vocabulary file: small ones as dictionaries, large ones as tables."""
     if vocabulary_path(path) is None:
-        return None
+        return {}
     table = load_vocabulary(spark, path)
-    names = [r["category"] for r in table.select("category").distinct().collect()]
-    return {name: mapping_of(table, name) for name in names}
+    parts = {name: category(table, name) for name in CONCEPTS}
+    return {
+        name: mapping_of(table, name) if at_most(rows, MAP_LITERAL_ENTRIES) else rows
+        for name, rows in parts.items()
+    }
 
 
 def key_contract(table: str) -> Contract:
@@ -205,12 +216,13 @@ def build_omop(
     if enforce_contracts:
         result.gates = check_gold(gold, contract, on_fail)
     for name, df in gold.items():
+        told = {"user_metadata": f"rules_sha256={contract.sha256}"}
         if load_mode == "upsert":
-            path = store.upsert_gold(df, name, PRIMARY_KEYS[name], CLUSTER_KEYS[name])
+            path = store.upsert_gold(df, name, PRIMARY_KEYS[name], CLUSTER_KEYS[name], **told)
         else:
-            path = store.write_gold(
-                df, name, CLUSTER_KEYS[name], user_metadata=f"rules_sha256={contract.sha256}"
-            )
+            sources = [store.current_path("silver", SILVER_TABLES[s]) for s in GOLD_SOURCES[name]]
+            parts = partitions_for(store.size_of(*sources))
+            path = store.write_gold(df, name, CLUSTER_KEYS[name], partitions=parts, **told)
         result.paths[name] = path
     if maintain:
         for name in gold:

@@ -28,11 +28,21 @@ COMMIT_LAYOUT = (
 )
 
 
+# Size that a range partition, and so a clustered file, is meant to have.
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def partitions_for(size: int) -> int:
+    """Range partitions for data of a known size in bytes."""
+    return max(1, -(-size // PARTITION_BYTES))
+
+
 def cluster_rows(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by the clustering columns, so that files hold narrow ranges.
 
     A hash of the row is the last range key: a clustering key that fills a third of
-    the table is cut into several ranges instead of ending in one task.
+    the table is cut into several ranges instead of ending in one task. Without a
+    number of partitions the session's ``spark.sql.shuffle.partitions`` decides.
     """
     keys = [F.col(c) for c in columns] + [row_hash(df)]
     ranged = (
@@ -203,21 +213,28 @@ class TableStore:
         latest_by: Sequence[str] = (),
         merge_schema: bool = False,
         user_metadata: str | None = None,
+        partitions: int | None = None,
     ) -> str:
         """Upsert into the current version; the first load is de-duplicated as well."""
         clustering = inferred_cluster_keys(df) if cluster_by is None else list(cluster_by)
-        if self.current_path("gold", table) is None:
+        current = self.current_path("gold", table)
+        if current is None:
             merged = dedup_keys(df, keys, latest_by)
         else:
+            partitions = partitions or partitions_for(self.size_of(current))
             merged = upsert(
                 self.read("gold", table), df, keys, latest_by,
                 small_source=source_is_small(df, keys) or None, merge_schema=merge_schema,
             )
-        shaped = cluster_rows(merged, clustering) if clustering else merged
+        shaped = cluster_rows(merged, clustering, partitions) if clustering else merged
         return self._write_version(
             shaped, "gold", table, "UPSERT", table, clustering, user_metadata
         )
 
+    def size_of(self, *paths: str | None) -> int:
+        """Bytes of the data files under the given paths."""
+        return sum(file_stats(self.spark, p).first()["bytes"] for p in paths if p)
+
     # -- maintenance --------------------------------------------------------
 
     def compact(
@@ -233,7 +250,7 @@ class TableStore:
             raise FileNotFoundError(f"no table {tier}/{table} under {self.base_path}")
         rows = self.read(tier, table)
         if cluster_by:
-            rows = cluster_rows(rows, cluster_by, files)
+            rows = cluster_rows(rows, cluster_by, files or partitions_for(self.size_of(before_path)))
         else:
             rows = rows.coalesce(files) if files else rows.hint("rebalance")
         after_path = self._write_version(rows, tier, table, "COMPACT", table, cluster_by)

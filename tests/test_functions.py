@@ -181,3 +181,13 @@ def test_demographic_tool_reports_unknown_domains(spark):
     assert got["Race"]["standard_concept_id"] == 8515
     assert got["ethnicity"]["found"] is False and got["ethnicity"]["error"] is None
     assert got["shoe"]["error"] and got["shoe"]["standard_concept_id"] == 0
+
+
+def test_large_dictionaries_are_joined(spark):
+    large = {f"c.{i}": i for i in range(lookup.MAP_LITERAL_ENTRIES + 1)}
+    df = strings(spark, "C.7", "c200", "zz", None)
+    small = lookup.with_concept(df, "v", "x", {"c.7": 7, "c.200": 200}, form="dotless")
+    joined = lookup.with_concept(df, "v", "x", large, form="dotless")
+    assert rows(small) == rows(joined) == [(0, "C.7", 7), (1, "c200", 200), (2, "zz", 0), (3, None, 0)]
+    assert "Join" in joined._jdf.queryExecution().toString()
+    assert "Join" not in small._jdf.queryExecution().toString()

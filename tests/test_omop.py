@@ -220,3 +220,15 @@ def test_registry_and_conformance(spark):
     assert state["year_of_birth"] == "NULLS_IN_REQUIRED" and state["extra"] == "EXTRA"
     assert state["care_site_id"] == "MISSING"
     assert registry.missing_columns(df, "person") == ["race_concept_id", "ethnicity_concept_id"]
+
+
+def test_vocabulary_tables_give_the_same_gold_rows(spark):
+    from clinlake.sources import vocabulary
+
+    table = vocabulary.built_in(spark)
+    part = {name: vocabulary.category(table, name) for name in omop.fixed.CONCEPTS}
+    df = people(spark, "MALE", "f", None)
+    joined = omop.person(df, part["gender_to_concept"], part["race_to_concept"], part["ethnicity_to_concept"])
+    assert rows(joined) == rows(omop.person(df))
+    coded = diagnoses(spark, "E11.9", "e119", "I100", "zz")
+    assert rows(omop.condition_occurrence(coded, part["icd10_to_snomed"])) == rows(omop.condition_occurrence(coded))
