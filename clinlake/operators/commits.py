@@ -143,7 +143,8 @@ def _raise(parts: DataFrame, group: Column) -> DataFrame:
 def commit_tail(commits: DataFrame, limit: int = 10, keys: Sequence[str] = KEYS) -> DataFrame:
     """The newest ``limit`` commits of every table.
 
-    Each task keeps at most ``limit`` commits per table before the shuffle.
+    Each task keeps at most ``limit`` commits per table before the shuffle (as long as
+    ``limit`` is below ``spark.sql.window.group.limit.threshold``, 1000 by default).
     """
     newest = W.partitionBy(*keys).orderBy(F.desc("version"), F.desc("file_name"))
     ranked = commits.withColumn("position", F.row_number().over(newest))

@@ -51,3 +51,17 @@ def run_evidence(requested: DataFrame, ledger: DataFrame) -> DataFrame:
     joined = ids.join(marked, "run_id", "left")
     state = F.when(F.col("_known"), "COLLECTED").otherwise("ERROR")
     return joined.withColumn("run_evidence", state).drop("_known")
+
+
+def experiment_state(requested: DataFrame, ledger: DataFrame) -> DataFrame:
+    """State of the newest run of each requested experiment; ``NO_RUNS`` where there is none."""
+    names = requested.select("experiment").where(F.col("experiment").isNotNull()).distinct()
+    newest = run_state(latest_run(ledger.join(names, "experiment", "left_semi")))
+    joined = names.join(newest, "experiment", "left")
+    return joined.withColumns(
+        {
+            "status": F.coalesce("status", F.lit("NO_RUNS")),
+            "gxp_gate_passed": F.coalesce("gxp_gate_passed", F.lit(False)),
+            "expectation_success_rate": F.coalesce("expectation_success_rate", F.lit(0.0)),
+        }
+    )

@@ -20,6 +20,10 @@ from clinlake.sources.contracts import load_contract
 from clinlake.workspace import path_exists
 
 IDENTIFIERS = ("audit_id", "run_id", "table_id")
+SIGNOFF_LAYOUT = (
+    "audit_id string, operator_id string, decision string, justification string, "
+    "timestamp string, signature_checksum string"
+)
 
 
 def audit(
@@ -104,12 +108,15 @@ def main(argv: list[str] | None = None) -> DataFrame:
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("clinlake-audit").getOrCreate()
     reports = audit_paths(spark, [(args.run_id, args.table_path)], args.ledger, args.rules)
-    if args.enable_signoff and args.signoffs:
-        given = spark.read.schema(
-            "audit_id string, operator_id string, decision string, justification string, "
-            "timestamp string, signature_checksum string"
-        ).json(args.signoffs)
+    if args.enable_signoff:
+        given = (
+            spark.read.schema(SIGNOFF_LAYOUT).json(args.signoffs)
+            if args.signoffs
+            else spark.createDataFrame([], SIGNOFF_LAYOUT)
+        )
         reports = resume_with_signoff(reports, given)
+        if not reports.where("awaiting_signoff").isEmpty():
+            print("waiting for a sign-off")
     if args.output:
         record(reports, args.output, args.certificates)
     row = reports.select(

@@ -3,7 +3,8 @@
 Layout: ``<base>/<tier>/<table>/v=<number>``. Each overwrite, upsert or compaction
 writes a new version folder, and Spark's own ``_SUCCESS`` marker is what makes that
 version the current one, so readers never see half of a table and a failed job
-leaves the previous version in place. Appends go into the current version.
+leaves the previous version in place. Appends go into the current version. A table has
+one writer at a time: a second one fails on the version folder that is already there.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +24,18 @@ from clinlake.workspace import child_names, drop_tree, modified_at, path_exists
 SUCCESS = "_SUCCESS"
 NOT_FOUND = "NOT_FOUND"
 AVAILABLE = "AVAILABLE"
+UNAVAILABLE = "TELEMETRY_UNAVAILABLE"
 COMMIT_LAYOUT = (
     "tier string, table_name string, version int, operation string, committed_at timestamp, "
     "clustering_columns array<string>, user_metadata string"
 )
 
+_COMMIT_FACTS = ("committed_at", "version", "operation", "user_metadata")
+TELEMETRY_LAYOUT = (
+    "status string, table_path string, format string, num_files bigint, bytes bigint, "
+    "clustering_columns array<string>, recent_commits array<struct<committed_at:timestamp,"
+    "version:int,operation:string,user_metadata:string>>, notice string"
+)
 
 # Size that a range partition, and so a clustered file, is meant to have.
 PARTITION_BYTES = 256 * 1024 * 1024
@@ -269,26 +278,30 @@ class TableStore:
         return [n for n in stale if drop_tree(self.spark, f"{root}/v={n}")]
 
     def telemetry(self, tier: str, table: str, commits: int = 5) -> DataFrame:
-        """One row: state, file count, bytes, clustering columns, last commits."""
+        """One row: state, file count, bytes, clustering columns, last commits.
+
+        The state is ``NOT_FOUND`` without a complete version, and
+        ``TELEMETRY_UNAVAILABLE`` (with a notice) when its facts cannot be read.
+        """
         path = self.current_path(tier, table)
-        mine = (F.col("tier") == tier) & (F.col("table_name") == table.lower())
-        newest = self.commits().where(mine).orderBy(F.desc("committed_at"), F.desc("version"))
-        entry = F.struct("committed_at", "version", "operation", "user_metadata")
-        told = newest.limit(commits).agg(
-            F.sort_array(F.collect_list(entry), False).alias("recent_commits"),
-            F.max_by("clustering_columns", "committed_at").alias("clustering_columns"),
-        )
+        facts = {
+            "status": NOT_FOUND, "table_path": path or self.table_path(tier, table),
+            "format": self.fmt, "recent_commits": [],
+        }
         if path is not None:
-            facts = told.unionByName(file_stats(self.spark, path), allowMissingColumns=True)
-        else:
-            facts = told.withColumns({c: F.lit(None).cast("bigint") for c in ("num_files", "bytes")})
-        # The log and the listing give one row each; put them into one.
-        return facts.agg(
-            F.lit(NOT_FOUND if path is None else AVAILABLE).alias("status"),
-            F.lit(path or self.table_path(tier, table)).alias("table_path"),
-            F.lit(self.fmt).alias("format"),
-            *[F.first(c, ignorenulls=True).alias(c) for c in facts.columns],
-        )
+            mine = (F.col("tier") == tier) & (F.col("table_name") == table.lower())
+            newest = self.commits().where(mine).orderBy(F.desc("committed_at"), F.desc("version"))
+            try:
+                history = newest.limit(commits).collect()
+                facts |= file_stats(self.spark, path).first().asDict()
+                facts |= {
+                    "status": AVAILABLE,
+                    "clustering_columns": history[0]["clustering_columns"],
+                    "recent_commits": [{k: c[k] for k in _COMMIT_FACTS} for c in history],
+                }
+            except (PySparkException, IndexError) as error:
+                facts |= {"status": UNAVAILABLE, "notice": str(error)[:500]}
+        return self.spark.createDataFrame([facts], TELEMETRY_LAYOUT)
 
 
 def file_stats(spark: SparkSession, path: str) -> DataFrame:

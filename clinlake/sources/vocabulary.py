@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,26 @@ def category(vocabulary: DataFrame, name: str) -> DataFrame:
     return vocabulary.where(F.lower("category") == name.strip().lower())
 
 
+# One accessor per category of the OMOP build.
+icd10_concepts = partial(category, name="icd10_to_snomed")
+loinc_concepts = partial(category, name="loinc_to_concept")
+gender_concepts = partial(category, name="gender_to_concept")
+race_concepts = partial(category, name="race_to_concept")
+ethnicity_concepts = partial(category, name="ethnicity_to_concept")
+clinvar_concepts = partial(category, name="clinvar_to_concept")
+
+
+def query_vocabulary(vocabulary: DataFrame, name: str | None = None) -> DataFrame:
+    """The whole vocabulary or one category; an unknown category is an error."""
+    if name is None:
+        return vocabulary
+    rows = category(vocabulary, name)
+    if rows.isEmpty():
+        known = sorted(r["category"] for r in vocabulary.select("category").distinct().collect())
+        raise ValueError(f"unknown category {name!r}; available: {', '.join(known)}")
+    return rows
+
+
 def categories(vocabulary: DataFrame) -> DataFrame:
     """The categories of a vocabulary and how many codes each holds."""
     return vocabulary.groupBy("category").agg(F.count(F.lit(1)).alias("codes"))

@@ -323,3 +323,10 @@ def test_certificates_and_report_files(spark, tmp_path):
     assert set(written) == {"good", "bad"}
     assert written["bad"]["tags"]["gxp_qa_signer"] == "qa" and "gxp_qa_signer" not in written["good"]["tags"]
     assert written["good"]["metrics"]["gxp_audit_compliance_score"] == 100.0
+
+
+def test_experiments_without_runs_say_so(spark):
+    asked = spark.createDataFrame([("e",), ("nobody",), ("e",), (None,)], "experiment string")
+    df = runs(spark, run_row("a", datetime(2024, 1, 1), gate=0.0), run_row("b", datetime(2024, 2, 1)))
+    got = ledger.experiment_state(asked, df).select("experiment", "run_id", "status", "gxp_gate_passed")
+    assert rows(got) == [("e", "b", "FINISHED", True), ("nobody", None, "NO_RUNS", False)]

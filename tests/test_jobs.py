@@ -126,12 +126,20 @@ def test_compaction_telemetry_and_pruning(spark, tmp_path):
     assert store.prune_versions("gold", "person", keep=1) == []
     assert store.prune_versions("gold", "person", keep=1, older_than_hours=0) == [0]
     assert store.read("gold", "person").count() == 1000
+    assert told["notice"] is None
     missing = store.telemetry("gold", "nothing").first()
     assert missing["status"] == "NOT_FOUND" and missing["num_files"] is None and missing["recent_commits"] == []
     with pytest.raises(FileNotFoundError):
         store.compact("gold", "nothing")
 
 
+def test_telemetry_without_a_commit_log(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    spark.range(3).write.parquet(f"{tmp_path}/gold/t/v=0")
+    told = store.telemetry("gold", "t").first()
+    assert told["status"] == "TELEMETRY_UNAVAILABLE" and told["notice"]
+
+
 def test_named_tables(spark, tmp_path):
     store = TableStore(spark, str(tmp_path), schema="default")
     store.write_silver(spark.createDataFrame([(1,)], "a int"), "named_t")
@@ -256,6 +264,17 @@ def test_governed_run_is_recorded_and_audited(spark, tmp_path, capsys):
     assert reports.first()["compliance_status"] == "COMPLIANT"
 
 
+def test_audit_command_line_with_signoff(spark, tmp_path, capsys):
+    audit = ["--table-path", str(tmp_path / "nothing"), "--enable-signoff"]
+    assert audit_job.main(audit).first()["compliance_status"] == "NON_COMPLIANT"
+    assert "waiting for a sign-off" in capsys.readouterr().out
+    given = {"audit_id": f"|{tmp_path}/nothing", "operator_id": "qa", "decision": "OVERRIDE", "justification": "x"}
+    (tmp_path / "signoffs.json").write_text(json.dumps(given))
+    signed = audit_job.main([*audit, "--signoffs", str(tmp_path / "signoffs.json")])
+    assert signed.first()["compliance_status"] == "APPROVED_BY_QA"
+    assert "waiting" not in capsys.readouterr().out
+
+
 def test_strict_run_is_recorded_before_it_raises(spark, tmp_path):
     data = tmp_path / "person.csv"
     data.write_text(PERSON_CSV.replace("8507", "1"))

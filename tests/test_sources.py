@@ -186,3 +186,11 @@ def test_qc_reports(spark, tmp_path):
     assert rows(qc.status_rollup(qc.scan_reports(spark, str(tmp_path)))) == [
         ("s1.txt", "PASS", 2), ("s1.txt", "WARN", 1), ("s2.txt", "FAIL", 1),
     ]
+
+
+def test_vocabulary_listing(spark):
+    table = vocabulary.built_in(spark)
+    assert vocabulary.query_vocabulary(table).count() == table.count()
+    assert rows(vocabulary.query_vocabulary(table, "RACE_to_concept")) == rows(vocabulary.race_concepts(table))
+    with pytest.raises(ValueError, match="available: clinvar_to_concept, ethnicity_to_concept"):
+        vocabulary.query_vocabulary(table, "drugs")
