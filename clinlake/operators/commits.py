@@ -100,7 +100,8 @@ def table_rollup(commits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     table is worked on by many tasks, and every commit is read once.
     """
     no_operation = F.coalesce("operation", F.lit(UNKNOWN_OPERATION)) == UNKNOWN_OPERATION
-    same_version = W.partitionBy(*keys, "grp").orderBy("version", "file_name")
+    in_order = W.partitionBy(*keys, "grp").orderBy("place", "tie")
+    repeated = F.coalesce((F.lag("place").over(in_order) == F.col("place")).cast("bigint"), F.lit(0))
     level = commits.withColumn("grp", F.shiftright("version", LEVEL_BITS)).select(
         *keys,
         "grp",
@@ -111,8 +112,6 @@ def table_rollup(commits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
         F.col("remove_actions").alias("total_remove_actions"),
         "unreadable_lines",
         no_operation.cast("bigint").alias("commits_without_operation"),
-        F.coalesce((F.lag("version").over(same_version) == F.col("version")).cast("bigint"), F.lit(0))
-        .alias("repeated_versions"),
         F.lit(0).cast("bigint").alias("time_setbacks"),
         F.col("version").alias("first_version"),
         F.col("version").alias("last_version"),
@@ -124,7 +123,7 @@ def table_rollup(commits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
         "schema_string",
         "clustering_columns",
     )
-    segments = _fold(level, keys)
+    segments = _fold(level.withColumn("repeated_versions", repeated), keys)
     blocks = _fold(_raise(segments, F.shiftright("place", LEVEL_BITS)), keys)
     tables = _fold(_raise(blocks, F.lit(0)), keys)
     span = F.col("last_version") - F.col("first_version") + 1

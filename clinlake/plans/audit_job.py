@@ -17,7 +17,7 @@ from clinlake.operators.ledger import LEDGER_LAYOUT, read_ledger, run_evidence
 from clinlake.sinks.tables import write_reports
 from clinlake.sources.commitlog import LOG_FOLDER, scan_commit_log
 from clinlake.sources.contracts import load_contract
-from clinlake.workspace import path_exists
+from clinlake.workspace import canonical, path_exists
 
 IDENTIFIERS = ("audit_id", "run_id", "table_id")
 SIGNOFF_LAYOUT = (
@@ -60,13 +60,13 @@ def audit_paths(
 ) -> DataFrame:
     """Audit named ``(run_id, table_path)`` pairs against a ledger and the tables' logs."""
     moment = now or datetime.now(UTC).isoformat()
-    paths = [None if p is None else p.rstrip("/") for _, p in targets]
+    ids = {p: canonical(spark, p) for _, p in targets if p is not None}
     rows = [
         (
-            f"{run or ''}|{path or ''}", run, path,
-            None if path is None else path_exists(spark, f"{path}/{LOG_FOLDER}"),
+            f"{run or ''}|{ids.get(path, '')}", run, ids.get(path),
+            None if path is None else path_exists(spark, f"{path.rstrip('/')}/{LOG_FOLDER}"),
         )
-        for (run, _), path in zip(targets, paths, strict=True)
+        for run, path in targets
     ]
     wanted = spark.createDataFrame(
         rows, "audit_id string, run_id string, table_id string, log_exists boolean"
@@ -76,7 +76,7 @@ def audit_paths(
         if ledger_path and path_exists(spark, ledger_path)
         else spark.createDataFrame([], LEDGER_LAYOUT)
     )
-    actions = scan_commit_log(spark, [p for p in dict.fromkeys(paths) if p])
+    actions = scan_commit_log(spark, list(ids))
     return audit(wanted, ledger, actions, moment, _expected(spark, rules_path))
 
 

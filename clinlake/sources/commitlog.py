@@ -30,7 +30,11 @@ def commit_version(file_name: Column) -> Column:
 
 
 def scan_log_lines(spark: SparkSession, table_paths: Sequence[str]) -> DataFrame:
-    """``(table_id, file_name, value)`` of the commit files of many tables."""
+    """``(table_id, file_name, value)`` of the commit files of many tables.
+
+    A path may be a glob over table folders. The id of a table is its folder, in the
+    form that ``workspace.canonical`` gives.
+    """
     folders = [f"{p.rstrip('/')}/{LOG_FOLDER}" for p in table_paths]
     present = [f"{f}/*.json" for f in folders if path_exists(spark, f"{f}/*.json")]
     if not present:

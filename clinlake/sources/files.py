@@ -42,7 +42,8 @@ def file_manifest(
 
     The content column is only read for files that fit into a row. A larger file
     stays with one task, which streams it. Spark's scan passes over empty files, so
-    they are the listed files that the scan does not return.
+    they are the files of its listing (which the driver's file index holds in any case)
+    that the scan does not return.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if name_filter:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -50,6 +51,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return matches is not None and len(matches) > 0
 
 
+def canonical(spark: SparkSession, path: str) -> str:
+    """The form of a path in which Spark reports the files below it; plain for local paths."""
+    hadoop_path, fs = _hadoop_path(spark, path)
+    return plain_local(fs.makeQualified(hadoop_path).toUri().toString())
+
+
+def plain_local(uri: str) -> str:
+    return re.sub("^file:/+", "/", uri)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a folder; empty when the folder is missing."""
     hadoop_path, fs = _hadoop_path(spark, path)

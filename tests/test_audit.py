@@ -146,6 +146,15 @@ def test_known_answers_on_the_event_log(spark):
     assert 150 - disturbed.count() == 120
 
 
+def test_logs_of_many_tables_by_glob_and_odd_names(spark, tmp_path):
+    for name in ("a b", "c+d"):
+        good_log(tmp_path / "lake" / name / "person")
+    scanned = commitlog.scan_commit_log(spark, [f"{tmp_path}/lake/*/person"])
+    assert commits.table_rollup(commits.commit_rollup(scanned)).count() == 2
+    report = audit_one(spark, table=f"{tmp_path}/lake/a b/person/")
+    assert report["compliance_status"] == "COMPLIANT"
+
+
 # -- audits of tables ---------------------------------------------------------------
 
 

@@ -183,6 +183,27 @@ def test_demographic_tool_reports_unknown_domains(spark):
     assert got["shoe"]["error"] and got["shoe"]["standard_concept_id"] == 0
 
 
+def test_salted_join_spreads_a_hot_code(spark):
+    df = spark.range(30_000).selectExpr("id", "IF(id % 3 = 0, 'HOT', concat('c', id)) AS x")
+    table = spark.range(1000).selectExpr("concat('c', id) AS source_code", "CAST(id AS INT) AS concept_id")
+    table = table.unionByName(spark.createDataFrame([("HOT", 7)], "source_code string, concept_id int"))
+    settings = {
+        "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = lookup.join_concepts(df, "x", table, "v", broadcast_rows=0)
+        hot = joined.where("x = 'HOT'").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in hot) == 10_000 and max(r["count"] for r in hot) < 5_000
+        assert joined.where("x = 'HOT' AND v <> 7").count() == 0 and joined.count() == 30_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_large_dictionaries_are_joined(spark):
     large = {f"c.{i}": i for i in range(lookup.MAP_LITERAL_ENTRIES + 1)}
     df = strings(spark, "C.7", "c200", "zz", None)
