@@ -15,15 +15,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None, views: tuple[str, ...] = ()):
-    """Register a query; ``views`` are the derived views that its SQL refers to."""
+def query(
+    name: str, oracle: str | None = None, views: tuple[str, ...] = (), longs: tuple[str, ...] = ()
+):
+    """Register a query; ``views`` are the derived views that its SQL refers to.
+
+    ``longs`` are the SQL's sums and counts that DuckDB types wider than BIGINT.
+    """
 
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
         QUERIES[name] = fn
         if oracle is not None:
-            ORACLES[name] = with_views(oracle, views)
+            sql = oracle
+            if longs:
+                casts = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in longs)
+                sql = f"SELECT * REPLACE ({casts}) FROM ({sql})"
+            ORACLES[name] = with_views(sql, views)
         return fn
 
     return register

@@ -93,6 +93,7 @@ def commit_rows(spark, sf_dir):
     "sum(event_id % 2) AS removes, count_if(version IN (0, 20)) AS schemas, max(operation) AS operation "
     "FROM commit_log GROUP BY table_id, version",
     C,
+    longs=("adds", "removes", "schemas"),
 )
 def commit_log_scan(spark, sf_dir):
     parsed = actions(spark, sf_dir)
@@ -128,6 +129,7 @@ TABLE_FACTS = (
     "time_setbacks = 0 AS is_monotonic, CASE WHEN has_later_schema THEN 'person_id' ELSE '' END AS clustering "
     f"FROM ({TABLE_FACTS})",
     C,
+    longs=("total_add_actions", "total_remove_actions", "commits_without_operation", "unreadable_lines"),
 )
 def commit_log_rollup(spark, sf_dir):
     rolled = commits.table_rollup(commit_rows(spark, sf_dir))
@@ -161,6 +163,7 @@ def commit_log_tail(spark, sf_dir):
     "row_number() OVER (PARTITION BY table_id ORDER BY version DESC) AS position, "
     "count(*) OVER (PARTITION BY table_id) AS total FROM commit_log) WHERE position <= 10 GROUP BY table_id",
     C,
+    longs=("added_files", "removed_files"),
 )
 def commit_tail_summary(spark, sf_dir):
     summary = commits.tail_summary(commit_rows(spark, sf_dir), 10)
@@ -278,7 +281,7 @@ def ledger_rows(spark, sf_dir):
 @query(
     "run_ledger",
     "SELECT run_id, concat('experiment_', experiment_id) AS experiment, start_time, data_sha256, rules_sha256, "
-    "gxp_gate_passed = 1.0 AS gxp_gate_passed, 0.0 AS expectation_success_rate FROM run_ledger",
+    "gxp_gate_passed = 1.0 AS gxp_gate_passed, 0.0::DOUBLE AS expectation_success_rate FROM run_ledger",
     R,
 )
 def run_ledger(spark, sf_dir):
@@ -404,7 +407,7 @@ def all_findings(spark, sf_dir):
     return logs.unionByName(runs)
 
 
-@query("compliance_score", SCORED.format(findings=LOG_AND_RUN), C + R)
+@query("compliance_score", SCORED.format(findings=LOG_AND_RUN), C + R, longs=("passed_evaluations", "critical_failures", "error_failures", "warning_failures"))
 def compliance_score(spark, sf_dir):
     """Scores from a table of findings of any origin."""
     return checks.score_findings(all_findings(spark, sf_dir), ["subject"])
@@ -417,6 +420,7 @@ def compliance_score(spark, sf_dir):
     "sum(error_failures) AS error_failures, sum(warning_failures) AS warning_failures "
     f"FROM ({SCORED.format(findings=LOG_AND_RUN)}) GROUP BY compliance_status",
     C + R,
+    longs=("total_evaluations", "passed_evaluations", "critical_failures", "error_failures", "warning_failures"),
 )
 def compliance_summary(spark, sf_dir):
     scored = compliance_score(spark, sf_dir)
@@ -435,6 +439,7 @@ RUN_SCORED = SCORED.format(findings=f"SELECT run_id AS subject, severity, passed
     "compliance_status",
     f"SELECT subject AS run_id, compliance_score, compliance_status, critical_failures, warning_failures FROM ({RUN_SCORED})",
     R,
+    longs=("critical_failures", "warning_failures"),
 )
 def compliance_status(spark, sf_dir):
     """Score and status of every run in one projection, without a shuffle."""
@@ -609,6 +614,7 @@ _TARGET_FINDINGS = (
     + SCORED.format(findings=_TARGET_FINDINGS.replace("targets", f"({TARGETS_SQL})"))
     + ")",
     C + R,
+    longs=("passed_evaluations", "critical_failures", "error_failures", "warning_failures"),
 )
 def audit_report(spark, sf_dir):
     """One audit per order, over a run, a table, both or neither; a quarter share one table."""

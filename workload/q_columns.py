@@ -155,6 +155,7 @@ def quarantine_split(spark, sf_dir):
     "UNION ALL SELECT 'variants', count_if(coalesce(filter IN ('PASS', '.'), false)), "
     "count_if(NOT coalesce(filter IN ('PASS', '.'), false)) FROM bronze_variants",
     P + D + L + V,
+    longs=("accepted", "quarantined"),
 )
 def tier_counts(spark, sf_dir):
     return silver.tier_counts(

@@ -111,6 +111,7 @@ def omop_measurement(spark, sf_dir):
     "count_if(measurement_concept_id <> 0) FROM "
     f"(SELECT * FROM ({LABS_SQL}) UNION ALL SELECT * FROM ({VARIANTS_SQL}))",
     P + D + L + V,
+    longs=("mapped_rows",),
 )
 def omop_gold_counts(spark, sf_dir):
     """All sources through parsing, accept filters and transforms, with the default keys."""
@@ -194,7 +195,7 @@ def _person_conformance_sql() -> str:
     return " UNION ALL ".join(lines)
 
 
-@query("schema_conformance", _person_conformance_sql(), P)
+@query("schema_conformance", _person_conformance_sql(), P, longs=("null_rows",))
 def schema_conformance(spark, sf_dir):
     """PERSON of all patients, quarantined ones included, against its registered schema."""
     everyone = silver.parse_patients(view(spark, sf_dir, "bronze_patients"))

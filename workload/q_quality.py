@@ -119,6 +119,7 @@ def contract_suite(spark, sf_dir):
     "count_if(NOT success) AS unsuccessful_expectations, "
     f"count_if(success) / count(success) * 100.0 AS success_rate FROM ({SUITE_SQL})",
     P,
+    longs=("successful_expectations", "unsuccessful_expectations"),
 )
 def contract_summary(spark, sf_dir):
     return contracts.summarise(contract_suite(spark, sf_dir))

@@ -60,6 +60,7 @@ def clustered_write(spark, sf_dir):
 @query(
     "named_table",
     "SELECT c_mktsegment, count(*) AS customers, sum(c_custkey) AS keys FROM customer GROUP BY c_mktsegment",
+    longs=("keys",),
 )
 def named_table(spark, sf_dir):
     """Write under a catalog name and query that name with SQL."""
@@ -76,6 +77,7 @@ def named_table(spark, sf_dir):
     "compact_table",
     "SELECT o_orderstatus, count(*) AS orders, sum(o_orderkey) AS keys, true AS fewer_files "
     "FROM orders GROUP BY o_orderstatus",
+    longs=("keys",),
 )
 def compact_table(spark, sf_dir):
     """Rows of a compacted table, and whether it has fewer files than before."""
