@@ -67,6 +67,23 @@ def upsert(
     return untouched.unionByName(changed, allowMissingColumns=merge_schema)
 
 
+def merge_into(
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    latest_by: Sequence[str] = (),
+    null_safe: bool = True,
+) -> None:
+    """The same upsert as a MERGE, for catalog tables that can change single rows."""
+    pairs = [
+        F.col(f"{table}.{k}").eqNullSafe(F.col(f"source.{k}")) if null_safe
+        else F.col(f"{table}.{k}") == F.col(f"source.{k}")
+        for k in keys
+    ]
+    merge = dedup_keys(source, keys, latest_by).alias("source").mergeInto(table, reduce(and_, pairs))
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def source_is_small(source: DataFrame, keys: Sequence[str], rows: int = BROADCAST_KEYS) -> bool:
     """Checked size of the side that an upsert would broadcast."""
     return at_most(source.select(*keys), rows)

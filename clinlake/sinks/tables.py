@@ -22,6 +22,7 @@ from clinlake.operators.merge import dedup_keys, source_is_small, upsert
 from clinlake.workspace import child_names, drop_tree, modified_at, path_exists
 
 SUCCESS = "_SUCCESS"
+APPEND = "APPEND"
 NOT_FOUND = "NOT_FOUND"
 AVAILABLE = "AVAILABLE"
 UNAVAILABLE = "TELEMETRY_UNAVAILABLE"
@@ -112,27 +113,43 @@ class TableStore:
         return number, f"{root}/v={number}"
 
     def read(
-        self, tier: str, table: str, version: int | None = None, merge_schema: bool = True
+        self, tier: str, table: str, version: int | None = None, merge_schema: bool | None = None
     ) -> DataFrame:
-        """Current (or a given) version; files of different schemas are read as one."""
+        """Current (or a given) version; files of different schemas are read as one.
+
+        Spark opens every file to merge schemas, so by default that is done only for
+        versions that have been appended to.
+        """
+        path = f"{self.table_path(tier, table)}/v={version}"
         if version is None:
             path = self.current_path(tier, table)
-        else:
-            path = f"{self.table_path(tier, table)}/v={version}"
         if path is None or not path_exists(self.spark, path):
             raise FileNotFoundError(f"no table {tier}/{table} under {self.base_path}")
+        if merge_schema is None:
+            number = int(path.rsplit("=", 1)[-1])
+            merge_schema = not self._history(tier, table).where(
+                (F.col("version") == number) & (F.col("operation") == APPEND)
+            ).isEmpty()
         reader = self.spark.read.format(self.fmt)
         if self.fmt in ("parquet", "orc"):
             reader = reader.option("mergeSchema", merge_schema)
         return reader.load(path)
 
+    def _history(self, tier: str, table: str) -> DataFrame:
+        """Commits of one table."""
+        return self.commits().where((F.col("tier") == tier) & (F.col("table_name") == table.lower()))
+
     # -- writes -------------------------------------------------------------
 
-    def _register(self, name: str, path: str) -> None:
+    def _register(self, name: str, tier: str, table: str) -> None:
+        """Point the catalog name at the current version, with all of its columns."""
         if self.namespace:
             full = f"{self.namespace}.{name}"
+            rows = self.read(tier, table)
             self.spark.sql(f"DROP TABLE IF EXISTS {full}")
-            self.spark.catalog.createTable(full, path=path, source=self.fmt)
+            self.spark.catalog.createTable(
+                full, self.current_path(tier, table), source=self.fmt, schema=rows.schema
+            )
 
     def _log(
         self, tier: str, table: str, version: int, operation: str,
@@ -158,8 +175,8 @@ class TableStore:
     ) -> str:
         version, path = self._next_path(tier, table)
         df.write.format(self.fmt).mode("error").save(path)
-        self._register(registered_as, path)
         self._log(tier, table, version, operation, clustering, user_metadata)
+        self._register(registered_as, tier, table)
         return path
 
     def _append(
@@ -167,14 +184,14 @@ class TableStore:
     ) -> str:
         path = self.current_path(tier, table)
         if path is None:
-            return self._write_version(df, tier, table, "APPEND", registered_as)
+            return self._write_version(df, tier, table, APPEND, registered_as)
         if not merge_schema:
-            known = set(self.read(tier, table).columns)
-            if set(df.columns) - known:
-                raise ValueError(f"new columns: {sorted(set(df.columns) - known)}")
+            added = set(df.columns) - set(self.read(tier, table).columns)
+            if added:
+                raise ValueError(f"new columns: {sorted(added)}")
         df.write.format(self.fmt).mode("append").save(path)
-        self._register(registered_as, path)
-        self._log(tier, table, self.versions(tier, table)[-1], "APPEND")
+        self._log(tier, table, self.versions(tier, table)[-1], APPEND)
+        self._register(registered_as, tier, table)
         return path
 
     def write_silver(
@@ -289,8 +306,7 @@ class TableStore:
             "format": self.fmt, "recent_commits": [],
         }
         if path is not None:
-            mine = (F.col("tier") == tier) & (F.col("table_name") == table.lower())
-            newest = self.commits().where(mine).orderBy(F.desc("committed_at"), F.desc("version"))
+            newest = self._history(tier, table).orderBy(F.desc("committed_at"), F.desc("version"))
             try:
                 history = newest.limit(commits).collect()
                 facts |= file_stats(self.spark, path).first().asDict()

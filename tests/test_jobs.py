@@ -146,6 +146,8 @@ def test_named_tables(spark, tmp_path):
     assert spark.table("default.silver_named_t").count() == 1
     store.write_silver(spark.createDataFrame([(1, 2), (3, 4)], "a int, b int"), "named_t")
     assert spark.table("default.silver_named_t").columns == ["a", "b"]
+    store.write_silver(spark.createDataFrame([(5, 6, "x")], "a int, b int, c string"), "named_t", "append")
+    assert rows(spark.table("default.silver_named_t")) == [(1, 2, None), (3, 4, None), (5, 6, "x")]
     spark.sql("DROP TABLE default.silver_named_t")
 
 

@@ -51,6 +51,15 @@ def test_upsert_schemas(spark):
     assert rows(merge.upsert(target, wide, ["k"], merge_schema=True)) == [(1, "b", 2, "x")]
 
 
+def test_merge_statement_needs_a_table_that_can_change_rows(spark):
+    frame(spark, (1, "a", 1)).write.mode("overwrite").saveAsTable("plain_target")
+    try:
+        with pytest.raises(Exception, match="(?i)merge"):
+            merge.merge_into(frame(spark, (1, "b", 2)), "plain_target", ["k"])
+    finally:
+        spark.sql("DROP TABLE plain_target")
+
+
 def test_upsert_of_orders(spark):
     orders = spark.read.parquet(str(TESTDATA / "sf0.01" / "orders.parquet"))
     target, source = orders.where("o_orderkey < 10000"), orders.where("o_orderkey >= 8000")
