@@ -8,7 +8,13 @@ from clinlake.operators.concept_tools import (
     lookup_icd10,
     lookup_loinc,
 )
-from clinlake.operators.contracts import rule_results, run_gate, summarise, violations, with_violations
+from clinlake.operators.contracts import (
+    rule_results,
+    run_gate,
+    summarise,
+    violations,
+    with_violations,
+)
 from clinlake.operators.ledger import experiment_state, latest_run, run_evidence, run_state
 from clinlake.operators.merge import dedup_keys, snapshot_diff, upsert
 from clinlake.operators.omop import (

@@ -140,7 +140,8 @@ def schema_checks(
     expected: Mapping[str, Sequence[str]], table_name: Column | None = None
 ) -> list[Check]:
     """Does the table's latest schema hold its mandatory columns?"""
-    name = F.lower(F.regexp_extract("table_id", r"([^/]+)/*$", 1)) if table_name is None else table_name
+    folder_name = F.lower(F.regexp_extract("table_id", r"([^/]+)/*$", 1))
+    name = folder_name if table_name is None else table_name
     pairs = [
         x
         for table, columns in expected.items()

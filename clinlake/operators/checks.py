@@ -139,14 +139,11 @@ def assess(evidence: DataFrame, checks: Sequence[Check]) -> DataFrame:
     def failing(severity: str) -> Column:
         return _count([c.fails for c in checks if c.failed_severity == severity])
 
+    def weight(check: Check) -> float:
+        return fixed.SEVERITY_WEIGHTS.get(check.failed_severity, fixed.UNLISTED_SEVERITY_WEIGHT)
+
     penalty = reduce(
-        add,
-        [
-            F.when(c.fails, fixed.SEVERITY_WEIGHTS.get(c.failed_severity, fixed.UNLISTED_SEVERITY_WEIGHT))
-            .otherwise(0.0)
-            for c in checks
-        ],
-        F.lit(0.0),
+        add, [F.when(c.fails, weight(c)).otherwise(0.0) for c in checks], F.lit(0.0)
     )
     by_code = sorted(checks, key=lambda c: c.code)
     counted = evidence.withColumns(

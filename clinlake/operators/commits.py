@@ -101,7 +101,8 @@ def table_rollup(commits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """
     no_operation = F.coalesce("operation", F.lit(UNKNOWN_OPERATION)) == UNKNOWN_OPERATION
     in_order = W.partitionBy(*keys, "grp").orderBy("place", "tie")
-    repeated = F.coalesce((F.lag("place").over(in_order) == F.col("place")).cast("bigint"), F.lit(0))
+    same_place = F.lag("place").over(in_order) == F.col("place")
+    repeated = F.coalesce(same_place.cast("bigint"), F.lit(0))
     level = commits.withColumn("grp", F.shiftright("version", LEVEL_BITS)).select(
         *keys,
         "grp",

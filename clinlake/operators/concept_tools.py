@@ -106,7 +106,8 @@ def lookup_demographic(
     ).withColumn("standard_concept_id", concept_of(key, entries))
     valid = F.coalesce(F.col("normalized_domain").isin(*DEMOGRAPHIC_DOMAINS), F.lit(False))
     field = F.concat(F.col("normalized_domain"), F.lit("_concept_id"))
-    message = F.concat(F.lit("unknown demographic domain: "), F.coalesce(F.col(domain), F.lit("NULL")))
+    asked = F.coalesce(F.col(domain), F.lit("NULL"))
+    message = F.concat(F.lit("unknown demographic domain: "), asked)
     return resolved.withColumns(
         {
             "target_table": F.when(valid, "PERSON"),

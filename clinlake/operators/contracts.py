@@ -224,8 +224,9 @@ def with_violations(df: DataFrame, contract: Contract) -> DataFrame:
             broken = breaks(df, rule, whole_pattern_start=True)
             found.append(F.when(broken, _violation(rule, _message(rule))))
     if not found:
-        empty = "array<struct<column_name:string,expectation_type:string,severity:string,message:string>>"
-        return df.withColumns({"violations": F.array().cast(empty), "valid": F.lit(True)})
+        entry = "column_name:string,expectation_type:string,severity:string,message:string"
+        nothing = F.array().cast(f"array<struct<{entry}>>")
+        return df.withColumns({"violations": nothing, "valid": F.lit(True)})
     marked = df.withColumn("violations", F.array_compact(F.array(*found)))
     return marked.withColumn("valid", F.size("violations") == 0)
 

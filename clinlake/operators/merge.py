@@ -29,12 +29,11 @@ def dedup_keys(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
-def _same_keys(keys: Sequence[str], null_safe: bool) -> Column:
-    pairs = [
-        F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) if null_safe else F.col(f"t.{k}") == F.col(f"s.{k}")
-        for k in keys
-    ]
-    return reduce(and_, pairs)
+def _same_keys(
+    keys: Sequence[str], null_safe: bool, target: str = "t", source: str = "s"
+) -> Column:
+    pairs = [(F.col(f"{target}.{k}"), F.col(f"{source}.{k}")) for k in keys]
+    return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
 def upsert(
@@ -75,12 +74,8 @@ def merge_into(
     null_safe: bool = True,
 ) -> None:
     """The same upsert as a MERGE, for catalog tables that can change single rows."""
-    pairs = [
-        F.col(f"{table}.{k}").eqNullSafe(F.col(f"source.{k}")) if null_safe
-        else F.col(f"{table}.{k}") == F.col(f"source.{k}")
-        for k in keys
-    ]
-    merge = dedup_keys(source, keys, latest_by).alias("source").mergeInto(table, reduce(and_, pairs))
+    same = _same_keys(keys, null_safe, target=table, source="source")
+    merge = dedup_keys(source, keys, latest_by).alias("source").mergeInto(table, same)
     merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
@@ -103,7 +98,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     sides = changed.groupBy(*keys).agg(
         F.min("_n").alias("_least"), F.max("_n").alias("_most")
     )
-    same = reduce(and_, [F.col(f"c.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys])
+    same = _same_keys(keys, True, target="c", source="k")
     marked = changed.alias("c").join(sides.alias("k"), same).select("c.*", "_least", "_most")
     removed = F.col("_n") < 0
     in_both = (F.col("_least") < 0) & (F.col("_most") > 0)

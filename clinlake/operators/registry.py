@@ -55,7 +55,9 @@ def conformance(df: DataFrame, table: str) -> DataFrame:
     lines = []
     for column in [*registered, *[c for c in actual if c not in registered]]:
         expected = registered.get(column)
-        nulls = F.col("n") - F.col(f"filled_{position[column]}") if column in actual else F.lit(None)
+        nulls = F.lit(None)
+        if column in actual:
+            nulls = F.col("n") - F.col(f"filled_{position[column]}")
         if expected is None:
             state = F.lit("EXTRA")
         elif column not in actual:

@@ -92,25 +92,27 @@ class TableStore:
     def table_path(self, tier: str, table: str) -> str:
         return f"{self.base_path}/{tier.lower()}/{table.lower()}"
 
+    def _numbers(self, tier: str, table: str) -> list[int]:
+        """Numbers of all version folders, finished or not."""
+        names = child_names(self.spark, self.table_path(tier, table))
+        return sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+
     def versions(self, tier: str, table: str) -> list[int]:
         """Complete versions, oldest first."""
         root = self.table_path(tier, table)
-        numbers = sorted(
-            int(n[2:]) for n in child_names(self.spark, root) if n.startswith("v=") and n[2:].isdigit()
-        )
-        return [n for n in numbers if path_exists(self.spark, f"{root}/v={n}/{SUCCESS}")]
+        return [
+            n
+            for n in self._numbers(tier, table)
+            if path_exists(self.spark, f"{root}/v={n}/{SUCCESS}")
+        ]
 
     def current_path(self, tier: str, table: str) -> str | None:
         complete = self.versions(tier, table)
         return f"{self.table_path(tier, table)}/v={complete[-1]}" if complete else None
 
     def _next_path(self, tier: str, table: str) -> tuple[int, str]:
-        root = self.table_path(tier, table)
-        taken = [
-            int(n[2:]) for n in child_names(self.spark, root) if n.startswith("v=") and n[2:].isdigit()
-        ]
-        number = max(taken, default=-1) + 1
-        return number, f"{root}/v={number}"
+        number = max(self._numbers(tier, table), default=-1) + 1
+        return number, f"{self.table_path(tier, table)}/v={number}"
 
     def read(
         self, tier: str, table: str, version: int | None = None, merge_schema: bool | None = None
@@ -137,7 +139,8 @@ class TableStore:
 
     def _history(self, tier: str, table: str) -> DataFrame:
         """Commits of one table."""
-        return self.commits().where((F.col("tier") == tier) & (F.col("table_name") == table.lower()))
+        mine = (F.col("tier") == tier) & (F.col("table_name") == table.lower())
+        return self.commits().where(mine)
 
     # -- writes -------------------------------------------------------------
 
@@ -276,10 +279,13 @@ class TableStore:
             raise FileNotFoundError(f"no table {tier}/{table} under {self.base_path}")
         rows = self.read(tier, table)
         if cluster_by:
-            rows = cluster_rows(rows, cluster_by, files or partitions_for(self.size_of(before_path)))
+            parts = files or partitions_for(self.size_of(before_path))
+            rows = cluster_rows(rows, cluster_by, parts)
         else:
             rows = rows.coalesce(files) if files else rows.hint("rebalance")
-        after_path = self._write_version(rows, tier, table, "COMPACT", table, cluster_by)
+        named_silver = tier.lower() == "silver" and not table.startswith("quarantine")
+        name = f"silver_{table}" if named_silver else table
+        after_path = self._write_version(rows, tier, table, "COMPACT", name, cluster_by)
         before = file_stats(self.spark, before_path).withColumn("status", F.lit("before"))
         after = file_stats(self.spark, after_path).withColumn("status", F.lit("after"))
         return before.unionByName(after)

@@ -29,7 +29,8 @@ def split_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         sides = split_rows(batch, condition)
-        for frame, path in ((transform(sides.accepted), accepted_path), (sides.rejected, rejected_path)):
+        outputs = {accepted_path: transform(sides.accepted), rejected_path: sides.rejected}
+        for path, frame in outputs.items():
             frame.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
