@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+import workload
 from tests.conftest import TESTDATA
 from tools.check_oracle import compare, duck
 
@@ -16,7 +17,7 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(workload.QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     agrees, note = compare(spark, con, name, SF_DIR)
     assert agrees, note
