@@ -33,34 +33,44 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def map_rows(
-    df: DataFrame, schema: str, rows: Callable[[], Callable[[list[dict]], list[tuple]]], text: str = "text"
+def map_stream(
+    df: DataFrame, schema: str, stream: Callable[[Iterator[list[dict]]], Iterator[list[tuple]]], text: str = "text"
 ) -> DataFrame:
-    """Run a Python function over bounded slices of rows, Arrow to Arrow.
+    """Run a Python generator over a task's rows, Arrow to Arrow.
 
-    ``rows`` is called once per task and returns the function, which gets a list of
-    rows as dicts (their texts of about SLICE_CHARS characters together) and
-    returns tuples in the order of ``schema``.
+    ``stream`` gets bounded lists of rows as dicts (their texts of about SLICE_CHARS
+    characters together) and yields lists of tuples in the order of ``schema``.
     """
-    target = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    target = df.sparkSession.createDataFrame([], schema).schema
     arrow = to_arrow_schema(target, prefers_large_types=False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = rows()
-        for batch in batches:
-            for part in _slices(batch, text):
-                found = work(part.to_pylist())
-                for at in range(0, len(found), 20_000):
-                    columns = list(zip(*found[at : at + 20_000], strict=True))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
-                    )
+        parts = (part.to_pylist() for batch in batches for part in _slices(batch, text))
+        for found in stream(parts):
+            for at in range(0, len(found), 20_000):
+                columns = list(zip(*found[at : at + 20_000], strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
+                )
 
     return df.mapInArrow(run, target)
 
 
+def map_rows(
+    df: DataFrame, schema: str, rows: Callable[[], Callable[[list[dict]], list[tuple]]], text: str = "text"
+) -> DataFrame:
+    """``map_stream`` for lists that do not depend on each other; ``rows`` is called once per task."""
+
+    def stream(parts):
+        work = rows()
+        for part in parts:
+            yield work(part)
+
+    return map_stream(df, schema, stream, text)
+
+
 def _slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     lengths = pa.compute.utf8_length(batch.column(text)).to_pylist() if text in batch.schema.names else []
     if not lengths:

@@ -212,3 +212,25 @@ def identify_languages(docs: DataFrame, docs_per_language: int = 1500) -> DataFr
     """
     found = identify(docs, train(docs, docs_per_language))
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+def relabel(docs: DataFrame, trees: ContextTrees, most_bits: float = 8.0) -> DataFrame:
+    """The rows whose language can be told, with all their columns; ``lang`` is the predicted language.
+
+    Rejected are texts without a letter and texts that even their best language codes with
+    more than ``most_bits`` bits per byte, which is no better than bytes drawn at random.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+
+    def start():
+        def work(rows):
+            found = trees.predict([r["text"] or "" for r in rows])
+            return [
+                tuple(lang if c == "lang" else r[c] for c in kinds)
+                for r, (lang, _, bits) in zip(rows, found, strict=True)
+                if lang != UNKNOWN and bits <= most_bits
+            ]
+
+        return work
+
+    return map_rows(docs, ", ".join(f"`{c}` {k}" for c, k in kinds.items()), start)

@@ -201,3 +201,30 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         return left
     once = left.where("doc_id is not null").dropDuplicates(["doc_id"])
     return once.unionByName(left.where("doc_id is null"))
+
+
+#: The same result in DuckDB, by counting the shingles that every two documents share.
+ORACLE = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE CAST([] AS VARCHAR[]) END) AS s
+  FROM texts
+), members AS (SELECT doc_id, unnest(s) AS g FROM sets),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+both AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM members a JOIN members b USING (g)
+  WHERE a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM both JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * both.n >= 75 * (p.n + q.n - both.n)
+), sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM sizes UNION SELECT r.doc_id, s.y FROM reached r JOIN sides s ON s.x = r.other
+), named AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN named USING (doc_id)
+"""
