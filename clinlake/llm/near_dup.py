@@ -10,13 +10,15 @@ documents and all common passages are skipped. Candidates then have all their
 collisions counted, and those above the threshold are confirmed on full sets.
 
 Large groups never become all their pairs: first every posting list is linked
-with one of its members, confirmed links are contracted into components, and only
-lists that still hold several components are merged in full, between components.
+with its most central member, confirmed links are contracted into components, and
+only members around a centre that still form several components are compared in
+full, block by block, each block returning a spanning forest of its links.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,10 @@ K = 64
 MATCHES = 29
 WIDTH = 5
 SIMILAR = 75  # percent
+#: Members of a group that are compared with as many others in one task.
+BLOCK = 512
+#: Bits of the filter that tells which documents' full sets are needed; 2 MB whatever the corpus.
+FILTER_BITS = 2**24
 
 _mix = np.random.default_rng(20240229)
 _A = (_mix.integers(0, 2**32, K, dtype=np.uint64).astype(np.uint32)) | np.uint32(1)
@@ -80,7 +86,11 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _postings(reps: DataFrame) -> DataFrame:
-    """(token, rep) for the prefix of each signature: its rarest shared coordinate-value pairs."""
+    """(token, rep, central) for the prefix of each signature: its rarest shared coordinate-value pairs.
+
+    ``central`` is higher the more documents have the signature's values: of a group
+    of edited copies, the text that they are copies of has the highest.
+    """
     tokens = reps.select("rep", F.posexplode("sig").alias("place", "value")).select(
         "rep", ((F.col("place").cast("long") * F.lit(2**32)) + F.col("value").cast("long")).alias("token")
     )
@@ -90,9 +100,10 @@ def _postings(reps: DataFrame) -> DataFrame:
         .groupBy("rep")
         .agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own"))
         .where(F.size("own") >= MATCHES)
-        .select("rep", F.explode(F.slice("own", F.lit(1), F.size("own") - MATCHES + 1)).alias("t"))
+        .withColumn("central", F.aggregate("own", F.lit(0).cast("long"), lambda acc, x: acc + x["n"]))
+        .select("rep", "central", F.explode(F.slice("own", F.lit(1), F.size("own") - MATCHES + 1)).alias("t"))
     )
-    return prefix.select(F.col("t.token").alias("token"), "rep")
+    return prefix.select(F.col("t.token").alias("token"), "rep", "central")
 
 
 def _matching(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -104,16 +115,40 @@ def _matching(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(hits >= MATCHES).select("a", "b")
 
 
-def _confirmed(spark, docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs with 100 * intersection >= 75 * union on the full shingle sets of their texts."""
-    pairs = saved(spark, pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
+def _full_sets(spark, docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, s): the full shingle sets of these documents.
+
+    The ids travel to the texts as a filter of fixed size, so texts are not
+    shuffled; the few sets that the filter lets through without need are joined with nothing.
+    """
+    page = 32_768  # bits of Spark's own bitmaps
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    marks = (
+        ids.select(slot.alias("slot"))
+        .groupBy(F.expr(f"slot div {page}").alias("page"))
+        .agg(F.bitmap_construct_agg(F.col("slot") % page).alias("bits"))
+        .collect()
+    )
+    wanted = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for r in marks:
+        wanted[r["page"] * page // 8 : (r["page"] + 1) * page // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
 
     def start():
-        return lambda rows: [(r["doc_id"], shingles(r["text"]).view(np.int64)) for r in rows]
+        def work(rows):
+            return [
+                (r["doc_id"], shingles(r["text"]).view(np.int64))
+                for r in rows
+                if r["text"] and wanted[r["slot"] >> 3] >> (r["slot"] & 7) & 1
+            ]
+
+        return work
+
+    found = map_rows(docs.select("doc_id", "text", slot.alias("slot")), "doc_id long, s array<long>", start)
+    return saved(spark, found.where("size(s) > 0"), "sets").groupBy("doc_id").agg(F.min("s").alias("s"))
 
-    own = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    sets = saved(spark, map_rows(own, "doc_id long, s array<long>", start), "sets").groupBy("doc_id").agg(F.min("s").alias("s"))
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs with 100 * intersection >= 75 * union on their full shingle sets."""
     a = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
     b = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -121,6 +156,67 @@ def _confirmed(spark, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(100 * both >= SIMILAR * union).select("a", "b")
 
 
+def _incidence(sets: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
+    """Which set has which of these sorted shingles, as a matrix of 0 and 1."""
+    out = np.zeros((len(sets), len(columns)), dtype=np.float32)
+    for i, s in enumerate(sets):
+        at = np.searchsorted(columns, s)
+        at[at == len(columns)] = 0
+        out[i, at[columns[at] == s]] = 1
+    return out
+
+
+def forest(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+    """Links between members (rep, root, s) of two blocks that join different roots, as a spanning forest."""
+    pairs: list[tuple[int, int]] = []
+    if len(x) and len(y):
+        sx, sy = ([np.asarray(s, dtype=np.int64) for s in side["s"]] for side in (x, y))
+        shared = np.intersect1d(np.unique(np.concatenate(sx)), np.unique(np.concatenate(sy)))
+        both = np.zeros((len(sx), len(sy)), dtype=np.float32)
+        for at in range(0, len(shared), 8192):
+            both += _incidence(sx, shared[at : at + 8192]) @ _incidence(sy, shared[at : at + 8192]).T
+        both = both.astype(np.int64)
+        union = np.array([len(s) for s in sx])[:, None] + np.array([len(s) for s in sy])[None, :] - both
+        rx, ry = x["root"].to_numpy(np.int64), y["root"].to_numpy(np.int64)
+        linked = (100 * both >= SIMILAR * union) & (rx[:, None] != ry[None, :])
+        parent: dict[int, int] = {}
+
+        def top(v):
+            while parent.setdefault(v, v) != v:
+                parent[v] = v = parent[parent[v]]
+            return v
+
+        for i, j in zip(*np.nonzero(linked), strict=True):
+            a, b = top(int(rx[i])), top(int(ry[j]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                pairs.append((int(x["rep"].iloc[i]), int(y["rep"].iloc[j])))
+    return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+
+
+def _late_links(stars: DataFrame, root: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the components that members around one hub still form."""
+    around = stars.select("hub", "rep").unionAll(stars.select("hub", F.col("hub").alias("rep")).distinct())
+    placed = around.join(root, F.col("rep") == F.col("id"), "left").select(
+        "hub", "rep", F.coalesce("root", "rep").alias("root")
+    )
+    open_hubs = (
+        placed.groupBy("hub", "root")
+        .agg(F.count("*").alias("n"))
+        .groupBy("hub")
+        .agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("main"))
+        .where("parts > 1")
+        .select("hub", "main", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    )
+    members = placed.join(open_hubs, "hub").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    members = members.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    same = [F.col(c).alias(c) for c in ("hub", "rep", "root", "s")]  # new columns, so that both sides can meet
+    x = members.where("root <> main").select(F.col("own").alias("i"), others.alias("j"), *same)
+    y = members.select(others.alias("i"), F.col("own").alias("j"), *same)
+    return x.groupBy("hub", "i", "j").cogroup(y.groupBy("hub", "i", "j")).applyInPandas(forest, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Components of near-duplicates: (doc_id, n_shingles, component_id, kept).
 
@@ -144,37 +240,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "representatives",
     )
     posts = saved(spark, _postings(reps), "postings")
-    hubs = posts.groupBy("token").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    stars = posts.join(hubs, "token").select(
-        F.col("rep"), F.explode(F.array("lo", "hi")).alias("hub")
-    ).where("rep <> hub")
-    pairs = stars.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    links = saved(spark, _confirmed(spark, docs, _matching(pairs, reps)), "confirmed")
-    root = components(spark, links)
-
-    placed = posts.join(root, F.col("rep") == F.col("id"), "left").select(
-        "token", "rep", F.coalesce("root", "rep").alias("root")
-    )
-    parts = placed.groupBy("token", "root").agg(F.count("*").alias("n"))
-    open_lists = (
-        parts.groupBy("token")
-        .agg(F.count("*").alias("parts"), F.max_by("root", F.struct("n", "root")).alias("main"))
-        .where("parts > 1")
-        .select("token", "main")
+    hubs = posts.groupBy("token").agg(F.max(F.struct("central", -F.col("rep"))).alias("h"), F.count("*").alias("n"))
+    hubs = hubs.where("n > 1").select("token", (-F.col("h.col2")).alias("hub"))
+    stars = posts.join(hubs, "token").select("rep", "hub").where("rep <> hub")
+    stars = saved(spark, stars.distinct(), "stars")
+    sets = _full_sets(
+        spark, docs, stars.select(F.col("hub").alias("doc_id")).unionAll(stars.select("rep")).distinct()
     )
-    rest = saved(spark, placed.join(open_lists, "token"), "open")
-    x = rest.where("root <> main").select("token", F.col("rep").alias("xr"), F.col("root").alias("xc"))
-    y = rest.select("token", F.col("rep").alias("yr"), F.col("root").alias("yc"), "main")
-    cross = x.join(y, "token").where("xc <> yc and (yc = main or xr < yr)")
-    more = cross.select(F.least("xr", "yr").alias("a"), F.greatest("xr", "yr").alias("b")).distinct()
-    late = _confirmed(spark, docs, _matching(more, reps))
+    pairs = stars.select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+    links = saved(spark, _confirmed(_matching(pairs, reps), sets), "links")
+    late = _late_links(stars, components(spark, links), sets)
     root = components(spark, links.unionAll(late))
 
     # Every document has its set's representative, and with it the component.
-    sets = (
-        base.where("doc_id is not null and n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    )
-    named = sets.join(root, F.col("rep") == F.col("id"), "left").select(
+    own = base.where("doc_id is not null and n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
+    named = own.join(root, F.col("rep") == F.col("id"), "left").select(
         "d1", "d2", F.coalesce("root", "rep").alias("root")
     )
     return (
@@ -216,12 +296,12 @@ WITH RECURSIVE texts AS (
   FROM texts
 ), members AS (SELECT doc_id, unnest(s) AS g FROM sets),
 sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
-both AS (
+common AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM members a JOIN members b USING (g)
   WHERE a.doc_id < b.doc_id GROUP BY ALL
 ), links AS (
-  SELECT x, y FROM both JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
-  WHERE 100 * both.n >= 75 * (p.n + q.n - both.n)
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * common.n >= 75 * (p.n + q.n - common.n)
 ), sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reached AS (
   SELECT doc_id, doc_id AS other FROM sizes UNION SELECT r.doc_id, s.y FROM reached r JOIN sides s ON s.x = r.other
