@@ -92,7 +92,7 @@ class ContextTrees:
         self.cost = np.empty((n1 + n2 + len(kept[3]), a, len(self.languages)), dtype=np.float32)
         for i, lang in enumerate(self.languages):
             self.cost[:, :, i] = self._code_lengths(*split[lang], kept, n1, n2)
-        self.cost = self.cost.reshape(-1, len(self.languages))
+        self.cost = self.cost.reshape(self.cost.shape[0] * a, len(self.languages))
 
     def _code_lengths(self, s, n, kept, n1, n2) -> np.ndarray:
         a = self.alphabet
