@@ -2,13 +2,14 @@
 
 Two forms with one meaning. A handful of codes becomes a map literal that is
 evaluated inside the projection. A vocabulary table is joined: broadcast while
-its row count is checked to be small, and beyond that as a salted shuffle join,
-so that a code that fills a third of all rows is spread over many tasks.
+its bytes are checked to be few, and beyond that as a shuffle join that splits
+the codes which are counted to be hot. Codes that meet once they are normalised
+have one concept in every form: the smallest of theirs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -18,8 +19,9 @@ from pyspark.sql import types as T
 from clinlake.functions.parsing import as_column, normalise, normalise_dotless
 
 MAP_LITERAL_ENTRIES = 200
-BROADCAST_ROWS = 500_000
-SALTS = 16
+BROADCAST_BYTES = 64 * 1024 * 1024
+# A code with more rows than this is dealt over tasks of about as many rows.
+HOT_ROWS = 1_000_000
 
 
 def usable_entries(mapping: Mapping[str, Any]) -> dict[str, int]:
@@ -35,14 +37,23 @@ def usable_entries(mapping: Mapping[str, Any]) -> dict[str, int]:
     return entries
 
 
+def rekeyed(mapping: Mapping[str, Any], form: Callable[[str], str]) -> dict[str, int]:
+    """Usable entries under another form of their codes; the smallest concept wins where codes meet."""
+    entries: dict[str, int] = {}
+    for code, concept in usable_entries(mapping).items():
+        key = form(code)
+        entries[key] = min(concept, entries.get(key, concept))
+    return entries
+
+
 def upper_keys(mapping: Mapping[str, Any]) -> dict[str, int]:
     """Usable entries under their normalised codes."""
-    return {code.strip().upper(): concept for code, concept in usable_entries(mapping).items()}
+    return rekeyed(mapping, lambda code: code.strip().upper())
 
 
 def dotless_keys(mapping: Mapping[str, Any]) -> dict[str, int]:
     """Usable entries under their normalised codes with the dots taken out."""
-    return {code.replace(".", ""): concept for code, concept in upper_keys(mapping).items()}
+    return rekeyed(mapping, lambda code: code.strip().upper().replace(".", ""))
 
 
 def _as_written(code: Column | str) -> Column:
@@ -79,16 +90,25 @@ def normalised_concept_of(
     return concept_of(normalise(code), upper_keys(mapping), default)
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Size check by a count, which every task does for its own rows."""
-    return df.agg(F.count(F.lit(1)).alias("n")).first()["n"] <= rows
+def size_at_most(df: DataFrame, size: int) -> bool:
+    """Size check in bytes: the text of all values and 16 bytes a row, summed by every task for its own rows."""
+    width = F.lit(16)
+    for name in df.columns:
+        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+    return (df.agg(F.sum(width.cast("bigint")).alias("n")).first()["n"] or 0) <= size
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.MapType)
 
 
 def row_hash(df: DataFrame) -> Column:
-    """Hash over a row's columns (maps cannot be hashed and are left out)."""
-    return F.xxhash64(
-        *[f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    )
+    """Hash over a row's columns (maps cannot be hashed; columns with one at any depth are left out)."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)])
 
 
 def distinct_codes(vocabulary: DataFrame, code: str, concept: str) -> DataFrame:
@@ -108,8 +128,8 @@ def join_concepts(
     default: int = 0,
     vocabulary_code: str = "source_code",
     vocabulary_concept: str = "concept_id",
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Append the concept of ``code`` as column ``out``, from a vocabulary table."""
     kept = df.columns
@@ -118,19 +138,36 @@ def join_concepts(
     )
     keyed = df.withColumn("_lookup", as_column(code))
     match = F.col("_lookup") == F.col("_code")
-    if at_most(names, broadcast_rows):
+    if size_at_most(names, broadcast_bytes):
         joined = keyed.join(F.broadcast(names), match, "left")
     else:
-        spread = keyed.withColumn("_salt", F.pmod(row_hash(df), F.lit(salts)))
-        copies = names.withColumn(
-            "_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-        )
-        joined = spread.join(copies, match & (F.col("_salt") == F.col("_copy")), "left")
+        joined = _split_join(df, keyed, names, match, hot_rows)
     return joined.select(
         *kept, F.coalesce(F.col("_concept"), F.lit(default)).cast("int").alias(out)
     )
 
 
+def _split_join(
+    df: DataFrame, keyed: DataFrame, names: DataFrame, match: Column, hot_rows: int
+) -> DataFrame:
+    """Shuffle join that deals the rows of hot codes, as many as are counted, over parts of ``hot_rows``."""
+    hot = (
+        keyed.groupBy(F.col("_lookup").alias("_hot"))
+        .agg(F.ceil(F.count(F.lit(1)) / hot_rows).alias("_parts"))
+        .where(F.col("_hot").isNotNull() & (F.col("_parts") > 1))
+    )
+    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
+    copies = names.join(hot, F.col("_code") == F.col("_hot"), "left").select(
+        "_code", "_concept", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("_copy")
+    )
+    # Few codes can be hot, so this join is a broadcast at run time; NULL codes meet nothing.
+    widths = hot.select(F.col("_hot").alias("_wide"), F.col("_parts").alias("_width"))
+    spread = keyed.join(widths, F.col("_lookup") == F.col("_wide"), "left").withColumn(
+        "_salt", F.pmod(row_hash(df), F.coalesce("_width", F.lit(1).cast("bigint")))
+    )
+    return spread.join(copies, match & (F.col("_salt") == F.col("_copy")), "left")
+
+
 def with_concept(
     df: DataFrame,
     out: str,

@@ -10,10 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clinlake.functions.lookup import at_most
-
-# Keys of a source up to this many rows are sent to every executor.
-BROADCAST_KEYS = 1_000_000
+from clinlake.functions.lookup import BROADCAST_BYTES, size_at_most
 
 
 def dedup_keys(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()) -> DataFrame:
@@ -79,9 +76,9 @@ def merge_into(
     merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
-def source_is_small(source: DataFrame, keys: Sequence[str], rows: int = BROADCAST_KEYS) -> bool:
-    """Checked size of the side that an upsert would broadcast."""
-    return at_most(source.select(*keys), rows)
+def source_is_small(source: DataFrame, keys: Sequence[str], size: int = BROADCAST_BYTES) -> bool:
+    """Checked size, in bytes, of the side that an upsert would broadcast."""
+    return size_at_most(source.select(*keys), size)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

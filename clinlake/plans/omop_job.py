@@ -16,14 +16,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clinlake.fixed_values import CLUSTER_KEYS, CONCEPTS, PRIMARY_KEYS
-from clinlake.functions.lookup import MAP_LITERAL_ENTRIES, at_most
 from clinlake.operators import omop, silver
 from clinlake.operators.contracts import ContractBreach, GateResult, run_gate
 from clinlake.sinks.tables import TableStore, partitions_for
 from clinlake.sources.contracts import Contract, contract_of, load_contract
 from clinlake.sources.delimited import scan_source
 from clinlake.sources.vcf import scan_vcf
-from clinlake.sources.vocabulary import category, load_vocabulary, mapping_of, vocabulary_path
+from clinlake.sources.vocabulary import ROW_LAYOUT, category, load_vocabulary, vocabulary_path
+from clinlake.workspace import scratch_path
 
 # File names of the sources inside a data folder.
 SOURCE_FILES = {
@@ -125,16 +125,14 @@ def gold_tables(
     }
 
 
-def _vocabulary(spark: SparkSession, path: str | None) -> dict[str, dict[str, int] | DataFrame]:
-    """Categories of a vocabulary file: small ones as dictionaries, large ones as tables."""
+def _vocabulary(spark: SparkSession, path: str | None) -> dict[str, DataFrame]:
+    """Categories of a vocabulary file as tables; the file is parsed once, into the shared folder."""
     if vocabulary_path(path) is None:
         return {}
-    table = load_vocabulary(spark, path)
-    parts = {name: category(table, name) for name in CONCEPTS}
-    return {
-        name: mapping_of(table, name) if at_most(rows, MAP_LITERAL_ENTRIES) else rows
-        for name, rows in parts.items()
-    }
+    parsed = scratch_path(spark, "vocabulary")
+    load_vocabulary(spark, path).write.parquet(parsed)
+    table = spark.read.schema(ROW_LAYOUT).parquet(parsed)
+    return {name: category(table, name) for name in CONCEPTS}
 
 
 def key_contract(table: str) -> Contract:

@@ -62,6 +62,15 @@ def cluster_rows(df: DataFrame, columns: Sequence[str], partitions: int | None =
     return ranged.sortWithinPartitions(*columns)
 
 
+def _known_mode(mode: str) -> str:
+    """One of Spark's save modes; any other word is an error rather than an overwrite."""
+    known = {"overwrite": "overwrite", "append": "append", "ignore": "ignore"}
+    known |= dict.fromkeys(("error", "errorifexists"), "error")
+    if mode not in known:
+        raise ValueError(f"mode is one of {', '.join(sorted(known))}, not {mode!r}")
+    return known[mode]
+
+
 def inferred_cluster_keys(df: DataFrame) -> list[str]:
     """Clustering columns of the gold table that the columns look like."""
     by_width = sorted(CLUSTER_KEYS.values(), key=len, reverse=True)
@@ -182,6 +191,23 @@ class TableStore:
         self._register(registered_as, tier, table)
         return path
 
+    def _write(
+        self, df: DataFrame, tier: str, table: str, registered_as: str, mode: str, merge_schema: bool = True,
+        clustering: Sequence[str] = (), user_metadata: str | None = None,
+    ) -> str:
+        """Write in a save mode; a table that is there is left alone by ``ignore`` and refused by ``error``."""
+        mode = _known_mode(mode)
+        if mode == "append":
+            return self._append(df, tier, table, registered_as, merge_schema)
+        current = self.current_path(tier, table) if mode in ("ignore", "error") else None
+        if current is not None and mode == "ignore":
+            return current
+        if current is not None:
+            raise FileExistsError(f"table {tier}/{table} under {self.base_path} has a version already")
+        return self._write_version(
+            df, tier, table, "OVERWRITE", registered_as, clustering, user_metadata
+        )
+
     def _append(
         self, df: DataFrame, tier: str, table: str, registered_as: str, merge_schema: bool
     ) -> str:
@@ -201,18 +227,13 @@ class TableStore:
         self, df: DataFrame, table: str, mode: str = "overwrite", merge_schema: bool = True
     ) -> str:
         """Silver table; a new version, or more files in the current one (``append``)."""
-        name = f"silver_{table}"
-        if mode == "append":
-            return self._append(df, "silver", table, name, merge_schema)
-        return self._write_version(df, "silver", table, "OVERWRITE", name)
+        return self._write(df, "silver", table, f"silver_{table}", mode, merge_schema)
 
     def write_quarantine(
         self, df: DataFrame, table: str = "quarantine_records", mode: str = "append"
     ) -> str:
         """Rejected rows; appended by default, whatever columns they have."""
-        if mode == "append":
-            return self._append(df, "silver", table, table, merge_schema=True)
-        return self._write_version(df, "silver", table, "OVERWRITE", table)
+        return self._write(df, "silver", table, table, mode)
 
     def write_gold(
         self,
@@ -227,11 +248,7 @@ class TableStore:
         """Gold table, clustered by the given or the inferred columns."""
         keys = inferred_cluster_keys(df) if cluster_by is None else list(cluster_by)
         shaped = cluster_rows(df, keys, partitions) if keys else df
-        if mode == "append":
-            return self._append(shaped, "gold", table, table, merge_schema)
-        return self._write_version(
-            shaped, "gold", table, "OVERWRITE", table, keys, user_metadata
-        )
+        return self._write(shaped, "gold", table, table, mode, merge_schema, keys, user_metadata)
 
     def upsert_gold(
         self,
@@ -322,7 +339,7 @@ class TableStore:
                     "recent_commits": [{k: c[k] for k in _COMMIT_FACTS} for c in history],
                 }
             except (PySparkException, IndexError) as error:
-                facts |= {"status": UNAVAILABLE, "notice": str(error)[:500]}
+                facts |= {"status": UNAVAILABLE, "notice": str(error)}
         return self.spark.createDataFrame([facts], TELEMETRY_LAYOUT)
 
 

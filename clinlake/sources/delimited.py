@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,15 @@ from clinlake.fixed_values import BRONZE_COLUMNS, SYNTHEA_COLUMNS
 from clinlake.operators.columns import rename_known
 from clinlake.workspace import path_exists
 
+# What the silver parsers and the OMOP transforms read of each source.
+NEEDED_COLUMNS = {
+    "patients": ("raw_patient_id", "gender", "birth_datetime", "race", "ethnicity"),
+    "diagnoses": ("encounter_id", "raw_patient_id", "diagnosis_date", "icd10_code", "diagnosis_description"),
+    "labs": (
+        "lab_event_id", "raw_patient_id", "lab_datetime", "loinc_code", "test_name", "numeric_value", "unit_value",
+    ),
+}
+
 
 def stamp_ingest(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Append ``ingestion_timestamp``; a given moment makes reruns reproducible."""
@@ -35,6 +46,34 @@ def scan_csv(
     return reader.csv(path)
 
 
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, header): the first line of every file. One pass over the lines, of which each task keeps one per file."""
+    first = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), first.alias("place"))
+    return lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+
+
+def scan_csv_by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """CSV files with headers of their own, every column a string.
+
+    Files with equal headers are read together; the groups are put together by
+    column name, and columns that a file lacks are NULL for its rows.
+    """
+    headers = file_headers(spark, path)
+    distinct = sorted(r["header"] for r in headers.select("header").distinct().collect())
+    if len(distinct) <= 1:
+        return scan_csv(spark, path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    placed = lines.join(headers, F.col("path") == F.col("file")).where("value <> header and value <> ''")
+    parts = []
+    for header in distinct:
+        names = next(csv.reader([header]))
+        layout = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
+        own = placed.where(F.col("header") == header)
+        parts.append(own.select(F.from_csv("value", layout).alias("r")).select("r.*"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def first_existing(spark: SparkSession, *paths: str) -> str:
     """First of several paths (or globs) that exists."""
     for path in paths:
@@ -52,14 +91,15 @@ def scan_source(
 ) -> DataFrame:
     """Bronze ``patients``, ``diagnoses`` or ``labs`` from the first path that exists.
 
-    ``export="synthea"`` renames the columns of a Synthea CSV export.
+    Every file's own header names its columns. ``export="synthea"`` renames the columns of a
+    Synthea CSV export; a canonical source has to have all columns that its transform needs.
     """
     path = first_existing(spark, *paths)
     if export == "synthea":
-        rows = rename_known(scan_csv(spark, path), SYNTHEA_COLUMNS[source])
+        rows = rename_known(scan_csv_by_header(spark, path), SYNTHEA_COLUMNS[source])
     elif export == "canonical":
-        rows = scan_csv(spark, path)
-        missing = [c for c in BRONZE_COLUMNS[source][:5] if c not in rows.columns]
+        rows = scan_csv_by_header(spark, path)
+        missing = [c for c in NEEDED_COLUMNS[source] if c not in rows.columns]
         if missing:
             raise ValueError(f"{path} lacks columns of {source}: {missing}")
     else:

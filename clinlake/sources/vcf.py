@@ -11,7 +11,8 @@ from clinlake.operators.columns import cap_rows
 from clinlake.sources.delimited import first_existing, stamp_ingest
 
 HEADER_MARK = "#CHROM"
-UNSPLITTABLE = (".gz", ".bgz", ".bz2", ".zst")
+# Hadoop splits bzip2 by itself; of the others (block gzip too) one task reads a whole file.
+UNSPLITTABLE = (".gz", ".bgz", ".zst")
 
 
 def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -28,19 +29,47 @@ def header_columns(lines: DataFrame) -> DataFrame:
     ).select("position", F.lower(F.ltrim("label", F.lit("#"))).alias("column_name"))
 
 
-def find_header(lines: DataFrame) -> list[str]:
-    """Column names from the header line, wherever in the scan it turns up."""
-    names = [r["column_name"] for r in header_columns(lines).orderBy("position").collect()]
-    if not names:
-        raise ValueError("no #CHROM header line in the VCF")
-    return names
+def find_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, fields): the column names of every file's header line, wherever in the file it is.
+
+    Of several header lines in a file the smallest counts, so that reruns agree.
+    """
+    lines = spark.read.text(path).where(F.col("value").startswith(HEADER_MARK))
+    label = F.transform(F.split("value", "\t"), lambda f: F.lower(F.ltrim(f, F.lit("#"))))
+    headers = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("value").alias("value"))
+    return headers.select("file", label.alias("fields"))
 
 
-def name_fields(lines: DataFrame, names: list[str]) -> DataFrame:
-    """Split data lines at tabs; fields missing at the end of a short line are NULL."""
-    data = lines.where(~F.col("value").startswith(HEADER_MARK))
-    fields = F.split("value", "\t")
-    return data.select(*[F.get(fields, F.lit(i)).alias(n) for i, n in enumerate(names)])
+def name_fields(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Data lines split at tabs, each field under the name that its own file's header gives it.
+
+    Columns that a file lacks are NULL for its lines, and so are fields missing at the end
+    of a short line. Where all headers are equal they also hold for files without one, such as
+    the parts of one split file; otherwise a file with data but without header is an error.
+    """
+    headers = find_headers(spark, path)
+    names = sorted(
+        headers.select(F.posexplode("fields").alias("at", "name")).groupBy("name").agg(F.min("at")).collect(),
+        key=lambda r: (r[1], r[0]),
+    )
+    if not names:
+        raise ValueError("no #CHROM header line in the VCF")
+    layouts = [r["fields"] for r in headers.select("fields").distinct().limit(2).collect()]
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    data = lines.where(~F.col("value").startswith("#") & (F.col("value") != ""))
+    named = data if len(layouts) == 1 else data.join(headers, F.col("path") == F.col("file"), "left")
+    values = F.split("value", "\t")
+    if len(layouts) == 1:
+        places = F.array(*map(F.lit, layouts[0]))
+    else:
+        lost = F.raise_error(F.concat(F.lit("no #CHROM header line in "), "path"))
+        places = F.when(F.col("fields").isNull(), lost).otherwise(F.col("fields"))
+    return named.select(
+        *[
+            F.get(values, F.nullif(F.array_position(places, r["name"]), F.lit(0)).cast("int") - 1).alias(r["name"])
+            for r in names
+        ]
+    )
 
 
 def scan_vcf(
@@ -51,12 +80,12 @@ def scan_vcf(
 ) -> DataFrame:
     """Variant rows of the first path that exists, every field a string.
 
-    A compressed file arrives as one partition, so its rows are spread again
-    before any work is done on them.
+    Every file has its own header, and files with different ones are read as one table. A
+    compressed file arrives as one partition, so its rows are spread again before any work
+    is done on them.
     """
     path = first_existing(spark, *paths)
-    lines = scan_lines(spark, path)
-    rows = name_fields(lines, find_header(lines))
+    rows = name_fields(spark, path)
     if max_rows is not None:
         rows = cap_rows(rows, max_rows)
     elif path.lower().endswith(UNSPLITTABLE):

@@ -10,14 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinlake.fixed_values import CONCEPTS
-from clinlake.functions.lookup import at_most, usable_entries
+from clinlake.functions.lookup import usable_entries
 from clinlake.functions.parsing import as_column
 from clinlake.workspace import path_exists
 
 PATH_VARIABLE = "CLINLAKE_VOCABULARY"
 ROW_LAYOUT = "category STRING, source_code STRING, concept_id INT"
-# A vocabulary of this size is meant as a table to join, not as a Python dictionary.
-DICTIONARY_ROWS = 10_000
 
 
 def entries_of(documents: DataFrame, document: Column | str = "value") -> DataFrame:
@@ -103,14 +101,6 @@ def categories(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.groupBy("category").agg(F.count(F.lit(1)).alias("codes"))
 
 
-def mapping_of(vocabulary: DataFrame, name: str) -> dict[str, int]:
-    """One small category as a dictionary for the map form of the lookup."""
-    rows = category(vocabulary, name)
-    if not at_most(rows, DICTIONARY_ROWS):
-        raise ValueError(f"{name} has more than {DICTIONARY_ROWS} codes: join the table instead")
-    return {r["source_code"]: r["concept_id"] for r in rows.collect()}
-
-
 def drift(old: DataFrame, new: DataFrame, changed_only: bool = True) -> DataFrame:
     """Codes with another concept in ``new``; optionally added and removed ones too."""
     keys = ["category", "source_code"]

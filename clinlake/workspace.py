@@ -23,7 +23,8 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:

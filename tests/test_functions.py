@@ -108,11 +108,11 @@ def test_lookup_skips_remarks_and_unusable_entries(spark):
     assert column(df, lookup.concept_of("x", {"_only": 1})) == [0] * 6
 
 
-@pytest.mark.parametrize("broadcast_rows", [lookup.BROADCAST_ROWS, 0])
-def test_map_and_join_agree(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [lookup.BROADCAST_BYTES, 0])
+def test_map_and_join_agree(spark, broadcast_bytes):
     df = strings(spark, "4548-4", "2345-7", "9999-9", None, "4548-4")
     table = vocabulary.category(vocabulary.built_in(spark), "loinc_to_concept")
-    joined = lookup.join_concepts(df, "x", table, "v", broadcast_rows=broadcast_rows)
+    joined = lookup.join_concepts(df, "x", table, "v", broadcast_bytes=broadcast_bytes)
     expected = column(df, lookup.concept_of("x", CONCEPTS["loinc_to_concept"]))
     assert [r["v"] for r in joined.orderBy("i").collect()] == expected
 
@@ -130,13 +130,31 @@ def test_join_plan_broadcasts_only_what_is_small(spark):
     assert "ResolvedHint (strategy=broadcast)" in small or "BroadcastHashJoin" in small
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        large = lookup.join_concepts(df, "x", table, "v", broadcast_rows=0)
+        large = lookup.join_concepts(df, "x", table, "v", broadcast_bytes=0)
         assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
         assert large.count() == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_large_dictionary_is_joined(spark):
+    entries = {f"C{i}": i for i in range(1_000_000)}
+    joined = lookup.with_concept(strings(spark, "c7", "C999999", "x"), "v", "x", entries)
+    assert "Join" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["v"] for r in joined.orderBy("i").collect()] == [7, 999_999, 0]
+
+
+@pytest.mark.parametrize("unused", [0, 300])
+def test_colliding_codes_have_one_meaning_at_every_size(spark, unused):
+    df = strings(spark, "e119", "E11.9", " e11.9")
+    for pairs in ({"e119": 100, "E11.9": 900}, {"E11.9": 900, "e119": 100}, {"e119": 900, "E11.9": 100}):
+        entries = pairs | {f"U{i}": i for i in range(unused)}
+        table = spark.createDataFrame(list(entries.items()), "source_code string, concept_id int")
+        for vocabulary in (entries, table):
+            found = lookup.with_concept(df, "v", "x", vocabulary, "dotless").select("v").distinct().collect()
+            assert [r["v"] for r in found] == [100]
+
+
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.sampled_from(["E11.9", "i10 ", "j45909", "zz", ""])), min_size=1, max_size=20))
 def test_icd10_lookup_equals_a_dictionary_probe(spark, codes):
@@ -195,7 +213,7 @@ def test_salted_join_spreads_a_hot_code(spark):
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        joined = lookup.join_concepts(df, "x", table, "v", broadcast_rows=0)
+        joined = lookup.join_concepts(df, "x", table, "v", broadcast_bytes=0, hot_rows=500)
         hot = joined.where("x = 'HOT'").groupBy(F.spark_partition_id()).count().collect()
         assert sum(r["count"] for r in hot) == 10_000 and max(r["count"] for r in hot) < 5_000
         assert joined.where("x = 'HOT' AND v <> 7").count() == 0 and joined.count() == 30_000

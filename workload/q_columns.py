@@ -365,10 +365,61 @@ def concept_lookup_salted(spark, sf_dir):
     """The same look-up in the form for vocabularies too large to broadcast."""
     return lookup.join_concepts(
         part_codes_in_lineitem(spark, sf_dir), "code", part_vocabulary(spark, sf_dir), "concept_id",
-        broadcast_rows=0,
+        broadcast_bytes=0, hot_rows=5_000,
     )
 
 
+COLLIDING_SQL = "SELECT c_custkey, CAST(c_nationkey + 50 AS INTEGER) AS concept_id FROM customer"
+
+
+def colliding_codes(spark, sf_dir):
+    """Customers with their nation's name, and codes of which two meet once they are normalised."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    codes = nation.select(
+        F.lit("nation_to_concept").alias("category"),
+        F.explode(F.array(
+            F.struct(F.concat("n_name", F.lit(".1")).alias("code"), (F.col("n_nationkey") + 900).alias("id")),
+            F.struct(F.lower(F.concat("n_name", F.lit("1"))).alias("code"), (F.col("n_nationkey") + 50).alias("id")),
+        )).alias("c"),
+    ).select("category", F.col("c.code").alias("source_code"), F.col("c.id").cast("int").alias("concept_id"))
+    customers = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return customers.select("c_custkey", F.concat("n_name", F.lit(".1")).alias("code")), codes
+
+
+@query("concept_collisions_map", COLLIDING_SQL)
+def concept_collisions_map(spark, sf_dir):
+    """The dictionary of a small table (nation has 25 rows): a map literal."""
+    df, codes = colliding_codes(spark, sf_dir)
+    entries = {r["source_code"]: r["concept_id"] for r in codes.collect()}
+    return lookup.with_concept(df, "concept_id", "code", entries, "dotless").drop("code")
+
+
+@query("concept_collisions_dictionary", COLLIDING_SQL)
+def concept_collisions_dictionary(spark, sf_dir):
+    """The same dictionary grown beyond a map literal by codes that nobody has: a join."""
+    df, codes = colliding_codes(spark, sf_dir)
+    entries = {r["source_code"]: r["concept_id"] for r in codes.collect()}
+    entries |= {f"unused-{i}": i for i in range(lookup.MAP_LITERAL_ENTRIES + 1)}
+    return lookup.with_concept(df, "concept_id", "code", entries, "dotless").drop("code")
+
+
+@query("concept_collisions_broadcast", COLLIDING_SQL)
+def concept_collisions_broadcast(spark, sf_dir):
+    df, codes = colliding_codes(spark, sf_dir)
+    return lookup.with_concept(df, "concept_id", "code", codes, "dotless").drop("code")
+
+
+@query("concept_collisions_split", COLLIDING_SQL)
+def concept_collisions_split(spark, sf_dir):
+    """The form for vocabularies too large to broadcast, with every code dealt over several parts."""
+    df, codes = colliding_codes(spark, sf_dir)
+    shape = lookup.CODE_FORMS["dotless"][0]
+    codes = codes.withColumn("source_code", shape("source_code"))
+    return lookup.join_concepts(
+        df, shape("code"), codes, "concept_id", broadcast_bytes=0, hot_rows=10
+    ).drop("code")
+
+
 @query("icd10_lookup", f"SELECT encounter_id, {ICD10_SQL} AS concept_id FROM bronze_diagnoses", D)
 def icd10_lookup(spark, sf_dir):
     df = view(spark, sf_dir, "bronze_diagnoses")

@@ -89,6 +89,23 @@ def multi_format_load(spark, sf_dir):
     return columns.union_by_name(*loaded)
 
 
+MIXED_PATIENTS_SQL = (
+    "SELECT raw_patient_id, CASE WHEN n % 3 <> 2 THEN gender END AS gender, birth_datetime, race, ethnicity "
+    "FROM (SELECT *, CAST(substr(raw_patient_id, 5) AS BIGINT) AS n FROM bronze_patients)"
+)
+
+
+@query("csv_mixed_headers", MIXED_PATIENTS_SQL, P)
+def csv_mixed_headers(spark, sf_dir):
+    """Three kinds of files in one folder: canonical, in another column order, and without gender."""
+    rows = view(spark, sf_dir, "bronze_patients").withColumn("n", F.substring("raw_patient_id", 5, 20).cast("bigint") % 3)
+    path = scratch_path(spark, "mixed-patients")
+    for kind, names in enumerate((PATIENT_COLUMNS, PATIENT_COLUMNS[::-1], [c for c in PATIENT_COLUMNS if c != "gender"])):
+        part = rows.where(F.col("n") == kind).select(*names)
+        part.write.options(**CSV_OPTIONS).mode("append").csv(path)
+    return delimited.scan_csv_by_header(spark, path)
+
+
 # -- VCF ------------------------------------------------------------------------
 
 VCF_FIELDS = ("chrom", "pos", "id", "ref", "alt", "qual", "filter", "info", "patient_id", "sample_id")
@@ -144,6 +161,25 @@ def vcf_parse(spark, sf_dir):
     return vcf.scan_vcf(spark, vcf_file(spark, sf_dir)).drop("ingestion_timestamp")
 
 
+@query(
+    "vcf_mixed_headers",
+    "SELECT chrom, pos, id, ref, alt, qual, coalesce(filter, '') AS filter, info, patient_id, "
+    "CASE WHEN CAST(substr(id, 3) AS BIGINT) % 2 = 0 THEN sample_id END AS sample_id FROM bronze_variants",
+    V,
+)
+def vcf_mixed_headers(spark, sf_dir):
+    """Two kinds of files in one folder: one has its patients first and no samples."""
+    rows = view(spark, sf_dir, "bronze_variants").withColumn("filter", F.coalesce("filter", F.lit("")))
+    odd = F.substring("id", 3, 20).cast("bigint") % 2
+    path = scratch_path(spark, "mixed-variants")
+    for kind, names in enumerate((VCF_FIELDS, ("chrom", "patient_id", *VCF_FIELDS[1:8]))):
+        header = "#" + "\t".join(f.upper() for f in names)
+        top = spark.createDataFrame([(text,) for text in (*REMARKS, header)], "value string")
+        lines = rows.where(odd == kind).select(F.concat_ws("\t", *names).alias("value"))
+        top.unionByName(lines).coalesce(1).write.mode("append").text(path)
+    return vcf.scan_vcf(spark, path).drop("ingestion_timestamp").select(*VCF_FIELDS)
+
+
 # -- vocabularies, contracts, digests -----------------------------------------------
 
 
@@ -238,11 +274,20 @@ def sha256_manifest(spark, sf_dir):
     )
 
 
-@query("file_sha256_manifest")
+@query(
+    "file_sha256_manifest",
+    "SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS length, "
+    "sha256(coalesce(text, '') || chr(10)) AS sha256 FROM documents",
+)
 def file_sha256_manifest(spark, sf_dir):
-    """Digests of the given tables' files; checked against hashlib in the tests."""
-    manifest = files.file_manifest(spark, sf_dir, "*.parquet")
-    return manifest.withColumn("path", F.regexp_extract("path", r"([^/]+)$", 1))
+    """Every document as a text file of its own, and the digests of all these files."""
+    path = scratch_path(spark, "document-files")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    docs.repartition("doc_id").write.partitionBy("doc_id").text(path)
+    manifest = files.file_manifest(spark, path, "part-*")
+    return manifest.select(
+        F.regexp_extract("path", r"doc_id=(\d+)/", 1).cast("bigint").alias("doc_id"), "length", "sha256"
+    )
 
 
 @query(

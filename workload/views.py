@@ -18,7 +18,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
                 "ELSE 'Male' END"
             ),
             "birth_datetime": (
-                "CASE WHEN c_custkey % 11 = 0 THEN 'MALFORMED_TIMESTAMP' "
+                "CASE WHEN c_custkey % 11 = 0 THEN '13th of Smarch' "
                 "WHEN c_custkey % 11 = 1 THEN '1985-06-15' "
                 "ELSE concat(CAST(1940 + c_custkey % 65 AS string), '-', "
                 "lpad(CAST(1 + c_custkey % 12 AS string), 2, '0'), '-', "
@@ -132,7 +132,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "start_time": "o_orderdate",
             "data_sha256": (
                 "CASE o_orderkey % 4 WHEN 0 THEN sha256(CAST(o_orderkey AS string)/*256*/) "
-                "WHEN 1 THEN 'in_memory_dataframe' WHEN 2 THEN 'invalid_checksum' ELSE NULL END"
+                "WHEN 1 THEN 'in_memory_dataframe' WHEN 2 THEN 'not-a-digest' ELSE NULL END"
             ),
             "rules_sha256": (
                 "CASE WHEN o_orderkey % 3 = 0 THEN 'bad' ELSE sha256(o_orderpriority/*256*/) END"
