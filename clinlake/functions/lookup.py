@@ -14,14 +14,12 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from clinlake.functions.joins import HOT_ROWS, left_join_split
 from clinlake.functions.parsing import as_column, normalise, normalise_dotless
 
 MAP_LITERAL_ENTRIES = 200
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A code with more rows than this is dealt over tasks of about as many rows.
-HOT_ROWS = 1_000_000
 
 
 def usable_entries(mapping: Mapping[str, Any]) -> dict[str, int]:
@@ -98,19 +96,6 @@ def size_at_most(df: DataFrame, size: int) -> bool:
     return (df.agg(F.sum(width.cast("bigint")).alias("n")).first()["n"] or 0) <= size
 
 
-def _has_map(kind: T.DataType) -> bool:
-    if isinstance(kind, T.StructType):
-        return any(_has_map(f.dataType) for f in kind.fields)
-    if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
-    return isinstance(kind, T.MapType)
-
-
-def row_hash(df: DataFrame) -> Column:
-    """Hash over a row's columns (maps cannot be hashed; columns with one at any depth are left out)."""
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)])
-
-
 def distinct_codes(vocabulary: DataFrame, code: str, concept: str) -> DataFrame:
     """One concept per code; the smallest wins when a code is listed twice."""
     return (
@@ -137,37 +122,15 @@ def join_concepts(
         F.col(vocabulary_code).alias("_code"), F.col(vocabulary_concept).alias("_concept")
     )
     keyed = df.withColumn("_lookup", as_column(code))
-    match = F.col("_lookup") == F.col("_code")
     if size_at_most(names, broadcast_bytes):
-        joined = keyed.join(F.broadcast(names), match, "left")
+        joined = keyed.join(F.broadcast(names), F.col("_lookup") == F.col("_code"), "left")
     else:
-        joined = _split_join(df, keyed, names, match, hot_rows)
+        joined = left_join_split(keyed, names.withColumnRenamed("_code", "_lookup"), "_lookup", hot_rows)
     return joined.select(
         *kept, F.coalesce(F.col("_concept"), F.lit(default)).cast("int").alias(out)
     )
 
 
-def _split_join(
-    df: DataFrame, keyed: DataFrame, names: DataFrame, match: Column, hot_rows: int
-) -> DataFrame:
-    """Shuffle join that deals the rows of hot codes, as many as are counted, over parts of ``hot_rows``."""
-    hot = (
-        keyed.groupBy(F.col("_lookup").alias("_hot"))
-        .agg(F.ceil(F.count(F.lit(1)) / hot_rows).alias("_parts"))
-        .where(F.col("_hot").isNotNull() & (F.col("_parts") > 1))
-    )
-    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
-    copies = names.join(hot, F.col("_code") == F.col("_hot"), "left").select(
-        "_code", "_concept", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("_copy")
-    )
-    # Few codes can be hot, so this join is a broadcast at run time; NULL codes meet nothing.
-    widths = hot.select(F.col("_hot").alias("_wide"), F.col("_parts").alias("_width"))
-    spread = keyed.join(widths, F.col("_lookup") == F.col("_wide"), "left").withColumn(
-        "_salt", F.pmod(row_hash(df), F.coalesce("_width", F.lit(1).cast("bigint")))
-    )
-    return spread.join(copies, match & (F.col("_salt") == F.col("_copy")), "left")
-
-
 def with_concept(
     df: DataFrame,
     out: str,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clinlake import fixed_values as fixed
 from clinlake.functions.parsing import is_sha256
+from clinlake.functions.joins import HOT_ROWS, left_join_split
 from clinlake.operators.checks import Check
 from clinlake.sources.commitlog import schema_names
 
@@ -164,13 +165,13 @@ def schema_checks(
     ]
 
 
-def log_evidence(targets: DataFrame, tables: DataFrame) -> DataFrame:
+def log_evidence(targets: DataFrame, tables: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Roll-ups of the tables that are to be audited, with the state of their log.
 
     ``targets`` holds ``table_id`` and may hold ``log_exists``; a table without any
     commit has an empty log, or none at all when ``log_exists`` says so.
     """
-    joined = targets.join(tables, "table_id", "left")
+    joined = left_join_split(targets, tables, "table_id", hot_rows)
     exists = F.col("log_exists") if "log_exists" in targets.columns else F.lit(True)
     state = (
         F.when(F.col("table_id").isNull(), "SKIPPED")
@@ -182,10 +183,15 @@ def log_evidence(targets: DataFrame, tables: DataFrame) -> DataFrame:
     return joined.withColumn("log_evidence", state)
 
 
-def audit_evidence(targets: DataFrame, runs: DataFrame, tables: DataFrame) -> DataFrame:
-    """Everything known about each audit target (``audit_id, run_id, table_id``)."""
-    with_log = log_evidence(targets, tables)
-    joined = with_log.join(runs, "run_id", "left")
+def audit_evidence(
+    targets: DataFrame, runs: DataFrame, tables: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Everything known about each audit target (``audit_id, run_id, table_id``).
+
+    Targets without an id, and many targets of one run or table, are spread over tasks.
+    """
+    with_log = log_evidence(targets, tables, hot_rows)
+    joined = left_join_split(with_log, runs, "run_id", hot_rows, counted=targets)
     state = F.when(F.col("run_id").isNull(), "SKIPPED").otherwise(
         F.coalesce("run_evidence", F.lit("ERROR"))
     )

@@ -159,6 +159,13 @@ class GateResult:
     unsuccessful_expectations: int
     success_rate: float
     failed_rules: tuple[str, ...]
+    # One entry per judged rule: its name, and whether it held.
+    rules: tuple[tuple[str, bool], ...] = ()
+    run_id: str | None = None
+
+
+def _rule_name(row) -> str:
+    return f"{row['expectation_type']}({row['column_name'] or row['details']})"
 
 
 def run_gate(df: DataFrame, contract: Contract, strict: bool = False) -> GateResult:
@@ -169,7 +176,7 @@ def run_gate(df: DataFrame, contract: Contract, strict: bool = False) -> GateRes
     rows = rule_results(df, contract).collect()
     judged = [r for r in rows if r["success"] is not None]
     failed = [r for r in judged if not r["success"]]
-    names = [f"{r['expectation_type']}({r['column_name'] or r['details']})" for r in failed]
+    names = [_rule_name(r) for r in failed]
     if strict and failed:
         raise ContractBreach(contract.name, names)
     passed = len(judged) - len(failed)
@@ -182,6 +189,7 @@ def run_gate(df: DataFrame, contract: Contract, strict: bool = False) -> GateRes
         unsuccessful_expectations=len(failed),
         success_rate=100.0 * passed / len(judged) if judged else 0.0,
         failed_rules=tuple(names),
+        rules=tuple((_rule_name(r), bool(r["success"])) for r in judged),
     )
 
 

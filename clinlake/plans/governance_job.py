@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import os
 import uuid
+from dataclasses import replace
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +53,7 @@ def ledger_entry(
     run_id: str | None = None,
     environment: str | None = None,
 ) -> DataFrame:
-    """One ledger row with the parameters and metrics of a contract run."""
+    """One ledger row with the parameters, metrics and per-rule outcomes of a contract run."""
     params = {
         "data_input_path": data_path or IN_MEMORY_DATA,
         "data_sha256": data_sha256,
@@ -69,9 +70,10 @@ def ledger_entry(
         "expectation_success_rate": float(gate.success_rate),
         "gxp_gate_passed": 1.0 if gate.success else 0.0,
     }
+    tags = {f"rule_{n}": f"{name}: {'held' if held else 'broken'}" for n, (name, held) in enumerate(gate.rules)}
     row = (
         run_id or uuid.uuid4().hex, experiment.lstrip("/"), "gxp_data_contract_gate", "FINISHED",
-        started, datetime.now(UTC), params, metrics, {}, [contract.path] if contract.path else [],
+        started, datetime.now(UTC), params, metrics, tags, [contract.path] if contract.path else [],
     )
     return spark.createDataFrame([row], LEDGER_LAYOUT)
 
@@ -86,15 +88,18 @@ def evaluate(
     strict: bool = False,
     run_id: str | None = None,
 ) -> GateResult:
-    """Gate the whole frame, record the run, and only then raise in strict mode."""
+    """Gate the whole frame, record the run, and only then raise in strict mode.
+
+    The result carries the run's id, under which the ledger keeps every rule's outcome.
+    """
     started = datetime.now(UTC)
     contract = load_contract(spark, contract_path)
-    gate = run_gate(df, contract)
+    gate = replace(run_gate(df, contract), run_id=run_id or uuid.uuid4().hex)
     if ledger_path:
         digest = data_digest(spark, data_path) if data_path else IN_MEMORY_DATA
         append_runs(
             ledger_entry(
-                spark, gate, contract, experiment, data_path, digest, started, run_id
+                spark, gate, contract, experiment, data_path, digest, started, gate.run_id
             ).coalesce(1),
             ledger_path,
         )
@@ -110,10 +115,17 @@ def govern(
     experiment: str = DEFAULT_EXPERIMENT,
     ledger_path: str | None = None,
     strict: bool = False,
+    schema: str | None = None,
+    infer_types: bool = False,
+    run_id: str | None = None,
 ) -> GateResult:
-    """Load a file or folder, evaluate its contract, record the run."""
-    df = load_dataset(spark, data_path)
-    return evaluate(spark, df, contract_path, experiment, ledger_path, data_path, strict)
+    """Load a file or folder, evaluate its contract, record the run.
+
+    Types come from ``schema``. Without one, CSV columns are strings unless
+    ``infer_types`` asks for the additional pass over the data.
+    """
+    df = load_dataset(spark, data_path, schema, infer_types)
+    return evaluate(spark, df, contract_path, experiment, ledger_path, data_path, strict, run_id)
 
 
 def main(argv: list[str] | None = None) -> GateResult:
@@ -123,10 +135,13 @@ def main(argv: list[str] | None = None) -> GateResult:
     parser.add_argument("--experiment", default=DEFAULT_EXPERIMENT)
     parser.add_argument("--ledger")
     parser.add_argument("--strict", action="store_true")
+    parser.add_argument("--schema", help="columns and types, as in DDL")
+    parser.add_argument("--infer-types", action="store_true")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("clinlake-contract").getOrCreate()
     gate = govern(
-        spark, args.data_path, args.rules_path, args.experiment, args.ledger, args.strict
+        spark, args.data_path, args.rules_path, args.experiment, args.ledger, args.strict,
+        args.schema, args.infer_types,
     )
     print(
         f"{gate.contract}: {gate.successful_expectations} of {gate.evaluated_expectations} "

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinlake.fixed_values import CLUSTER_KEYS
-from clinlake.functions.lookup import row_hash
+from clinlake.functions.joins import row_hash
 from clinlake.operators.merge import dedup_keys, source_is_small, upsert
 from clinlake.workspace import child_names, drop_tree, modified_at, path_exists
 

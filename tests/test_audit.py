@@ -339,3 +339,34 @@ def test_experiments_without_runs_say_so(spark):
     df = runs(spark, run_row("a", datetime(2024, 1, 1), gate=0.0), run_row("b", datetime(2024, 2, 1)))
     got = ledger.experiment_state(asked, df).select("experiment", "run_id", "status", "gxp_gate_passed")
     assert rows(got) == [("e", "b", "FINISHED", True), ("nobody", None, "NO_RUNS", False)]
+
+
+def test_audits_spread_hot_and_missing_ids(spark):
+    """Without broadcasts and adaptive execution, no task gets more than a few times the usual rows."""
+    targets = spark.range(12_000).selectExpr(
+        "CAST(id AS string) AS audit_id", "IF(id % 3 = 0, NULL, concat('run_', id)) AS run_id",
+        "CASE WHEN id % 4 = 0 THEN NULL WHEN id % 4 = 1 THEN 'hot' ELSE concat('t', id % 400) END AS table_id",
+    )
+    tables = spark.range(400).selectExpr(
+        "IF(id = 0, 'hot', concat('t', id)) AS table_id", "0L AS unreadable_lines", "1L AS total_commits"
+    )
+    runs = spark.range(12_000).selectExpr("concat('run_', id) AS run_id", "'COLLECTED' AS run_evidence")
+    options = {
+        "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k) for k in options}
+    for k, v in options.items():
+        spark.conf.set(k, v)
+    try:
+        with_log = audits.log_evidence(targets, tables, hot_rows=200)
+        full = audits.audit_evidence(targets, runs, tables, hot_rows=200)
+        for joined in (with_log, full):
+            sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+            assert sum(sizes) == 12_000 and sizes[-1] < 2.5 * sizes[len(sizes) // 2]
+        states = {r[0]: r[1] for r in full.groupBy("log_evidence").count().collect()}
+        assert states == {"SKIPPED": 3_000, "COLLECTED": 9_000}
+        assert full.where("run_evidence = 'SKIPPED'").count() == 4_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

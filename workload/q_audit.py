@@ -312,21 +312,19 @@ def latest_run(spark, sf_dir):
 
 @query(
     "experiment_state",
-    "SELECT concat('experiment_', c_custkey) AS experiment, r.run_id, "
+    "SELECT concat(CASE WHEN c_custkey % 4 = 1 THEN 'unknown_' ELSE 'experiment_' END, c_custkey) AS experiment, r.run_id, "
     "CASE WHEN r.run_id IS NULL THEN 'NO_RUNS' ELSE 'FINISHED' END AS status, "
     "coalesce(r.gxp_gate_passed = 1.0, false) AS gxp_gate_passed FROM customer LEFT JOIN "
     "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY experiment_id ORDER BY start_time DESC, "
-    "run_id DESC) AS n FROM run_ledger WHERE experiment_id % 4 <> 1) WHERE n = 1) r ON c_custkey = r.experiment_id",
+    "run_id DESC) AS n FROM run_ledger) WHERE n = 1) r ON c_custkey = r.experiment_id AND c_custkey % 4 <> 1",
     R,
 )
 def experiment_state(spark, sf_dir):
-    """Newest run of one experiment per customer; every fourth one has no run in the ledger."""
-    asked = table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("experiment_"), "c_custkey").alias("experiment")
-    )
-    number = F.substring("experiment", 12, 20).cast("bigint")
-    known = ledger_rows(spark, sf_dir).where(number % 4 != 1)
-    return ledger.experiment_state(asked, known).select("experiment", "run_id", "status", "gxp_gate_passed")
+    """Newest run of one experiment per customer; every fourth one asks for a name that the ledger does not have."""
+    unknown = F.when(F.col("c_custkey") % 4 == 1, "unknown_").otherwise("experiment_")
+    asked = table(spark, sf_dir, "customer").select(F.concat(unknown, "c_custkey").alias("experiment"))
+    state = ledger.experiment_state(asked, ledger_rows(spark, sf_dir))
+    return state.select("experiment", "run_id", "status", "gxp_gate_passed")
 
 
 def requested_runs(spark, sf_dir):
@@ -510,6 +508,22 @@ def audit_receipt(spark, sf_dir):
     return run_reports(spark, sf_dir).select("run_id", "compliance_status", "report_json", "receipt_sha256")
 
 
+@query(
+    "audit_certificates",
+    "SELECT run_id, compliance_status AS gxp_audit_status, sha256(report_json) AS gxp_audit_receipt_sha256, "
+    f"compliance_score AS gxp_audit_compliance_score FROM {REPORT_ROWS}",
+    R,
+)
+def audit_certificates(spark, sf_dir):
+    """What an audit attaches to its run: tags and metrics, here as columns."""
+    given = checks.certificates(run_reports(spark, sf_dir))
+    return given.select(
+        "run_id", F.col("tags")["gxp_audit_status"].alias("gxp_audit_status"),
+        F.col("tags")["gxp_audit_receipt_sha256"].alias("gxp_audit_receipt_sha256"),
+        F.col("metrics")["gxp_audit_compliance_score"].alias("gxp_audit_compliance_score"),
+    )
+
+
 @query(
     "audit_report_json",
     "SELECT run_id, compliance_status, sha256(report_json) AS document_sha256, '2024-06-01' AS audit_date "

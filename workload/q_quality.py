@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.sql import functions as F
+
 from clinlake.fixed_values import RULE_COLUMNS, RULE_IN_SET, RULE_NOT_NULL, RULE_REGEX
-from clinlake.operators import contracts, omop, silver
+from clinlake.operators import contracts, ledger, omop, silver
+from clinlake.operators.contracts import ContractBreach
+from clinlake.plans import governance_job
 from clinlake.sources.contracts import contract_of
-from workload.catalog import query, view
+from clinlake.workspace import scratch_path
+from workload.catalog import query, saved, table, view
 from workload.q_columns import P
 from workload.q_omop import KEYS, person_columns
 
@@ -144,3 +151,66 @@ def contract_summary(spark, sf_dir):
 def row_violations(spark, sf_dir):
     rules = contract(NOT_NULL, REGEX, IN_SET, ABSENT, UNKNOWN)
     return contracts.violations(everyone(spark, sf_dir), rules, ["person_source_value"])
+
+
+# -- whole contract runs ----------------------------------------------------------
+
+GOVERNED_RULES = {
+    "expectation_suite_name": "orders",
+    "expectations": [
+        {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "o_orderkey"}},
+        {"expectation_type": "expect_column_values_to_be_in_set", "kwargs": {"column": "o_orderstatus", "value_set": ["O", "F"]}},
+    ],
+}
+GOVERNED_SQL = (
+    "SELECT count(*)::DOUBLE AS total_records_ingested, 2.0::DOUBLE AS evaluated_expectations, "
+    "(count(*) = count(o_orderkey))::INT + (count_if(o_orderstatus NOT IN ('O', 'F')) = 0)::INT AS held, "
+    "{extra} FROM orders"
+)
+
+
+def governed_file(spark, sf_dir):
+    """Orders as CSV files, and the rules for them as a JSON file."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    data = saved(spark, table(spark, sf_dir, "orders").select(*columns), "governed", "csv", header=True)
+    document = spark.createDataFrame([(json.dumps(GOVERNED_RULES),)], "value string").coalesce(1)
+    return data, saved(spark, document, "rules", "text")
+
+
+@query(
+    "governance_run",
+    GOVERNED_SQL.format(extra="'R1' AS run_id, count(o_orderkey) = count(*) AS keys_hold"),
+)
+def governance_run(spark, sf_dir):
+    """Load, evaluate and record; then read the ledger back, with every rule's outcome."""
+    data, rules = governed_file(spark, sf_dir)
+    path = scratch_path(spark, "ledger")
+    governance_job.govern(
+        spark, data, rules, ledger_path=path, run_id="R1",
+        schema="o_orderkey bigint, o_custkey bigint, o_orderstatus string",
+    )
+    tags = F.col("tags")
+    return ledger.read_ledger(spark, path).select(
+        F.col("metrics")["total_records_ingested"].alias("total_records_ingested"),
+        F.col("metrics")["evaluated_expectations"].alias("evaluated_expectations"),
+        F.size(F.map_filter(tags, lambda _, v: v.endswith(": held"))).alias("held"),
+        "run_id",
+        (tags["rule_0"] == "expect_column_values_to_not_be_null(o_orderkey): held").alias("keys_hold"),
+    )
+
+
+@query(
+    "strict_gate",
+    "SELECT count(*) AS rows, count_if(o_orderstatus NOT IN ('O', 'F')) > 0 AS raised FROM orders",
+)
+def strict_gate(spark, sf_dir):
+    """A strict run raises if a rule is broken, after it has judged all rows."""
+    data, rules = governed_file(spark, sf_dir)
+    raised = False
+    try:
+        governance_job.govern(
+            spark, data, rules, strict=True, schema="o_orderkey bigint, o_custkey bigint, o_orderstatus string"
+        )
+    except ContractBreach:
+        raised = True
+    return table(spark, sf_dir, "orders").agg(F.count("*").alias("rows"), F.lit(raised).alias("raised"))
