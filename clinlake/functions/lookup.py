@@ -88,12 +88,17 @@ def normalised_concept_of(
     return concept_of(normalise(code), upper_keys(mapping), default)
 
 
-def size_at_most(df: DataFrame, size: int) -> bool:
-    """Size check in bytes: the text of all values and 16 bytes a row, summed by every task for its own rows."""
+def text_bytes(df: DataFrame) -> int:
+    """Bytes of a frame: the text of all values and 16 a row, added up by every task for its own rows."""
     width = F.lit(16)
     for name in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
-    return (df.agg(F.sum(width.cast("bigint")).alias("n")).first()["n"] or 0) <= size
+        width = width + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
+    return df.agg(F.sum(width.cast("bigint")).alias("n")).first()["n"] or 0
+
+
+def size_at_most(df: DataFrame, size: int) -> bool:
+    """Size check in bytes."""
+    return text_bytes(df) <= size
 
 
 def distinct_codes(vocabulary: DataFrame, code: str, concept: str) -> DataFrame:

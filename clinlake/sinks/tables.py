@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from clinlake.fixed_values import CLUSTER_KEYS
 from clinlake.functions.joins import row_hash
+from clinlake.functions.lookup import text_bytes
 from clinlake.operators.merge import dedup_keys, source_is_small, upsert
 from clinlake.workspace import child_names, drop_tree, modified_at, path_exists
 
@@ -38,6 +39,9 @@ TELEMETRY_LAYOUT = (
     "version:int,operation:string,user_metadata:string>>, notice string"
 )
 
+# A table laid out by key buckets names their number in the partition column.
+BUCKET_PREFIX = "_bucket_of_"
+
 # Size that a range partition, and so a clustered file, is meant to have.
 PARTITION_BYTES = 256 * 1024 * 1024
 
@@ -144,7 +148,8 @@ class TableStore:
         reader = self.spark.read.format(self.fmt)
         if self.fmt in ("parquet", "orc"):
             reader = reader.option("mergeSchema", merge_schema)
-        return reader.load(path)
+        rows = reader.load(path)
+        return rows.drop(*[c for c in rows.columns if c.startswith(BUCKET_PREFIX)])
 
     def _history(self, tier: str, table: str) -> DataFrame:
         """Commits of one table."""
@@ -277,6 +282,58 @@ class TableStore:
             shaped, "gold", table, "UPSERT", table, clustering, user_metadata
         )
 
+    def upsert_touched(
+        self,
+        df: DataFrame,
+        table: str,
+        keys: Sequence[str],
+        latest_by: Sequence[str] = (),
+        buckets: int | None = None,
+    ) -> list[int]:
+        """Upsert into a gold table laid out by key buckets; only buckets with a key of ``df`` are rewritten.
+
+        The first load lays the table out, by default in buckets of about 256 MB. Later loads
+        read, merge and replace the touched buckets (a dynamic partition overwrite, which
+        Spark stages and then moves into place); files of all other buckets stay. Returns
+        the rewritten buckets. NULL keys match each other.
+        """
+        current = self.current_path("gold", table)
+        stored = None if current is None else self.spark.read.format(self.fmt).load(current)
+        if stored is None:
+            count = buckets or max(1, -(-text_bytes(df) // PARTITION_BYTES))
+            name = f"{BUCKET_PREFIX}{count}"
+        else:
+            name = next((c for c in stored.columns if c.startswith(BUCKET_PREFIX)), None)
+            if name is None:
+                raise ValueError(f"gold/{table} is not laid out by key buckets")
+            count = int(name.removeprefix(BUCKET_PREFIX))
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")
+        source = df.withColumn(name, bucket)
+        touched = sorted(r[name] for r in source.select(name).distinct().collect())
+        if not touched:
+            return []
+        if stored is None:
+            merged = dedup_keys(source, keys, latest_by)
+        else:
+            merged = upsert(
+                stored.where(F.col(name).isin(touched)), source, keys, latest_by,
+                small_source=source_is_small(df, keys) or None,
+            )
+        clustering = inferred_cluster_keys(df)
+        dealt = merged.repartition(len(touched), name)
+        shaped = dealt.sortWithinPartitions(name, *clustering)
+        if stored is None:
+            version, path = self._next_path("gold", table)
+            shaped.write.format(self.fmt).mode("error").partitionBy(name).save(path)
+        else:
+            version, path = self.versions("gold", table)[-1], current
+            shaped.write.format(self.fmt).mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(name).save(path)
+        self._log("gold", table, version, "UPSERT", clustering)
+        self._register(table, "gold", table)
+        return touched
+
     def size_of(self, *paths: str | None) -> int:
         """Bytes of the data files under the given paths."""
         return sum(file_stats(self.spark, p).first()["bytes"] for p in paths if p)

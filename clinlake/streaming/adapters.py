@@ -49,10 +49,13 @@ def upsert_stream(
     checkpoint: str,
     latest_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Upsert every micro-batch into a gold table; applying a batch twice changes nothing."""
+    """Upsert every micro-batch into a gold table; applying a batch twice changes nothing.
+
+    The table is laid out by key buckets, of which a batch rewrites those it touches.
+    """
 
     def merge(batch: DataFrame, _: int) -> None:
-        store.upsert_gold(batch, table, keys, latest_by=latest_by)
+        store.upsert_touched(batch, table, keys, latest_by)
 
     return (
         stream.writeStream.foreachBatch(merge)

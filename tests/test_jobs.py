@@ -73,6 +73,28 @@ def test_every_write_mode(spark, tmp_path):
         store.write_quarantine(one, mode="")
 
 
+def test_upsert_leaves_untouched_buckets_alone(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    base = spark.range(200).selectExpr("id AS k", "id * 2 AS v", "IF(id = 7, NULL, 'x') AS note")
+    assert store.upsert_touched(base, "t", ["k"], buckets=8) == list(range(8))
+    files = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("part-*.parquet") if "commits" not in str(f)}
+    change = spark.createDataFrame([(3, -1, "new"), (3, -2, "new"), (None, 5, "none")], "k bigint, v bigint, note string")
+    touched = store.upsert_touched(change, "t", ["k"], latest_by=["v"])
+    assert 1 <= len(touched) <= 2
+    after = {f for f in tmp_path.rglob("part-*.parquet") if "commits" not in str(f)}
+    kept = {f for f in files if not any(f"={b}/" in str(f) for b in touched)}
+    assert kept <= after and all(f.stat().st_mtime_ns == files[f] for f in kept)
+    assert not (set(files) - kept) & after
+    again = store.upsert_touched(change, "t", ["k"], latest_by=["v"])
+    assert again == touched
+    found = {r["k"]: r["v"] for r in store.read("gold", "t").collect()}
+    assert found == {i: i * 2 for i in range(200)} | {3: -1, None: 5} and store.read("gold", "t").columns == ["k", "v", "note"]
+    assert store.upsert_touched(change.where("false"), "t", ["k"]) == []
+    store.write_gold(base, "plain", cluster_by=["k"])
+    with pytest.raises(ValueError):
+        store.upsert_touched(change, "plain", ["k"])
+
+
 def test_clustered_write_with_a_map_at_any_depth(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     df = spark.sql("SELECT id, map('k', id) AS m, struct(map('k', id) AS n) AS s, array(map('k', id)) AS a FROM range(5)")

@@ -150,6 +150,25 @@ def upsert_scd1(spark, sf_dir):
     return merge.upsert(target(spark, sf_dir), changes(spark, sf_dir), ["order_key"], ["changed_at"])
 
 
+TOUCHED_BUCKETS = 64
+
+
+@query(
+    "upsert_touched_only",
+    "SELECT o_orderkey AS order_key, o_orderstatus AS status, o_totalprice + CASE WHEN o_orderkey = (SELECT max(o_orderkey) "
+    "FROM orders) THEN 1.0E0 ELSE 0.0E0 END AS price, 1 AS buckets_rewritten FROM orders",
+)
+def upsert_touched_only(spark, sf_dir):
+    """One changed order: one of the table's key buckets is rewritten."""
+    lake = store(spark)
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS order_key", "o_orderstatus AS status", "o_totalprice AS price")
+    lake.upsert_touched(orders, "orders", ["order_key"], buckets=TOUCHED_BUCKETS)
+    newest = orders.agg(F.max("order_key").alias("order_key"))
+    change = orders.join(newest, "order_key").withColumn("price", F.col("price") + F.lit(1.0))
+    touched = lake.upsert_touched(change, "orders", ["order_key"])
+    return lake.read("gold", "orders").withColumn("buckets_rewritten", F.lit(len(touched)))
+
+
 NEW_KEY = "o_orderkey + CASE WHEN o_orderkey % 10 = 0 THEN 1000000000000 ELSE 0 END"
 NEW_PRICE = "o_totalprice + CASE WHEN o_orderkey % 7 = 0 THEN 1.0E0 ELSE 0.0E0 END"
 
