@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clinlake.fixed_values import BRONZE_COLUMNS, SYNTHEA_COLUMNS
+from clinlake.fixed_values import SYNTHEA_COLUMNS
 from clinlake.operators.columns import rename_known
 from clinlake.workspace import path_exists
 
@@ -82,6 +84,30 @@ def first_existing(spark: SparkSession, *paths: str) -> str:
     raise FileNotFoundError(f"none of these paths exists: {', '.join(paths)}")
 
 
+def first_readable(
+    spark: SparkSession, paths: Sequence[str], read: Callable[[str], DataFrame]
+) -> DataFrame:
+    """What ``read`` makes of the first path that exists and can be read.
+
+    A read counts as failed when Spark refuses it while ``read`` looks at the files (their
+    headers); errors of the reader itself, such as missing columns, are not passed over.
+    """
+    failed: Exception | None = None
+    left = list(paths)
+    while left:
+        try:
+            path = first_existing(spark, *left)
+        except FileNotFoundError:
+            if failed is not None:
+                raise failed from None
+            raise
+        try:
+            return read(path)
+        except (PySparkException, Py4JJavaError) as error:
+            failed, left = error, left[left.index(path) + 1 :]
+    raise failed
+
+
 def scan_source(
     spark: SparkSession,
     source: str,
@@ -89,22 +115,24 @@ def scan_source(
     export: str = "canonical",
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """Bronze ``patients``, ``diagnoses`` or ``labs`` from the first path that exists.
+    """Bronze ``patients``, ``diagnoses`` or ``labs`` from the first path that can be read.
 
     Every file's own header names its columns. ``export="synthea"`` renames the columns of a
     Synthea CSV export; a canonical source has to have all columns that its transform needs.
     """
-    path = first_existing(spark, *paths)
-    if export == "synthea":
-        rows = rename_known(scan_csv_by_header(spark, path), SYNTHEA_COLUMNS[source])
-    elif export == "canonical":
+    if export not in ("synthea", "canonical"):
+        raise ValueError(f"unknown export {export!r}")
+
+    def read(path: str) -> DataFrame:
         rows = scan_csv_by_header(spark, path)
+        if export == "synthea":
+            return rename_known(rows, SYNTHEA_COLUMNS[source])
         missing = [c for c in NEEDED_COLUMNS[source] if c not in rows.columns]
         if missing:
             raise ValueError(f"{path} lacks columns of {source}: {missing}")
-    else:
-        raise ValueError(f"unknown export {export!r}")
-    return stamp_ingest(rows, as_of)
+        return rows
+
+    return stamp_ingest(first_readable(spark, paths, read), as_of)
 
 
 def load_dataset(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinlake.operators.columns import cap_rows
-from clinlake.sources.delimited import first_existing, stamp_ingest
+from clinlake.sources.delimited import first_readable, stamp_ingest
 
 HEADER_MARK = "#CHROM"
 # Hadoop splits bzip2 by itself; of the others (block gzip too) one task reads a whole file.
@@ -78,16 +78,17 @@ def scan_vcf(
     max_rows: int | None = None,
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """Variant rows of the first path that exists, every field a string.
+    """Variant rows of the first path that can be read, every field a string.
 
     Every file has its own header, and files with different ones are read as one table. A
     compressed file arrives as one partition, so its rows are spread again before any work
     is done on them.
     """
-    path = first_existing(spark, *paths)
-    rows = name_fields(spark, path)
-    if max_rows is not None:
-        rows = cap_rows(rows, max_rows)
-    elif path.lower().endswith(UNSPLITTABLE):
-        rows = rows.hint("rebalance")
-    return stamp_ingest(rows, as_of)
+
+    def read(path: str) -> DataFrame:
+        rows = name_fields(spark, path)
+        if max_rows is not None:
+            return cap_rows(rows, max_rows)
+        return rows.hint("rebalance") if path.lower().endswith(UNSPLITTABLE) else rows
+
+    return stamp_ingest(first_readable(spark, paths, read), as_of)

@@ -195,3 +195,18 @@ def test_vocabulary_listing(spark):
     assert rows(vocabulary.query_vocabulary(table, "RACE_to_concept")) == rows(vocabulary.race_concepts(table))
     with pytest.raises(ValueError, match="available: clinvar_to_concept, ethnicity_to_concept"):
         vocabulary.query_vocabulary(table, "drugs")
+
+
+def test_sources_fall_back_from_a_failed_read(spark, tmp_path):
+    broken = tmp_path / "patients.csv.gz"
+    broken.write_bytes(b"this is no gzip file")
+    good = tmp_path / "patients.csv"
+    good.write_text("raw_patient_id,gender,birth_datetime,race,ethnicity\nP9,F,1971-01-01,r,e\n")
+    found = delimited.scan_source(spark, "patients", str(tmp_path / "none"), str(broken), str(good))
+    assert [r["raw_patient_id"] for r in found.collect()] == ["P9"]
+    with pytest.raises(Exception, match="(?i)gzip"):
+        delimited.scan_source(spark, "patients", str(broken))
+    lacking = tmp_path / "lacking.csv"
+    lacking.write_text("raw_patient_id\nP1\n")
+    with pytest.raises(ValueError, match="lacks columns"):
+        delimited.scan_source(spark, "patients", str(lacking), str(good))
