@@ -25,7 +25,7 @@ SHARD_SLOTS = 4096
 #: Groups of shards whose draws the driver makes; the rest is drawn in tasks.
 GROUPS = 512
 #: Documents whose places in the stream one task works out.
-CHUNK_ROWS = 50_000
+CHUNK_ROWS = 5_000
 
 
 def targets(sizes: list[int], weights: list[float], most: int = MOST_PASSES) -> list[float]:
@@ -191,7 +191,8 @@ class Mixture:
             own = F.slice(F.split(bare, r"[\x20\x09-\x0D]+"), (first + 1).cast("int"), (last - first).cast("int"))
             columns.append(F.array_join(own, " ").alias("text"))
         cut = cut.select(columns)
-        return self.slots.join(cut, ["nth", "block"]).select(
+        # Spark takes the slots for as small as the plan that they are drawn from; both sides grow with the corpus.
+        return self.slots.hint("merge").join(cut, ["nth", "block"]).select(
             "shard", "slot", "nth", "source", "block", "doc_id", "start", "from_word", "words",
             *(["text"] if self.keep_text else []),
         )
