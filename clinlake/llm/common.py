@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clinlake.workspace import scratch_path
 
 #: Characters of text that a Python worker handles at once, so that long texts cannot add up.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
 
 #: What separates words, and what a word is, for a Spark regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
