@@ -14,10 +14,12 @@ import html
 import re
 from collections.abc import Iterator
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinlake.llm.common import map_stream
+from clinlake.functions.lookup import BROADCAST_BYTES, size_at_most
+from clinlake.llm.common import map_rows, map_stream, saved
 
 #: Pages of a host that are sorted together; a larger host is dealt out by a hash of the path.
 GROUP_PAGES = 1000
@@ -187,61 +189,96 @@ def _align(a: list, b: list) -> list[int]:
     return found[::-1]
 
 
-def main_text(own: list[tuple[str, bool]], neighbours: list[list[str]]) -> tuple[str, int]:
-    """The text of a page with these blocks, and how many of its lines its neighbours share and are deleted."""
-    lines = [text for text, _ in own]
-    shared = {i for other in neighbours for i in shared_lines(lines, other)}
+def kept_text(own: list[tuple[str, bool]], gone: set[int]) -> str:
+    """The text of a page with these blocks, of which the lines ``gone`` are deleted."""
     article = any(inside for _, inside in own)
-    gone = {i for i in shared if not own[i][1]}
-    kept = [text for i, (text, inside) in enumerate(own) if i not in gone and inside == article]
-    return "\n".join(kept), len(gone)
+    return "\n".join(text for i, (text, inside) in enumerate(own) if i not in gone and inside == article)
 
 
-def extract(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
-    """(page_id, url, text, n_chars, lines_deleted) for every page.
+def deletions(rows: DataFrame, group_pages: int) -> DataFrame:
+    """(mark, gone): the places of the lines that a page shares with its neighbours outside its article.
 
-    NULL and empty html give an empty text. NULL urls, and urls without a host,
-    count as one host. A page that has no neighbour in its group is compared with
-    none. Repeated rows are pages of their own: they share all lines, of which those
-    inside an article stay. Other columns are ignored; an empty table gives an empty one.
+    Only hashes of lines are shuffled and compared; pages that lose no line are left out.
     """
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:/?#]+://([^/?#]*)", 1))
-    path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:/?#]+://[^/?#]*([^?#]*)", 1)
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"), path.alias("path"))
+
+    def lines():
+        def work(parts):
+            found = []
+            for r in parts:
+                own = blocks(r["html"])
+                hashes = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - 2**63 for t, _ in own]
+                found.append((r["mark"], r["host"], r["path"], r["url"], hashes, [inside for _, inside in own]))
+            return found
+
+        return work
+
     large = (
-        pages.select(host.alias("h"))
-        .groupBy("h")
+        rows.groupBy(F.col("host").alias("h"))
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > group_pages)
         .select("h", F.ceil(F.col("n") / group_pages).alias("parts"))
     )
+    layout = "mark long, host string, path string, url string, lines array<long>, inside array<boolean>"
     dealt = (
-        rows.join(large, F.col("host") == F.col("h"), "left")
+        map_rows(rows.select("mark", "host", "path", "url", "html"), layout, lines, text="html")
+        .join(large, F.col("host") == F.col("h"), "left")
         .withColumn("part", F.pmod(F.xxhash64("path"), F.coalesce("parts", F.lit(1))))
         .drop("h", "parts")
         .repartition("host", "part")
-        .sortWithinPartitions("host", "part", "path", "url", "page_id")
+        .sortWithinPartitions("host", "part", "path", "url", "mark")
     )
 
     def stream(parts):
-        before = now = None  # (group, id, url, blocks)
+        before = now = None  # (group, mark, lines, inside)
         for rows in parts:
             out = []
             for r in rows:
-                after = ((r["host"], r["part"]), r["page_id"], r["url"], blocks(r["html"]))
+                after = ((r["host"], r["part"]), r["mark"], r["lines"], r["inside"])
                 if now:
-                    out.append(finished(before, now, after))
+                    out += compared(before, now, after)
                 before, now = now, after
             yield out
         if now:
-            yield [finished(before, now, None)]
+            yield compared(before, now, None)
+
+    def compared(before, now, after):
+        near = [o[2] for o in (before, after) if o and o[0] == now[0]]
+        gone = sorted({i for other in near for i in shared_lines(now[2], other) if not now[3][i]})
+        return [(now[1], gone)] if gone else []
+
+    return map_stream(dealt, "mark long, gone array<int>", stream)
+
 
-    def finished(before, now, after):
-        near = [[t for t, _ in o[3]] for o in (before, after) if o and o[0] == now[0]]
-        text, gone = main_text(now[3], near)
-        return now[1], now[2], text, len(text), gone
+def extract(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
+    """(page_id, url, text, n_chars, lines_deleted) for every page.
+
+    NULL and empty html give an empty text. NULL urls, and urls without a host,
+    count as one host. A page that has no neighbour in its group is compared with
+    none. Repeated rows are neighbours that share all lines, of which those inside an article
+    stay; equal rows get equal texts. Other columns are ignored; an empty table gives an empty one.
+    """
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:/?#]+://([^/?#]*)", 1))
+    path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:/?#]+://[^/?#]*([^?#]*)", 1)
+    rows = pages.select(
+        "page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"), path.alias("path")
+    ).withColumn("mark", F.xxhash64("page_id", "url", "html"))
+    found = saved(pages.sparkSession, deletions(rows, group_pages), "deletions")
+    gone = found.groupBy("mark").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    # Few pages lose lines where sites mark their articles: then the lists go to the pages instead of both being shuffled.
+    gone = F.broadcast(gone) if size_at_most(found, BROADCAST_BYTES) else gone
+    joined = rows.select("page_id", "url", "html", "mark").join(gone, "mark", "left")
+
+    def start():
+        def work(parts):
+            out = []
+            for r in parts:
+                lost = set(r["gone"] or ())
+                text = kept_text(blocks(r["html"]), lost)
+                out.append((r["page_id"], r["url"], text, len(text), len(lost)))
+            return out
+
+        return work
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return map_stream(
-        dealt, f"page_id {kind}, url string, text string, n_chars long, lines_deleted int", stream, text="html"
-    )
+    layout = f"page_id {kind}, url string, text string, n_chars long, lines_deleted int"
+    return map_rows(joined.drop("mark"), layout, start, text="html")
