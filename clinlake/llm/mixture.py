@@ -187,8 +187,7 @@ class Mixture:
         last = F.least((F.col("block") + 1) * size - F.col("start"), F.col("size"))
         columns = ["nth", "source", "block", "doc_id", "start", first.alias("from_word"), (last - first).alias("words")]
         if self.keep_text:
-            bare = F.expr(r"trim(BOTH '\t\n\u000B\f\r ' FROM text)")
-            own = F.slice(F.split(bare, r"[\x20\x09-\x0D]+"), (first + 1).cast("int"), (last - first).cast("int"))
+            own = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), (first + 1).cast("int"), (last - first).cast("int"))
             columns.append(F.array_join(own, " ").alias("text"))
         cut = cut.select(columns)
         # Spark takes the slots for as small as the plan that they are drawn from; both sides grow with the corpus.

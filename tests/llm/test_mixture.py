@@ -66,6 +66,15 @@ def test_pieces_are_the_words_of_the_documents(spark):
     assert all(len(s) == 32 for shard, s in per_shard.items() if shard < max(per_shard))
 
 
+def test_pieces_keep_letters_and_trim_form_feeds_at_the_edges(spark):
+    texts = {1: "f foo of", 2: "\x0cabc", 3: "for the end of", 4: "fff f\x0c"}
+    rows = [(i, t, "en", "a") for i, t in texts.items()]
+    pieces = Mixture(spark.createDataFrame(rows, SCHEMA), block_words=2, keep_text=True).pieces().collect()
+    assert {p["doc_id"] for p in pieces} == set(texts)
+    for p in pieces:
+        assert p["text"].split(" ") == texts[p["doc_id"]].split()[p["from_word"] : p["from_word"] + p["words"]]
+
+
 def test_rows_of_every_kind(spark):
     found = Mixture(documents(spark)).taken().collect()
     assert len(found) == len(DOCUMENTS)
