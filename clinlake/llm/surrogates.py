@@ -3,8 +3,10 @@
 Numbers (phone, account, social security, IPv4) go through a keyed permutation of all numbers
 of their form, so different ones stay different; e-mail addresses, secrets and
 names are drawn from a keyed hash, letter for letter in the same script and
-case, names by the gender that their title tells. One entity has one surrogate in
-all documents, however it is written. Over the whole corpus the surrogates are
+case. Names are found after a title, and then wherever their words stand in the same
+document. Each word of a name has one surrogate in all documents, whichever name or
+title it is part of; its ending follows the gender that the titles of the corpus tell, and
+initials follow the words that start with them. Over the whole corpus the surrogates are
 compared with each other and with the real entities; whoever collides is drawn again.
 """
 
@@ -31,6 +33,14 @@ LAST_SYLLABLE = {
     ("n", "latin"): ("ley", "mar", "vin", "dell"), ("m", "cyrillic"): ("ков", "нин", "лов", "рин"),
     ("f", "cyrillic"): ("кова", "нина", "лова", "рина"), ("n", "cyrillic"): ("енко", "ских", "чук", "дзе"),
 }
+PARTICLES = frozenset("de da di do dos das del della der den du la le van von zu ten ter af av bin ibn al el".split())
+# Capitalised words that end a name: they start a sentence, go on in a headline or follow a name.
+NO_NAMES = (
+    "A", "About", "After", "All", "Also", "Although", "An", "And", "Are", "As", "At", "Because", "Before", "But", "By", "Can", "Did", "Does",
+    "For", "From", "Goes", "Had", "Has", "Have", "He", "Her", "His", "How", "However", "I", "If", "II", "III", "IV", "In", "Is", "It", "Its",
+    "Jr", "MD", "My", "No", "Not", "Of", "On", "Or", "Our", "PhD", "Said", "Says", "She", "So", "Sr", "That", "The", "Their", "Then", "There",
+    "These", "They", "This", "Those", "To", "Was", "We", "Were", "What", "When", "Where", "Who", "Why", "With", "Yes", "You", "Your",
+)
 ALPHABETS = {
     "latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрст", "аеиоу"), "greek": ("βγδκλμνπρστ", "αεηιο"),
 }
@@ -47,9 +57,20 @@ _number = re.compile(
     r"|(?<![\w.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\.?\d)"
     r"|(?<!\w)(?P<account>\d{4}([ -])\d{4}\5\d{4}\5\d{1,7}|\d{13,19})(?!\w)"
 )
+_lower = "".join(c for c in map(chr, range(0x80, 0x10000)) if c.islower())
+_capital = rf"[^\W\d_a-z{_lower}]"
+_cased = "[A-Z" + "".join(c for c in map(chr, range(0x80, 0x10000)) if c.isupper() or c.istitle()) + "]"
+_titles = "(?:" + "|".join(TITLES) + r")\.?[ ]"
+_long = r"(?:[^\W\d_]+(?:['’]" + _capital + r"[^\W\d_]+)?|['’]" + _capital + r"[^\W\d_]+)(?![^\W\d_])"
+_ends = r"(?!(?:" + "|".join(w for w in NO_NAMES if len(w) > 1) + r")\b|[AI](?![\w.'’]))"
+_initials = rf"{_cased}\.(?:-?{_cased}\.)*(?!\w)|{_cased}(?=[ ]{_cased}[\w.'’])"
+_particle = "(?:" + "|".join(sorted(PARTICLES)) + ")[ ]"
+# Right after a title every capitalised word is a name. A name may have any number of words and initials; of words in scripts without case only two belong to it.
 _name = re.compile(
-    r"(?<!\w)(?P<title>" + "|".join(TITLES) + r")\.?[ ](?P<name>[^\W\d_a-z][^\W\d_]+(?:[ -][^\W\d_a-z][^\W\d_]+)?)"
+    rf"(?<!\w)(?P<title>{_titles}(?:{_titles})*)(?P<name>(?:{_particle})*(?:{_initials}|{_capital}{_long}|{_ends}{_cased}(?![\w'’]))"
+    rf"(?:[ -]{_ends}(?!{_cased}){_capital}{_long})?(?:(?:[ -]|(?<=\.))(?:{_particle})*{_ends}(?:{_initials}|{_cased}{_long}))*)"
 )
+_name_word = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 _title = re.compile(r"(?<!\w)(?:" + "|".join(TITLES) + r")\.? ")
 _digit = re.compile(r"\d")
 
@@ -68,9 +89,9 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             found.append((m.start(), m.end(), kind, m[0] if kind == "ip" else re.sub(r"\D", "", m[0])))
     if _title.search(text):
         for m in _name.finditer(text):
-            if not m["name"][0].islower():
-                gender = TITLES[m["title"]]
-                found.append((m.start("name"), m.end("name"), f"name-{gender}", m["name"].casefold()))
+            told = {TITLES[w] for w in re.split(r"[. ]+", m["title"]) if w} - {"n"}
+            found.append((m.start("name"), m.end("name"), f"name-{told.pop() if len(told) == 1 else 'n'}", m["name"].casefold()))
+        found += _bare(text, [text[e[0] : e[1]] for e in found if e[2].startswith("name")])
     out, end = [], 0
     for e in sorted(found, key=lambda e: (e[0], -e[1])):
         if e[0] >= end:
@@ -79,6 +100,44 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     return out
 
 
+def _bare(text: str, names: list[str]) -> list[tuple[int, int, str, str]]:
+    """Mentions without a title of the words of these names, with initials before or between them."""
+    words = {w for name in names for w in _name_word.findall(name) if w not in PARTICLES and w.capitalize() not in NO_NAMES}
+    long = sorted({f for w in words if len(w) > 1 for f in (w, w.upper(), w.capitalize())}, key=lambda w: (-len(w), w))
+    if not long:
+        return []
+    word = "(?:" + "|".join(map(re.escape, long)) + r")(?![^\W\d_])"
+    first = rf"(?:{_cased}\.[ -]?)*"
+    pattern = re.compile(rf"(?<!\w){first}{word}(?:[ -]{first}{word})*")
+    return [(m.start(), m.end(), "name-n", m[0].casefold()) for m in pattern.finditer(text)]
+
+
+def keyed(found: list[tuple[int, int, str, str]]) -> list[tuple[str, str]]:
+    """(kind, canonical form) of what is drawn for the entities of a text: of names every word by itself.
+
+    A word has the gender of the titles that it has in the text if they agree, and none else.
+    """
+    out, told = set(), {}
+    for _, _, kind, canonical in found:
+        if kind.startswith("name"):
+            for w in _name_word.findall(canonical):
+                if len(w) > 1 and w not in PARTICLES:
+                    told.setdefault(w, set()).add(kind[-1])
+        else:
+            out.add((kind, canonical))
+    for w, genders in told.items():
+        genders = genders - {"n"}
+        out.add((f"name-{genders.pop() if len(genders) == 1 else 'n'}", w))
+    return sorted(out)
+
+
+def _initial(letter: str, key: str) -> str:
+    """The keyed letter that stands for a first letter: of initials, and of the words that start with it."""
+    letter = letter.casefold()[0]
+    pool = [c for c in ALPHABETS[_script(letter)][0] if c != letter]
+    return pool[_hash(key, "initial", letter) % len(pool)]
+
+
 def _is_hex(s: str) -> bool:
     return len(s) >= 16 and all(c in "0123456789abcdefABCDEF" for c in s)
 
@@ -176,20 +235,16 @@ def surrogate(kind: str, canonical: str, key: str = KEY, attempt: int = 0) -> st
                 made += f"{_hash(state, len(made)):064x}"
             return made[: len(canonical)]
         return _letters(canonical, state)
-    gender, words = kind[-1], []
-    script = _script(canonical)
+    # The stem of a name's word comes from the word alone, so that all names with it agree.
+    script, state = _script(canonical), _hash(key, "name", canonical, attempt)
     consonants, vowels = ALPHABETS[script]
-    ends = LAST_SYLLABLE.get((gender, script), ("",))
-    for word in re.split(r"([ -])", canonical):
-        if word in (" ", "-"):
-            words.append(word)
-            continue
-        made = ""
-        for _ in range(2 + attempt):
-            state, r = divmod(_hash(state, word), len(consonants) * len(vowels))
-            made += consonants[r % len(consonants)] + vowels[r // len(consonants)]
-        words.append(made + ends[state % len(ends)])
-    return "".join(words)
+    ends = LAST_SYLLABLE.get((kind[-1], script), ("",))
+    state, r = divmod(state, len(vowels))
+    made = _initial(canonical[0], key) + vowels[r]
+    for _ in range(1 + attempt):
+        state, r = divmod(_hash(state, canonical), len(consonants) * len(vowels))
+        made += consonants[r % len(consonants)] + vowels[r // len(consonants)]
+    return made + ends[state % len(ends)]
 
 
 def in_format(kind: str, written: str, made: str) -> str:
@@ -200,15 +255,25 @@ def in_format(kind: str, written: str, made: str) -> str:
     if written.isupper():
         return made.upper()
     if kind.startswith("name"):
-        return "".join(w.capitalize() for w in re.split(r"([ -])", made))
+        return made.capitalize()
     if kind == "email" and any(c.isupper() for c in written):
         return made[0].upper() + made[1:]
     return made
 
 
 def _attempts(spark, mentions: DataFrame, key: str) -> DataFrame:
-    """(kind, canonical, attempt) of the entities whose first surrogate collides with another or a real entity."""
-    real = saved(spark, mentions.select("kind", "canonical").distinct(), "entities")
+    """(kind, canonical, drawn_as, attempt) of the entities that do not get the first surrogate of their kind in the text.
+
+    Their first surrogate collides with another or a real entity, or they are words of names
+    and titles elsewhere tell more about the gender (``drawn_as`` is the kind over all texts).
+    """
+    texts = saved(spark, mentions.select("kind", "canonical").distinct(), "entities")
+    named = F.col("kind").startswith("name")
+    # One gender over all titles, or none if they tell none or both.
+    told = F.array_except(F.collect_set("kind"), F.array(F.lit("name-n")))
+    words = texts.where(named).groupBy("canonical").agg(told.alias("told"))
+    words = words.select(F.when(F.size("told") == 1, F.col("told")[0]).otherwise("name-n").alias("kind"), "canonical")
+    real = saved(spark, texts.where(~named).unionByName(words), "drawn_as")
 
     def drawing(attempt):
         def start():
@@ -238,7 +303,14 @@ def _attempts(spark, mentions: DataFrame, key: str) -> DataFrame:
         final = good if final is None else final.unionByName(good)
         again = judged.where("not good").select("kind", "canonical")
         if again.isEmpty():
-            return final.where("attempt > 0").select("kind", "canonical", "attempt")
+            settled = final.select(
+                F.col("kind").alias("drawn_as"), "canonical", "attempt",
+                F.when(named, "name").otherwise(F.col("kind")).alias("group"),
+            )
+            grouped = texts.withColumn("group", F.when(named, "name").otherwise(F.col("kind")))
+            return grouped.join(settled, ["group", "canonical"]).where("attempt > 0 or drawn_as <> kind").select(
+                "kind", "canonical", "drawn_as", "attempt"
+            )
         attempt += 1
         drawn = saved(spark, map_rows(again, schema, drawing(attempt), text="canonical"), "drawn")
 
@@ -258,7 +330,7 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
             (r["doc_id"], kind, c)
             for r in rows
             if r["text"]
-            for kind, c in sorted({(kind, c) for _, _, kind, c in entities(r["text"])})
+            for kind, c in keyed(entities(r["text"]))
         ]
 
     docs = docs.drop("n_entities", "kinds")
@@ -274,7 +346,7 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
         per_doc = (
             mentions.join(redrawn, ["kind", "canonical"])
             .groupBy(F.col("doc_id").alias("other_id"))
-            .agg(F.to_json(F.collect_set(F.struct("kind", "canonical", "attempt"))).alias("redrawn"))
+            .agg(F.to_json(F.collect_set(F.struct("kind", "canonical", "drawn_as", "attempt"))).alias("redrawn"))
         )
         source = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("other_id")), "left").drop("other_id")
         has = True
@@ -291,11 +363,25 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
             for r in rows:
                 text, used = r["text"], []
                 if text:
-                    again = {(e["kind"], e["canonical"]): e["attempt"] for e in json.loads(r["redrawn"] or "[]")} if has else {}
+                    again = json.loads(r["redrawn"] or "[]") if has else []
+                    again = {(e["kind"], e["canonical"]): (e["drawn_as"], e["attempt"]) for e in again}
+                    found = entities(text)
+                    kind_of = {c: kind for kind, c in keyed(found) if kind.startswith("name")}
+
+                    def made(kind, c, written):
+                        drawn_as, attempt = again.get((kind, c), (kind, 0))
+                        return in_format(kind, written, surrogate(drawn_as, c, key, attempt))
+
+                    def word(m):
+                        w = m[0]
+                        if w in PARTICLES:
+                            return w
+                        return made(kind_of[w.casefold()], w.casefold(), w) if len(w) > 1 else _initial(w, key).upper()
+
                     parts, at = [], 0
-                    for lo, hi, kind, c in entities(text):
-                        made = surrogate(kind, c, key, again.get((kind, c), 0))
-                        parts += [text[at:lo], in_format(kind, text[lo:hi], made)]
+                    for lo, hi, kind, c in found:
+                        own = text[lo:hi]
+                        parts += [text[at:lo], _name_word.sub(word, own) if kind.startswith("name") else made(kind, c, own)]
                         at = hi
                         used.append(kind.split("-")[0])
                     if used:

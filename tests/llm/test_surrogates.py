@@ -34,6 +34,34 @@ def test_surrogates_keep_format_and_coreference(spark):
     assert made[1]["text"].split()[3:] == made[0]["text"].split()[3:]
 
 
+NAMES = [
+    "Mr. John Smith said hi. Smith left. Mr Smith wept.", "Dr. Maria Garcia Lopez came.", "Mr. John Q. Smith spoke.", "Mr. J. Smith sat.",
+    "Dr Smith met Prof. Dr. Ludwig van Beethoven and Mrs. O'Brien; SMITH and J. Smith's dog ran.", "Mrs. Smith Then slept. Then he did.",
+    "John Smith came. Mr. J.R.R. Smith stayed. Jones and john went.", "Señora Ángela Núñez écrit. Núñez",
+    "Ms. So Young2 and Dr. So went. So be it.",
+]
+
+
+def test_names_agree_in_every_form(spark):
+    made = [r["text"] for r in replace_entities(with_texts(spark, NAMES)).orderBy("doc_id").collect()]
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) said hi\. (\w+) left\. Mr (\w+) wept\.", made[0])
+    john, smith, *more = m.groups()
+    assert more == [smith, smith] and john != smith
+    j = john[0]
+    assert re.fullmatch(r"Dr\. [A-Z]\w+ [A-Z]\w+ [A-Z]\w+ came\.", made[1]) and not re.search("Maria|Garcia|Lopez", made[1])
+    assert re.fullmatch(rf"Mr\. {john} [B-Z]\. {smith} spoke\.", made[2]) and " Q." not in made[2]
+    assert made[3] == f"Mr. {j}. {smith} sat." and j != "J"
+    assert re.fullmatch(
+        rf"Dr {smith} met Prof\. Dr\. \w+ van \w+ and Mrs\. \w+; {smith.upper()} and {j}\. {smith}'s dog ran\.", made[4]
+    )
+    assert made[5] == f"Mrs. {smith} Then slept. Then he did."
+    assert re.fullmatch(rf"John {smith} came\. Mr\. {j}\.[A-Z]\.[A-Z]\. {smith} stayed\. Jones and john went\.", made[6])
+    assert re.fullmatch(r"Señora \w+ (\w+) écrit\. \1", made[7])
+    assert re.fullmatch(r"Ms\. (\w+) [A-Z][a-z]+2 and Dr\. \1 went\. So be it\.", made[8])
+    own = r"Young|Ludwig|Beethoven|Brien|Smith|SMITH|Ángela|Núñez"
+    assert not any(re.search(own, t) for t in made)
+
+
 def test_numbers_are_permuted():
     for kind, form in (("phone", "{:010d}"), ("account", "{:016d}"), ("ssn", "{:09d}")):
         made = {surrogate(kind, form.format(i)) for i in range(300)}
