@@ -15,14 +15,16 @@ import re
 from collections.abc import Iterator
 
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinlake.functions.lookup import BROADCAST_BYTES, size_at_most
 from clinlake.llm.common import map_rows, map_stream, saved
 
-#: Pages of a host that are sorted together; a larger host is dealt out by a hash of the path.
+#: Pages of a range of the sorted pages, which one task compares, while there are fewer ranges than shuffle partitions.
 GROUP_PAGES = 1000
+#: Rows of its neighbours that a range gets from either side.
+NEAREST = 1
 #: Cells of an alignment that is done at once; larger ones are halved first.
 CELLS = 200_000_000
 
@@ -195,8 +197,51 @@ def kept_text(own: list[tuple[str, bool]], gone: set[int]) -> str:
     return "\n".join(text for i, (text, inside) in enumerate(own) if i not in gone and inside == article)
 
 
+def neighbours(rows: DataFrame, group_pages: int) -> DataFrame:
+    """The rows in ranges ``pid`` of their order, each with copies (``own`` false) of the NEAREST rows before and after it.
+
+    So every row meets the same neighbours however many ranges there are. The order ends
+    with ``nth``, which differs for every row, so equal urls and equal rows can be cut too.
+    """
+    spark = rows.sparkSession
+    order = ["host", "path", "url", "mark", "nth"]
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(1, min(most, -(-rows.count() // group_pages)))
+    dealt = saved(spark, rows.repartitionByRange(ranges, *order).withColumn("pid", F.spark_partition_id()), "ranges")
+    sizes = sorted((r["pid"], r["count"]) for r in dealt.groupBy("pid").count().collect())
+
+    def edge(way, columns):
+        # From each range to those that need its rows: until the ones in between have NEAREST rows.
+        links = []
+        for i in range(len(sizes)):
+            met, j = 0, i + way
+            while met < NEAREST and 0 <= j < len(sizes):
+                links.append((sizes[j][0], sizes[i][0]))
+                met, j = met + sizes[j][1], j + way
+        links = spark.createDataFrame(links, "pid int, goal int")
+        nearest = Window.partitionBy("pid").orderBy(*columns)
+        rows = dealt.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= NEAREST).drop("n")
+        return rows.join(F.broadcast(links), "pid").drop("pid").withColumnRenamed("goal", "pid").withColumn("own", F.lit(False))
+
+    before = edge(-1, [F.col(c).desc() for c in order])
+    after = edge(1, [F.col(c).asc() for c in order])
+    both = dealt.withColumn("own", F.lit(True)).unionByName(before).unionByName(after)
+    return both.repartition(ranges, "pid").sortWithinPartitions("pid", *order)
+
+
+def site_lines(run: list[dict], i: int) -> list[int]:
+    """Places of the lines of page i of a run of neighbours that are the site's own."""
+    lines, inside = run[i]["lines"], run[i]["inside"]
+    gone = set()
+    article = {k for k, x in enumerate(inside) if x}
+    for j in (i - 1, i + 1):
+        if 0 <= j < len(run):
+            gone |= set(shared_lines(lines, run[j]["lines"])) - article
+    return sorted(gone)
+
+
 def deletions(rows: DataFrame, group_pages: int) -> DataFrame:
-    """(mark, gone): the places of the lines that a page shares with its neighbours outside its article.
+    """(mark, gone): the places of the lines that a page shares with its neighbours and that are not its article's.
 
     Only hashes of lines are shuffled and compared; pages that lose no line are left out.
     """
@@ -212,49 +257,42 @@ def deletions(rows: DataFrame, group_pages: int) -> DataFrame:
 
         return work
 
-    large = (
-        rows.groupBy(F.col("host").alias("h"))
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > group_pages)
-        .select("h", F.ceil(F.col("n") / group_pages).alias("parts"))
-    )
     layout = "mark long, host string, path string, url string, lines array<long>, inside array<boolean>"
-    dealt = (
-        map_rows(rows.select("mark", "host", "path", "url", "html"), layout, lines, text="html")
-        .join(large, F.col("host") == F.col("h"), "left")
-        .withColumn("part", F.pmod(F.xxhash64("path"), F.coalesce("parts", F.lit(1))))
-        .drop("h", "parts")
-        .repartition("host", "part")
-        .sortWithinPartitions("host", "part", "path", "url", "mark")
-    )
+    found = map_rows(rows.select("mark", "host", "path", "url", "html"), layout, lines, text="html")
+    numbered = saved(rows.sparkSession, found.withColumn("nth", F.monotonically_increasing_id()), "lines")
 
     def stream(parts):
-        before = now = None  # (group, mark, lines, inside)
+        run, host, at = [], None, 0  # pages of one host in a range, the first of them that is not compared yet
         for rows in parts:
             out = []
             for r in rows:
-                after = ((r["host"], r["part"]), r["mark"], r["lines"], r["inside"])
-                if now:
-                    out += compared(before, now, after)
-                before, now = now, after
+                if (r["pid"], r["host"]) != host:
+                    for i in range(at, len(run)):
+                        out += compared(run, i)
+                    run, host, at = [], (r["pid"], r["host"]), 0
+                run.append(r)
+                if len(run) - at > NEAREST:
+                    out += compared(run, at)
+                    at += 1
+                if at > NEAREST:
+                    del run[0]
+                    at -= 1
             yield out
-        if now:
-            yield compared(before, now, None)
+        yield [row for i in range(at, len(run)) for row in compared(run, i)]
 
-    def compared(before, now, after):
-        near = [o[2] for o in (before, after) if o and o[0] == now[0]]
-        gone = sorted({i for other in near for i in shared_lines(now[2], other) if not now[3][i]})
-        return [(now[1], gone)] if gone else []
+    def compared(run, i):
+        gone = site_lines(run, i) if run[i]["own"] else []
+        return [(run[i]["mark"], gone)] if gone else []
 
-    return map_stream(dealt, "mark long, gone array<int>", stream)
+    return map_stream(neighbours(numbered, group_pages), "mark long, gone array<int>", stream)
 
 
 def extract(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars, lines_deleted) for every page.
 
     NULL and empty html give an empty text. NULL urls, and urls without a host,
-    count as one host. A page that has no neighbour in its group is compared with
-    none. Repeated rows are neighbours that share all lines, of which those inside an article
+    count as one host. A page that has no neighbour in its host is compared with
+    none. ``group_pages`` changes the work of a task, not the result. Repeated rows are neighbours that share all lines, of which those inside an article
     stay; equal rows get equal texts. Other columns are ignored; an empty table gives an empty one.
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:/?#]+://([^/?#]*)", 1))
@@ -263,7 +301,7 @@ def extract(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
         "page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"), path.alias("path")
     ).withColumn("mark", F.xxhash64("page_id", "url", "html"))
     found = saved(pages.sparkSession, deletions(rows, group_pages), "deletions")
-    gone = found.groupBy("mark").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    gone = found.distinct().groupBy("mark").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
     # Few pages lose lines where sites mark their articles: then the lists go to the pages instead of both being shuffled.
     gone = F.broadcast(gone) if size_at_most(found, BROADCAST_BYTES) else gone
     joined = rows.select("page_id", "url", "html", "mark").join(gone, "mark", "left")

@@ -50,6 +50,20 @@ def test_copies_of_an_article_keep_their_text(spark):
     assert {r["text"] for r in extract(df, group_pages=2).collect()} == {"Same text.\nSame text."}
 
 
+def test_nearest_urls_are_compared_at_every_size(spark):
+    # Sections of three pages share a menu; half of the pages differ in the query only.
+    page = "<body><p>Section {1}</p><p>Text {0}.</p></body>"
+    rows = [(i, f"http://h.example/{i // 3:03}/{i}" if i < 60 else f"http://h.example/z?id={i:03}", page.format(i, i // 3)) for i in range(120)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        made = [{r["page_id"]: (r["text"], r["lines_deleted"]) for r in extract(df, group_pages=g).collect()} for g in (1000, 10)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert made[0] == made[1] and all(t == (f"Text {i}.", 1) for i, t in made[1].items())
+
+
 def test_rows_of_every_kind(spark):
     rows = [
         (1, None, None), (2, "", ""), (None, "http://a/", "<p>x</p>"), (3, "http://a/", "<p>x</p>"), (3, "http://a/", "<p>x</p>"),
