@@ -3,9 +3,9 @@
 Pages are sorted by URL path within their host and each is compared with its
 neighbours: the text lines (blocks) of both are aligned by their longest common
 subsequence, and lines that they share are the site's own and are deleted.
-The lines inside a page's article element are not deleted for being shared, because copies of an
-article and quoted passages are text; and lines in menus, adverts, forms and the
-like go even if no neighbour shares them.
+Copies of an article and quoted passages are text, so a line inside a page's article element
+is deleted only if all of the four nearest pages have it and none of them is a copy that
+shares most of the article. Lines in menus, adverts, forms and the like go even if no neighbour shares them.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from clinlake.llm.common import map_rows, map_stream, saved
 
 #: Pages of a range of the sorted pages, which one task compares, while there are fewer ranges than shuffle partitions.
 GROUP_PAGES = 1000
-#: Rows of its neighbours that a range gets from either side.
-NEAREST = 1
+#: Nearest pages that all have to have a line of an article before it is the site's.
+NEAREST = 4
 #: Cells of an alignment that is done at once; larger ones are halved first.
 CELLS = 200_000_000
 
@@ -232,12 +232,20 @@ def neighbours(rows: DataFrame, group_pages: int) -> DataFrame:
 def site_lines(run: list[dict], i: int) -> list[int]:
     """Places of the lines of page i of a run of neighbours that are the site's own."""
     lines, inside = run[i]["lines"], run[i]["inside"]
+    left, right = i, len(run) - 1 - i
+    lo, hi = i - min(left, max(NEAREST // 2, NEAREST - right)), i + min(right, max(NEAREST // 2, NEAREST - left))
     gone = set()
     article = {k for k, x in enumerate(inside) if x}
-    for j in (i - 1, i + 1):
-        if 0 <= j < len(run):
-            gone |= set(shared_lines(lines, run[j]["lines"])) - article
-    return sorted(gone)
+    common, most = set(article), len(article) / 2
+    for j in sorted(range(lo, hi + 1), key=lambda j: abs(j - i))[1:]:
+        if abs(j - i) > 1 and not common:
+            break
+        shared = set(shared_lines(lines, run[j]["lines"]))
+        if abs(j - i) == 1:
+            gone |= shared - article
+        # One neighbour's line may be a quotation, and a copy tells nothing about an article.
+        common = common & shared if len(shared & article) <= most else set()
+    return sorted(gone | common if hi - lo > 1 else gone)
 
 
 def deletions(rows: DataFrame, group_pages: int) -> DataFrame:

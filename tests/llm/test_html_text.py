@@ -50,6 +50,18 @@ def test_copies_of_an_article_keep_their_text(spark):
     assert {r["text"] for r in extract(df, group_pages=2).collect()} == {"Same text.\nSame text."}
 
 
+def test_site_lines_inside_articles_go_and_quotations_stay(spark):
+    page = "<body><article><h1>Story {0}</h1><p>Share this story now</p><p>It goes {0}.</p>{1}<p>And ends {0}.</p></article></body>"
+    for n in (3, 9):
+        rows = [(i, f"http://h.example/{i}", page.format(i, "<p>A quotation.</p>" if i in (1, 2) else "")) for i in range(n)]
+        for group in (1, 2, 1000):
+            found = extract(spark.createDataFrame(rows, "page_id long, url string, html string"), group_pages=group).collect()
+            for r in found:
+                i = r["page_id"]
+                quoted = "A quotation.\n" if i in (1, 2) else ""
+                assert r["text"] == f"Story {i}\nIt goes {i}.\n{quoted}And ends {i}." and r["lines_deleted"] == 1
+
+
 def test_nearest_urls_are_compared_at_every_size(spark):
     # Sections of three pages share a menu; half of the pages differ in the query only.
     page = "<body><p>Section {1}</p><p>Text {0}.</p></body>"
