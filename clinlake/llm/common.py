@@ -72,7 +72,13 @@ def map_rows(
 
 
 def _slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    lengths = pa.compute.utf8_length(batch.column(text)).to_pylist() if text in batch.schema.names else []
+    held_in = batch.column(text) if text in batch.schema.names else None
+    if held_in is None:
+        lengths = []
+    elif pa.types.is_binary(held_in.type) or pa.types.is_large_binary(held_in.type):
+        lengths = pa.compute.binary_length(held_in).to_pylist()
+    else:
+        lengths = pa.compute.utf8_length(held_in).to_pylist()
     if not lengths:
         yield batch
         return
@@ -97,3 +103,16 @@ def learnable(doc_id: str, folds: int, held: int):
 
 def held_out(doc_id: str, folds: int, held: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == held, F.lit(False))
+
+
+def sql_crc32(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of a string's UTF-8 bytes, bit by bit."""
+    byte = f"CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT)"
+    fed = f"flatten(list_transform(range(0, CAST(octet_length(encode({text})) AS BIGINT)), lambda i: [{byte}, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))"
+    return f"xor(list_reduce({fed}, {step}, 4294967295), 4294967295)"
+
+
+def sql_lower(text: str) -> str:
+    """DuckDB SQL for a text with only A-Z lower-cased; empty for NULL."""
+    return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

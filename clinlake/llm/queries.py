@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clinlake.llm import (
-    decontamination, html_text, language_id, mixture, near_dup, quality, surrogates, token_counts, topk, toxicity,
+    decontamination, html_text, language_id, mixture, near_dup, quality, resampling, spelling, surrogates, token_counts, topk,
+    toxicity, warc,
 )
 from clinlake.llm.common import table
 
@@ -57,11 +58,27 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_list(table(spark, sf_dir, "pages"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_html_text, op3_topk_search, op4_quality, op5_surrogates, op6_language, op7_toxicity,
-        op8_near_duplicates, op9_mixture, op10_decontamination,
+        op8_near_duplicates, op9_mixture, op10_decontamination, op11_spelling_variants, op12_warc_archives,
+        op13_importance_resampling,
     )
 }
-ORACLES: dict[str, str] = {"op3_topk_search": topk.ORACLE, "op8_near_duplicates": near_dup.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_topk_search": topk.ORACLE, "op8_near_duplicates": near_dup.ORACLE, "op11_spelling_variants": spelling.ORACLE,
+    "op12_warc_archives": warc.ORACLE, "op13_importance_resampling": resampling.ORACLE,
+}
