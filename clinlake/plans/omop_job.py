@@ -181,6 +181,13 @@ def _write_silver(
     return counts
 
 
+def _staged(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """A gold table as written to the shared folder, before it is judged and loaded."""
+    path = scratch_path(spark, f"gold-{name}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def build_omop(
     spark: SparkSession,
     bronze: Mapping[str, DataFrame],
@@ -193,7 +200,11 @@ def build_omop(
     maintain: bool = False,
     key_style: str = "masked",
 ) -> OmopResult:
-    """Run the build. Gold is overwritten or, with ``load_mode="upsert"``, merged by key."""
+    """Run the build. Gold is overwritten or, with ``load_mode="upsert"``, merged by key.
+
+    An upsert rewrites the key buckets that it touches; a table that an earlier load has left
+    in another layout is laid out by its keys once.
+    """
     if load_mode not in ("overwrite", "upsert"):
         raise ValueError("load_mode is 'overwrite' or 'upsert'")
     parsed = parse_sources(bronze)
@@ -209,19 +220,20 @@ def build_omop(
     store = TableStore(spark, output_path)
     counts = {n: _write_silver(store, n, df, ok) for n, (df, ok) in parsed.items()}
     accepted = {n: store.read("silver", SILVER_TABLES[n]) for n in parsed}
-    gold = gold_tables(accepted, mappings, key_style)
+    # Gold is worked out once: the gate, the ranges of the clustering and the load itself read what is staged here.
+    gold = {n: _staged(spark, n, df) for n, df in gold_tables(accepted, mappings, key_style).items()}
     result = OmopResult({}, counts)
     if enforce_contracts:
         result.gates = check_gold(gold, contract, on_fail)
     for name, df in gold.items():
         told = {"user_metadata": f"rules_sha256={contract.sha256}"}
         if load_mode == "upsert":
-            path = store.upsert_gold(df, name, PRIMARY_KEYS[name], CLUSTER_KEYS[name], **told)
+            store.upsert_touched(df, name, PRIMARY_KEYS[name], relay=True, **told)
         else:
             sources = [store.current_path("silver", SILVER_TABLES[s]) for s in GOLD_SOURCES[name]]
             parts = partitions_for(store.size_of(*sources))
-            path = store.write_gold(df, name, CLUSTER_KEYS[name], partitions=parts, **told)
-        result.paths[name] = path
+            store.write_gold(df, name, CLUSTER_KEYS[name], partitions=parts, **told)
+        result.paths[name] = store.current_path("gold", name)
     if maintain:
         for name in gold:
             store.compact("gold", name, CLUSTER_KEYS[name])

@@ -3,14 +3,20 @@
 Layout: ``<base>/<tier>/<table>/v=<number>``. Each overwrite, upsert or compaction
 writes a new version folder, and Spark's own ``_SUCCESS`` marker is what makes that
 version the current one, so readers never see half of a table and a failed job
-leaves the previous version in place. Appends go into the current version. A table has
+leaves the previous version in place. Appends add files to the current version. A table has
 one writer at a time: a second one fails on the version folder that is already there.
+
+A gold table that is upserted lies in key buckets. An upsert writes the buckets that it
+changes into a part of its own, ``v=<number>+<part>``, and readers take every bucket from
+the newest complete part that has it; so an upsert too is seen whole or not at all.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +26,8 @@ from clinlake.fixed_values import CLUSTER_KEYS
 from clinlake.functions.joins import row_hash
 from clinlake.functions.lookup import text_bytes
 from clinlake.operators.merge import dedup_keys, source_is_small, upsert
-from clinlake.workspace import child_names, drop_tree, modified_at, path_exists
+from clinlake.sinks import buckets as linear
+from clinlake.workspace import child_names, drop_tree, glob_paths, modified_at, path_exists
 
 SUCCESS = "_SUCCESS"
 APPEND = "APPEND"
@@ -39,9 +46,6 @@ TELEMETRY_LAYOUT = (
     "version:int,operation:string,user_metadata:string>>, notice string"
 )
 
-# A table laid out by key buckets names their number in the partition column.
-BUCKET_PREFIX = "_bucket_of_"
-
 # Size that a range partition, and so a clustered file, is meant to have.
 PARTITION_BYTES = 256 * 1024 * 1024
 
@@ -84,6 +88,44 @@ def inferred_cluster_keys(df: DataFrame) -> list[str]:
     return []
 
 
+def _part_number(path: str) -> int:
+    """Which part of its version a folder is; the version itself comes first."""
+    return int(path.rpartition("/v=")[2].partition("+")[2] or -1)
+
+
+@dataclass
+class Layout:
+    """Key buckets of a table version: the partition column, all folders (oldest first) and the parts that they lie in."""
+
+    column: str
+    folders: list[str]
+    parts: list[str]
+
+    def __post_init__(self):
+        self.keys = linear.keys_of(self.column)
+        self.live = linear.newest(self.folders)
+        self.count = max(self.live) + 1
+
+    def sql(self, fmt: str) -> str:
+        """The table as a query over its folders, for a name in the catalog."""
+        by_part: dict[str, list[str]] = {}
+        for folder in self.live.values():
+            part, _, bucket = folder.rpartition("/")
+            by_part.setdefault(part, []).append(bucket.rsplit("=", 1)[1])
+        return " UNION ALL ".join(
+            f"SELECT * FROM {fmt}.`{part}/*={{{','.join(own)}}}`" for part, own in by_part.items()
+        )
+
+    def rows(self, spark: SparkSession, fmt: str, buckets: Iterable[int] | None = None) -> DataFrame:
+        """Rows of the given buckets, by default of all.
+
+        A bucket all of whose keys have moved on is written nowhere any more; its old rows are left out here.
+        """
+        paths = [self.live[b] for b in sorted(self.live if buckets is None else buckets)]
+        lies_in = F.regexp_extract("_metadata.file_path", r"=(\d+)/[^/]+$", 1).cast("int")
+        return spark.read.format(fmt).load(paths).where(lies_in == linear.bucket_number(self.keys, self.count))
+
+
 class TableStore:
     """Writes and maintains the tables under one base folder."""
 
@@ -140,16 +182,33 @@ class TableStore:
             path = self.current_path(tier, table)
         if path is None or not path_exists(self.spark, path):
             raise FileNotFoundError(f"no table {tier}/{table} under {self.base_path}")
+        number = int(path.rsplit("=", 1)[-1])
+        laid = self._layout(tier, table, number)
+        if laid is not None:
+            return laid.rows(self.spark, self.fmt)
         if merge_schema is None:
-            number = int(path.rsplit("=", 1)[-1])
             merge_schema = not self._history(tier, table).where(
                 (F.col("version") == number) & (F.col("operation") == APPEND)
             ).isEmpty()
         reader = self.spark.read.format(self.fmt)
         if self.fmt in ("parquet", "orc"):
             reader = reader.option("mergeSchema", merge_schema)
-        rows = reader.load(path)
-        return rows.drop(*[c for c in rows.columns if c.startswith(BUCKET_PREFIX)])
+        return reader.load(path)
+
+    def _layout(self, tier: str, table: str, version: int) -> Layout | None:
+        """The buckets of a version that is laid out by keys; None for any other."""
+        base = f"{self.table_path(tier, table)}/v={version}"
+
+        def inside(name: str) -> list[str]:
+            return glob_paths(self.spark, f"{base}/{name}") + glob_paths(self.spark, f"{base}+*/{name}")
+
+        complete = sorted((p.removesuffix(f"/{SUCCESS}") for p in inside(SUCCESS)), key=_part_number)
+        folders = [f for f in inside(f"{linear.PREFIX}*=*") if f.rpartition("/")[0] in complete]
+        if not folders:
+            return None
+        order = {p: n for n, p in enumerate(complete)}
+        folders.sort(key=lambda f: order[f.rpartition("/")[0]])
+        return Layout(unquote(folders[0].rpartition("/")[2].rpartition("=")[0]), folders, complete)
 
     def _history(self, tier: str, table: str) -> DataFrame:
         """Commits of one table."""
@@ -161,12 +220,20 @@ class TableStore:
     def _register(self, name: str, tier: str, table: str) -> None:
         """Point the catalog name at the current version, with all of its columns."""
         if self.namespace:
-            full = f"{self.namespace}.{name}"
-            rows = self.read(tier, table)
-            self.spark.sql(f"DROP TABLE IF EXISTS {full}")
-            self.spark.catalog.createTable(
-                full, self.current_path(tier, table), source=self.fmt, schema=rows.schema
-            )
+            full, path = f"{self.namespace}.{name}", self.current_path(tier, table)
+            rows, laid = self.read(tier, table), self._layout(tier, table, self.versions(tier, table)[-1])
+            known = self.spark.catalog.getTable(full).tableType if self.spark.catalog.tableExists(full) else None
+            if known == "EXTERNAL" and laid is None and self.spark.table(full).schema == rows.schema:
+                # The name stays readable while it is pointed elsewhere.
+                self.spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+                self.spark.catalog.refreshTable(full)
+                return
+            if known is not None and (known == "VIEW") != (laid is not None) or known == "EXTERNAL":
+                self.spark.sql(f"DROP {'VIEW' if known == 'VIEW' else 'TABLE'} {full}")
+            if laid is None:
+                self.spark.catalog.createTable(full, path, source=self.fmt, schema=rows.schema)
+            else:
+                self.spark.sql(f"CREATE OR REPLACE VIEW {full} AS {laid.sql(self.fmt)}")
 
     def _log(
         self, tier: str, table: str, version: int, operation: str,
@@ -219,6 +286,8 @@ class TableStore:
         path = self.current_path(tier, table)
         if path is None:
             return self._write_version(df, tier, table, APPEND, registered_as)
+        if self._layout(tier, table, self.versions(tier, table)[-1]) is not None:
+            raise ValueError(f"{tier}/{table} lies in key buckets: upsert into it")
         if not merge_schema:
             added = set(df.columns) - set(self.read(tier, table).columns)
             if added:
@@ -289,52 +358,70 @@ class TableStore:
         keys: Sequence[str],
         latest_by: Sequence[str] = (),
         buckets: int | None = None,
+        bucket_bytes: int = PARTITION_BYTES,
+        relay: bool = False,
+        user_metadata: str | None = None,
     ) -> list[int]:
-        """Upsert into a gold table laid out by key buckets; only buckets with a key of ``df`` are rewritten.
+        """Upsert into a gold table laid out by key buckets; only buckets with a key of ``df`` or due to split are rewritten.
 
-        The first load lays the table out, by default in buckets of about 256 MB. Later loads
-        read, merge and replace the touched buckets (a dynamic partition overwrite, which
-        Spark stages and then moves into place); files of all other buckets stay. Returns
-        the rewritten buckets. NULL keys match each other.
+        The first load lays the table out. Later ones let it grow by linear hashing, a
+        bucket for every ``bucket_bytes`` that the table and ``df`` have together, so at most
+        one bucket more than those with keys of ``df`` is rewritten for every bucket that is
+        new. Files of all other buckets stay. Returns the buckets written. NULL keys match
+        each other. A table in another layout is refused, or with ``relay`` laid out anew.
         """
         current = self.current_path("gold", table)
-        stored = None if current is None else self.spark.read.format(self.fmt).load(current)
-        if stored is None:
-            count = buckets or max(1, -(-text_bytes(df) // PARTITION_BYTES))
-            name = f"{BUCKET_PREFIX}{count}"
-        else:
-            name = next((c for c in stored.columns if c.startswith(BUCKET_PREFIX)), None)
-            if name is None:
-                raise ValueError(f"gold/{table} is not laid out by key buckets")
-            count = int(name.removeprefix(BUCKET_PREFIX))
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")
-        source = df.withColumn(name, bucket)
-        touched = sorted(r[name] for r in source.select(name).distinct().collect())
-        if not touched:
-            return []
-        if stored is None:
-            merged = dedup_keys(source, keys, latest_by)
-        else:
-            merged = upsert(
-                stored.where(F.col(name).isin(touched)), source, keys, latest_by,
-                small_source=source_is_small(df, keys) or None,
-            )
-        clustering = inferred_cluster_keys(df)
-        dealt = merged.repartition(len(touched), name)
-        shaped = dealt.sortWithinPartitions(name, *clustering)
-        if stored is None:
+        version = -1 if current is None else int(current.rsplit("=", 1)[-1])
+        laid = None if current is None else self._layout("gold", table, version)
+        column = linear.bucket_column(keys)
+        if current is not None and (laid is None or laid.column != column) and not relay:
+            raise ValueError(f"gold/{table} is not laid out by buckets of {list(keys)}")
+        if laid is None or laid.column != column:
+            if df.isEmpty():
+                return []
+            merged = dedup_keys(df, keys, latest_by)
+            if current is not None:
+                merged = upsert(self.read("gold", table), df, keys, latest_by)
+            grown = buckets or max(1, -(-(text_bytes(df) + self.size_of(current)) // bucket_bytes))
+            written, replaced = list(range(grown)), []
             version, path = self._next_path("gold", table)
-            shaped.write.format(self.fmt).mode("error").partitionBy(name).save(path)
         else:
-            version, path = self.versions("gold", table)[-1], current
-            shaped.write.format(self.fmt).mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy(name).save(path)
-        self._log("gold", table, version, "UPSERT", clustering)
+            n = laid.count
+            stored = laid.rows(self.spark, self.fmt)
+            source = df.withColumns({k: F.col(f"`{k}`").cast(stored.schema[k].dataType) for k in keys})
+            touched = {r["b"] for r in source.select(linear.bucket_number(keys, n).alias("b")).distinct().collect()}
+            if not touched:
+                return []
+            grown = max(n, -(-(self.size_of(list(laid.live.values())) + text_bytes(df)) // bucket_bytes))
+            rewritten = touched | linear.splitting(n, grown)
+            written = sorted(rewritten) + list(range(n, grown))
+            replaced = [laid.live[b] for b in sorted(rewritten & laid.live.keys())]
+            old = laid.rows(self.spark, self.fmt, rewritten & laid.live.keys()) if replaced else stored.where("false")
+            merged = upsert(old, source, keys, latest_by, small_source=source_is_small(df, keys) or None)
+            path = f"{current}+{max(map(_part_number, glob_paths(self.spark, current + '+*')), default=-1) + 1}"
+        clustering = inferred_cluster_keys(df)
+        numbered = merged.withColumn(column, linear.bucket_number(keys, grown))
+        places = self.spark.createDataFrame(list(enumerate(written)), "_place int, _b int").withColumnRenamed("_b", column)
+        dealt = numbered.join(F.broadcast(places), column).repartitionById(len(written), "_place").drop("_place")
+        shaped = dealt.sortWithinPartitions(column, *clustering)
+        shaped.write.format(self.fmt).mode("error").partitionBy(column).save(path)
+        self._log("gold", table, version, "UPSERT", clustering, user_metadata)
+        self._clear(self._layout("gold", table, version), replaced)
         self._register(table, "gold", table)
-        return touched
-
-    def size_of(self, *paths: str | None) -> int:
+        return sorted(b for b in written if glob_paths(self.spark, f"{path}/*={b}"))
+
+    def _clear(self, laid: Layout, replaced: Iterable[str]) -> None:
+        """Delete folders whose buckets have been written anew, and parts that are left with none."""
+        live = set(laid.live.values()) - set(replaced)
+        for folder in laid.folders:
+            if folder not in live:
+                drop_tree(self.spark, folder)
+        in_use = {f.rsplit("/", 1)[0] for f in live}
+        for part in laid.parts[1:]:
+            if part not in in_use:
+                drop_tree(self.spark, part)
+
+    def size_of(self, *paths: str | list[str] | None) -> int:
         """Bytes of the data files under the given paths."""
         return sum(file_stats(self.spark, p).first()["bytes"] for p in paths if p)
 
@@ -400,7 +487,7 @@ class TableStore:
         return self.spark.createDataFrame([facts], TELEMETRY_LAYOUT)
 
 
-def file_stats(spark: SparkSession, path: str) -> DataFrame:
+def file_stats(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Number and bytes of a table's data files, from the listing; no file is opened."""
     files = (
         spark.read.format("binaryFile")

@@ -70,6 +70,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """All paths that match a glob, from one look-up."""
+    hadoop_path, fs = _hadoop_path(spark, pattern)
+    return sorted(status.getPath().toString() for status in fs.globStatus(hadoop_path) or [])
+
+
 def modified_at(spark: SparkSession, path: str) -> int:
     """Modification time of a path in epoch milliseconds."""
     hadoop_path, fs = _hadoop_path(spark, path)

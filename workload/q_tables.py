@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clinlake.functions.lookup import text_bytes
 from clinlake.operators import merge, silver
 from clinlake.sinks.tables import TableStore
 from clinlake.workspace import scratch_path
@@ -169,6 +170,31 @@ def upsert_touched_only(spark, sf_dir):
     return lake.read("gold", "orders").withColumn("buckets_rewritten", F.lit(len(touched)))
 
 
+@query(
+    "upsert_growing",
+    "SELECT o_orderkey AS order_key, o_orderstatus AS status, o_totalprice + CASE WHEN o_orderkey = (SELECT max(o_orderkey) "
+    "FROM orders) THEN 1.0E0 ELSE 0.0E0 END AS price, true AS first_is_one_bucket, true AS grew_by_splits, "
+    "1 AS last_rewritten FROM orders",
+)
+def upsert_growing(spark, sf_dir):
+    """A table that starts with ten orders in one bucket and splits bucket by bucket until it holds all of them."""
+    lake = store(spark)
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS order_key", "o_orderstatus AS status", "o_totalprice AS price")
+    size = max(1, text_bytes(orders) // 24)
+    third = F.pmod(F.xxhash64("order_key"), F.lit(3))
+    newest = orders.join(orders.agg(F.max("order_key").alias("order_key")), "order_key")
+    loads = [
+        orders.orderBy("order_key").limit(10), orders.where(third == 0), orders.where(third < 2), orders,
+        newest.withColumn("price", F.col("price") + F.lit(1.0)),
+    ]
+    written = [lake.upsert_touched(rows, "orders", ["order_key"], bucket_bytes=size) for rows in loads]
+    counts = [max(w) + 1 for w in written[:-1]]
+    return lake.read("gold", "orders").withColumns({
+        "first_is_one_bucket": F.lit(written[0] == [0]), "grew_by_splits": F.lit(counts == sorted(set(counts)) and counts[-1] > 8),
+        "last_rewritten": F.lit(len(written[-1])),
+    })
+
+
 NEW_KEY = "o_orderkey + CASE WHEN o_orderkey % 10 = 0 THEN 1000000000000 ELSE 0 END"
 NEW_PRICE = "o_totalprice + CASE WHEN o_orderkey % 7 = 0 THEN 1.0E0 ELSE 0.0E0 END"
 
