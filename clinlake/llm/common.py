@@ -21,10 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def saved(spark: SparkSession, df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: a cut in the lineage that survives lost executors."""
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -162,7 +162,7 @@ class WarcArchive:
             F.col("page_id").cast("long"), "url", payload.alias("payload"), F.monotonically_increasing_id().alias("mark")
         )
         # Marks of rows have to stay: they are read once for the groups and once for the records.
-        rows = saved(self.spark, marked.select("*", F.sha1("payload").alias("digest")), "pages")
+        rows = saved(self.spark, marked.select("*", F.sha1("payload").alias("digest")), "pages", compression="zstd")
         shared = (
             rows.where(F.octet_length("payload") >= min_revisit_bytes)
             .groupBy("digest")
@@ -178,7 +178,9 @@ class WarcArchive:
     def _sample(self, rows: DataFrame, date: str) -> list[bytes]:
         """The records from which the dictionary is built: those with the smallest hashes among the shorter ones."""
         short = rows.where(F.octet_length("payload") <= SAMPLE_RECORD_BYTES)
-        found = smallest_by_hash(short.select("mark", "page_id", "url", "payload"), "mark", SAMPLE_RECORDS)
+        # The rows are chosen by their marks, so that tasks send the driver marks and only the chosen payloads.
+        chosen = [r["mark"] for r in smallest_by_hash(short.select("mark"), "mark", SAMPLE_RECORDS).collect()]
+        found = rows.where(F.col("mark").isin(chosen)).select("page_id", "url", "payload")
         known = {"uri": "", "refers_uri": None, "payload_digest": ""}
         return [
             page_record(r.asDict() | known | {"uri": page_uri(r["page_id"], None), "payload_digest": payload_digest(r["payload"])}, date)
