@@ -88,12 +88,17 @@ def normalised_concept_of(
     return concept_of(normalise(code), upper_keys(mapping), default)
 
 
-def text_bytes(df: DataFrame) -> int:
-    """Bytes of a frame: the text of all values and 16 a row, added up by every task for its own rows."""
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: the text of its values and 16."""
     width = F.lit(16)
     for name in df.columns:
         width = width + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
-    return df.agg(F.sum(width.cast("bigint")).alias("n")).first()["n"] or 0
+    return width.cast("bigint")
+
+
+def text_bytes(df: DataFrame) -> int:
+    """Bytes of a frame, added up by every task for its own rows."""
+    return df.agg(F.sum(row_bytes(df)).alias("n")).first()["n"] or 0
 
 
 def size_at_most(df: DataFrame, size: int) -> bool:

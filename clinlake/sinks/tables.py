@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from clinlake.fixed_values import CLUSTER_KEYS
 from clinlake.functions.joins import row_hash
-from clinlake.functions.lookup import text_bytes
+from clinlake.functions.lookup import BROADCAST_BYTES, row_bytes, text_bytes
 from clinlake.operators.merge import dedup_keys, source_is_small, upsert
 from clinlake.sinks import buckets as linear
 from clinlake.workspace import child_names, drop_tree, glob_paths, modified_at, path_exists
@@ -239,12 +239,12 @@ class TableStore:
         self, tier: str, table: str, version: int, operation: str,
         clustering: Sequence[str] = (), user_metadata: str | None = None,
     ) -> None:
-        entry = self.spark.createDataFrame(
-            [(tier, table.lower(), version, operation, list(clustering), user_metadata)],
-            "tier string, table_name string, version int, operation string, "
-            "clustering_columns array<string>, user_metadata string",
-        ).withColumn("committed_at", F.current_timestamp())
-        entry.coalesce(1).write.mode("append").parquet(f"{self.base_path}/commits")
+        entry = self.spark.range(0, 1, 1, 1).select(
+            F.lit(tier).alias("tier"), F.lit(table.lower()).alias("table_name"), F.lit(version).alias("version"),
+            F.lit(operation).alias("operation"), F.array(*map(F.lit, clustering)).cast("array<string>").alias("clustering_columns"),
+            F.lit(user_metadata).cast("string").alias("user_metadata"), F.current_timestamp().alias("committed_at"),
+        )
+        entry.write.mode("append").parquet(f"{self.base_path}/commits")
 
     def commits(self) -> DataFrame:
         """All commits of this store."""
@@ -389,19 +389,21 @@ class TableStore:
             n = laid.count
             stored = laid.rows(self.spark, self.fmt)
             source = df.withColumns({k: F.col(f"`{k}`").cast(stored.schema[k].dataType) for k in keys})
-            touched = {r["b"] for r in source.select(linear.bucket_number(keys, n).alias("b")).distinct().collect()}
+            facts = source.groupBy(linear.bucket_number(keys, n).alias("b")).agg(F.sum(row_bytes(source)).alias("bytes"))
+            touched = {r["b"]: r["bytes"] for r in facts.collect()}
             if not touched:
                 return []
-            grown = max(n, -(-(self.size_of(list(laid.live.values())) + text_bytes(df)) // bucket_bytes))
-            rewritten = touched | linear.splitting(n, grown)
+            added = sum(touched.values())
+            grown = max(n, -(-(self.size_of(list(laid.live.values())) + added) // bucket_bytes))
+            rewritten = touched.keys() | linear.splitting(n, grown)
             written = sorted(rewritten) + list(range(n, grown))
             replaced = [laid.live[b] for b in sorted(rewritten & laid.live.keys())]
             old = laid.rows(self.spark, self.fmt, rewritten & laid.live.keys()) if replaced else stored.where("false")
-            merged = upsert(old, source, keys, latest_by, small_source=source_is_small(df, keys) or None)
+            merged = upsert(old, source, keys, latest_by, small_source=added <= BROADCAST_BYTES or source_is_small(source, keys) or None)
             path = f"{current}+{max(map(_part_number, glob_paths(self.spark, current + '+*')), default=-1) + 1}"
         clustering = inferred_cluster_keys(df)
         numbered = merged.withColumn(column, linear.bucket_number(keys, grown))
-        places = self.spark.createDataFrame(list(enumerate(written)), "_place int, _b int").withColumnRenamed("_b", column)
+        places = self.spark.range(0, 1, 1, 1).select(F.posexplode(F.lit(written)).alias("_place", column))
         dealt = numbered.join(F.broadcast(places), column).repartitionById(len(written), "_place").drop("_place")
         shaped = dealt.sortWithinPartitions(column, *clustering)
         shaped.write.format(self.fmt).mode("error").partitionBy(column).save(path)
