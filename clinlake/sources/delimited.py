@@ -5,7 +5,6 @@ from __future__ import annotations
 import csv
 from collections.abc import Callable, Sequence
 from datetime import datetime
-from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -14,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinlake.fixed_values import SYNTHEA_COLUMNS
+from clinlake.functions.lookup import BROADCAST_BYTES, size_at_most
 from clinlake.operators.columns import rename_known
-from clinlake.workspace import path_exists
+from clinlake.sources import listing
+from clinlake.workspace import path_exists, scratch_path
 
 # What the silver parsers and the OMOP transforms read of each source.
 NEEDED_COLUMNS = {
@@ -49,31 +50,49 @@ def scan_csv(
 
 
 def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, header): the first line of every file. One pass over the lines, of which each task keeps one per file."""
+    """(file, value): the first line of every file.
+
+    Tasks read the beginnings of the files. Where only Spark can open a path, it takes a pass
+    over all lines, of which each task keeps one per file.
+    """
+    if all(listing.knows(r) for r in listing.roots(spark, path)):
+        return listing.file_heads(spark, path, lambda lines: next(lines, None))
     first = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), first.alias("place"))
-    return lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    lines = spark.read.text(path).select("value", listing.plain_path().alias("file"), first.alias("place"))
+    return lines.groupBy("file").agg(F.min_by("value", "place").alias("value"))
+
+
+def small_or_not(df: DataFrame) -> DataFrame:
+    """A look-up table, broadcast if its bytes are few."""
+    return F.broadcast(df) if size_at_most(df, BROADCAST_BYTES) else df
 
 
 def scan_csv_by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """CSV files with headers of their own, every column a string.
 
-    Files with equal headers are read together; the groups are put together by
-    column name, and columns that a file lacks are NULL for its rows.
+    However many headers there are, the lines are scanned and split once; each field goes
+    to the column that its own file's header names. Columns that a file lacks are NULL for its rows.
     """
-    headers = file_headers(spark, path)
-    distinct = sorted(r["header"] for r in headers.select("header").distinct().collect())
+    kept = scratch_path(spark, "headers")
+    file_headers(spark, path).write.parquet(kept)
+    headers = spark.read.schema("file string, value string").parquet(kept)
+    distinct = sorted(r["value"] for r in headers.select("value").distinct().collect())
     if len(distinct) <= 1:
         return scan_csv(spark, path)
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
-    placed = lines.join(headers, F.col("path") == F.col("file")).where("value <> header and value <> ''")
-    parts = []
-    for header in distinct:
-        names = next(csv.reader([header]))
-        layout = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
-        own = placed.where(F.col("header") == header)
-        parts.append(own.select(F.from_csv("value", layout).alias("r")).select("r.*"))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    layouts = {header: next(csv.reader([header])) for header in distinct}
+    names = list(dict.fromkeys(n for layout in layouts.values() for n in layout))
+    # Per header: at which place of its lines each column is.
+    places = spark.createDataFrame(
+        [(h, [layout.index(n) if n in layout else None for n in names]) for h, layout in layouts.items()],
+        "value string, places array<int>",
+    )
+    known = headers.join(F.broadcast(places), "value").select("file", F.col("value").alias("header"), "places")
+    lines = spark.read.text(path).select("value", listing.plain_path().alias("file"))
+    placed = lines.join(small_or_not(known), "file").where("value <> header and value <> ''")
+    widest = max(map(len, layouts.values()))
+    cells = F.from_csv("value", ", ".join(f"_{i} STRING" for i in range(widest)))
+    split = placed.select("places", cells.alias("r")).select("places", F.array("r.*").alias("cells"))
+    return split.select(*[F.get("cells", F.get("places", F.lit(i))).alias(n) for i, n in enumerate(names)])
 
 
 def first_existing(spark: SparkSession, *paths: str) -> str:

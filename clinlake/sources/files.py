@@ -3,69 +3,53 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinlake.functions.parsing import as_column
+from clinlake.sources import listing
+
+# Tasks get these functions by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Larger files do not fit into one row and are hashed block by block instead.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
 BLOCK_BYTES = 8 * 1024 * 1024
-_MANIFEST = "path string, length bigint, uri string, sha256 string"
+_MANIFEST = "path string, length bigint, sha256 string"
 
 
-def _hash_in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def _digests(block_bytes: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def digest(path: str) -> str:
+            filesystem, own = listing.opened(path)
+            state = hashlib.sha256()
+            with filesystem.open_input_stream(own) as stream:
+                while block := stream.read(block_bytes):
+                    state.update(block)
+            return state.hexdigest()
 
-    def digest(uri: str) -> str:
-        filesystem, path = fs.FileSystem.from_uri(uri)
-        state = hashlib.sha256()
-        with filesystem.open_input_stream(path) as stream:
-            while block := stream.read(BLOCK_BYTES):
-                state.update(block)
-        return state.hexdigest()
+        for batch in batches:
+            yield batch.assign(sha256=[digest(path) for path in batch["path"]])
 
-    for batch in batches:
-        yield batch.assign(sha256=[digest(uri) for uri in batch["uri"]])
+    return run
 
 
 def file_manifest(
     spark: SparkSession,
     path: str | Sequence[str],
     name_filter: str | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``(path, length, sha256)`` of every file under the given paths.
+    """``(path, length, sha256)`` of every file under the given paths, empty ones too.
 
-    The content column is only read for files that fit into a row. A larger file
-    stays with one task, which streams it. Spark's scan passes over empty files, so
-    they are the files of its listing (which the driver's file index holds in any case)
-    that the scan does not return.
+    Files are listed, dealt and read inside tasks, block by block, so their sizes do not
+    matter. A digest is sequential by nature: one task reads one file.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if name_filter:
-        reader = reader.option("pathGlobFilter", name_filter)
-    files = reader.load(path if isinstance(path, str) else list(path))
-    in_rows = files.where(F.col("length") <= whole_file_bytes).select(
-        "path", "length", F.sha2("content", 256).alias("sha256")
-    )
-    uri = F.regexp_replace("_metadata.file_path", "^file:/+", "file:///").alias("uri")
-    large = files.where(F.col("length") > whole_file_bytes).select("path", "length", uri)
-    in_blocks = large.repartition("path").mapInPandas(_hash_in_blocks, _MANIFEST).drop("uri")
-    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "uri string").select(
-        F.regexp_replace("uri", "^file:/+", "file:///").alias("uri")
-    )
-    # The listing escapes names as in URLs, where only a plus sign stands for itself.
-    plain_path = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
-    empty = listed.join(files.select(uri), "uri", "left_anti").select(
-        F.regexp_replace(plain_path, "^file:///", "file:/").alias("path"),
-        F.lit(0).cast("bigint").alias("length"),
-        F.sha2(F.lit(""), 256).alias("sha256"),
-    )
-    return in_rows.unionByName(in_blocks).unionByName(empty)
+    files = listing.dealt(listing.list_files(spark, path, name_filter), "path")
+    return files.mapInPandas(_digests(block_bytes), _MANIFEST)
 
 
 def text_digest(value: Column | str) -> Column:

@@ -144,13 +144,13 @@ def test_contract_rules_with_digest(spark, tmp_path):
         contracts.load_contract(spark, str(tmp_path / "none.json"))
 
 
-@pytest.mark.parametrize("whole_file_bytes", [files.WHOLE_FILE_BYTES, 2])
-def test_file_digests(spark, tmp_path, whole_file_bytes):
+@pytest.mark.parametrize("block_bytes", [files.BLOCK_BYTES, 2])
+def test_file_digests(spark, tmp_path, block_bytes):
     contents = {"a.bin": b"", "sp %25 +ace.bin": b"x y", "e +mpty": b"", "b.bin": b"hello", "sub/c.bin": bytes(range(256)) * 5000}
     for name, content in contents.items():
         (tmp_path / name).parent.mkdir(exist_ok=True)
         (tmp_path / name).write_bytes(content)
-    manifest = files.file_manifest(spark, str(tmp_path), whole_file_bytes=whole_file_bytes)
+    manifest = files.file_manifest(spark, str(tmp_path), block_bytes=block_bytes)
     got = {r["path"].rsplit("/", 1)[-1]: (r["length"], r["sha256"]) for r in manifest.collect()}
     assert got == {
         n.rsplit("/", 1)[-1]: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items()

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clinlake.operators import columns, qc
-from clinlake.sources import contracts, delimited, files, vcf, vocabulary
+from clinlake.sources import blockgzip, contracts, delimited, files, listing, vcf, vocabulary
 from clinlake.workspace import scratch_path
 from workload.catalog import plain, query, saved, table, view
 from workload.q_columns import D, L, P, V
 
-CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_OPTIONS = {"header": True, **KEEP_BLANKS}
 PATIENT_COLUMNS = ["raw_patient_id", "gender", "birth_datetime", "race", "ethnicity"]
 PATIENTS_SQL = "SELECT raw_patient_id, gender, birth_datetime, race, ethnicity FROM bronze_patients"
 
@@ -89,20 +91,39 @@ def multi_format_load(spark, sf_dir):
     return columns.union_by_name(*loaded)
 
 
+def headed(lines, *head):
+    """The rows of every partition (one column of text) behind these lines; empty partitions stay empty."""
+
+    def run(batches):
+        begun = False
+        for batch in batches:
+            if batch.num_rows and not begun:
+                begun = True
+                yield pa.RecordBatch.from_arrays([pa.array(head, pa.string())], schema=batch.schema)
+            yield batch
+
+    return lines.mapInArrow(run, "value string")
+
+
+#: Twenty kinds of files: the columns from another one on, in both directions, and without gender or with it.
+HEADERS = [
+    [c for c in (PATIENT_COLUMNS[i:] + PATIENT_COLUMNS[:i])[::way] if keeps or c != "gender"]
+    for i in range(5) for way in (1, -1) for keeps in (True, False)
+]
 MIXED_PATIENTS_SQL = (
-    "SELECT raw_patient_id, CASE WHEN n % 3 <> 2 THEN gender END AS gender, birth_datetime, race, ethnicity "
+    "SELECT raw_patient_id, CASE WHEN n % 2 = 0 THEN gender END AS gender, birth_datetime, race, ethnicity "
     "FROM (SELECT *, CAST(substr(raw_patient_id, 5) AS BIGINT) AS n FROM bronze_patients)"
 )
 
 
 @query("csv_mixed_headers", MIXED_PATIENTS_SQL, P)
 def csv_mixed_headers(spark, sf_dir):
-    """Three kinds of files in one folder: canonical, in another column order, and without gender."""
-    rows = view(spark, sf_dir, "bronze_patients").withColumn("n", F.substring("raw_patient_id", 5, 20).cast("bigint") % 3)
+    """Twenty headers in one folder, every other one without gender."""
+    rows = view(spark, sf_dir, "bronze_patients").withColumn("n", F.substring("raw_patient_id", 5, 20).cast("bigint") % 20)
     path = scratch_path(spark, "mixed-patients")
-    for kind, names in enumerate((PATIENT_COLUMNS, PATIENT_COLUMNS[::-1], [c for c in PATIENT_COLUMNS if c != "gender"])):
-        part = rows.where(F.col("n") == kind).select(*names)
-        part.write.options(**CSV_OPTIONS).mode("append").csv(path)
+    for kind, names in enumerate(HEADERS):
+        lines = rows.where(F.col("n") == kind).select(F.to_csv(F.struct(*names), KEEP_BLANKS).alias("value"))
+        headed(lines, ",".join(names)).write.mode("append").text(path)
     return delimited.scan_csv_by_header(spark, path)
 
 
@@ -174,12 +195,29 @@ def vcf_mixed_headers(spark, sf_dir):
     path = scratch_path(spark, "mixed-variants")
     for kind, names in enumerate((VCF_FIELDS, ("chrom", "patient_id", *VCF_FIELDS[1:8]))):
         header = "#" + "\t".join(f.upper() for f in names)
-        top = spark.createDataFrame([(text,) for text in (*REMARKS, header)], "value string")
         lines = rows.where(odd == kind).select(F.concat_ws("\t", *names).alias("value"))
-        top.unionByName(lines).coalesce(1).write.mode("append").text(path)
+        headed(lines, *REMARKS, header).write.mode("append").text(path)
     return vcf.scan_vcf(spark, path).drop("ingestion_timestamp").select(*VCF_FIELDS)
 
 
+@query(
+    "vcf_block_gzip",
+    "SELECT chrom, pos, id, ref, alt, qual, coalesce(filter, '') AS filter, info, patient_id, sample_id, true AS in_many_tasks "
+    "FROM bronze_variants",
+    V,
+)
+def vcf_block_gzip(spark, sf_dir):
+    """Variants in block-gzip files of many blocks; their byte ranges are read by different tasks."""
+    rows = view(spark, sf_dir, "bronze_variants").withColumn("filter", F.coalesce("filter", F.lit("")))
+    path = f"{scratch_path(spark, 'variants')}.vcf.bgz"
+    lines = rows.select(F.concat_ws("\t", *VCF_FIELDS).alias("value"))
+    blockgzip.write_block_gzip(lines, path, [*REMARKS, HEADER], block_bytes=4_000)
+    size = listing.list_files(spark, path).agg(F.sum("length")).first()[0]
+    variants = vcf.scan_vcf(spark, path, range_bytes=max(1, size // 8)).drop("ingestion_timestamp")
+    tasks = variants.select(F.spark_partition_id()).distinct().count()
+    return variants.withColumn("in_many_tasks", F.lit(tasks > 1))
+
+
 # -- vocabularies, contracts, digests -----------------------------------------------
 
 
@@ -274,19 +312,25 @@ def sha256_manifest(spark, sf_dir):
     )
 
 
+DOCUMENTS_A_FILE = 100
+
+
 @query(
     "file_sha256_manifest",
-    "SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS length, "
-    "sha256(coalesce(text, '') || chr(10)) AS sha256 FROM documents",
+    "SELECT part, CAST(sum(octet_length(encode(line))) AS BIGINT) AS length, sha256(string_agg(line, '' ORDER BY doc_id)) AS sha256 "
+    f"FROM (SELECT doc_id, doc_id // {DOCUMENTS_A_FILE} AS part, coalesce(text, '') || chr(10) AS line FROM documents) GROUP BY part",
 )
 def file_sha256_manifest(spark, sf_dir):
-    """Every document as a text file of its own, and the digests of all these files."""
+    """Text files of a hundred documents each, and the digests of all these files."""
     path = scratch_path(spark, "document-files")
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("value"))
-    docs.repartition("doc_id").write.partitionBy("doc_id").text(path)
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.expr(f"doc_id div {DOCUMENTS_A_FILE}").alias("part"), F.coalesce("text", F.lit("")).alias("value")
+    )
+    sorted_docs = docs.repartition("part").sortWithinPartitions("part", "doc_id")
+    sorted_docs.select("part", "value").write.partitionBy("part").text(path)
     manifest = files.file_manifest(spark, path, "part-*")
     return manifest.select(
-        F.regexp_extract("path", r"doc_id=(\d+)/", 1).cast("bigint").alias("doc_id"), "length", "sha256"
+        F.regexp_extract("path", r"/part=(\d+)/", 1).cast("bigint").alias("part"), "length", "sha256"
     )
 
 
