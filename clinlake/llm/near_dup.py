@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinlake.functions.joins import left_join_split
 from clinlake.llm.common import map_rows, saved, words_of
 from clinlake.llm.components import components
 
@@ -63,6 +64,11 @@ def signature(s: np.ndarray) -> list[int]:
     return best.view(np.int32).tolist()
 
 
+def digest(s: np.ndarray) -> list[int]:
+    """128 bits that stand for a shingle set."""
+    return np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), dtype=np.int64).tolist()
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, d1, d2, sig): set size, 128-bit digest of the set, and signature."""
 
@@ -74,8 +80,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 if not len(s):
                     out.append((r["doc_id"], 0, None, None, None))
                     continue
-                d = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), dtype=np.int64).tolist()
-                out.append((r["doc_id"], len(s), *d, signature(s)))
+                out.append((r["doc_id"], len(s), *digest(s), signature(s)))
             return out
 
         return work
@@ -115,16 +120,17 @@ def _matching(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(hits >= MATCHES).select("a", "b")
 
 
-def _full_sets(spark, docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, s): the full shingle sets of these documents.
+def _full_sets(spark, docs: DataFrame, wanted_reps: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, s): the full shingle sets of these representatives.
 
-    The ids travel to the texts as a filter of fixed size, so texts are not
-    shuffled; the few sets that the filter lets through without need are joined with nothing.
+    The ids of documents that have them travel to the texts as a filter of fixed size, so
+    texts are not shuffled; sets that the filter lets through without need are joined with nothing.
     """
     page = 32_768  # bits of Spark's own bitmaps
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     marks = (
-        ids.select(slot.alias("slot"))
+        reps.join(wanted_reps, "rep", "left_semi")
+        .select(slot.alias("slot"))
         .groupBy(F.expr(f"slot div {page}").alias("page"))
         .agg(F.bitmap_construct_agg(F.col("slot") % page).alias("bits"))
         .collect()
@@ -135,22 +141,33 @@ def _full_sets(spark, docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     def start():
         def work(rows):
-            return [
-                (r["doc_id"], shingles(r["text"]).view(np.int64))
-                for r in rows
-                if r["text"] and wanted[r["slot"] >> 3] >> (r["slot"] & 7) & 1
-            ]
+            found = (
+                shingles(r["text"]) for r in rows if r["text"] and wanted[r["slot"] >> 3] >> (r["slot"] & 7) & 1
+            )
+            return [(*digest(s), s.view(np.int64)) for s in found if len(s)]
 
         return work
 
-    found = map_rows(docs.select("doc_id", "text", slot.alias("slot")), "doc_id long, s array<long>", start)
-    return saved(spark, found.where("size(s) > 0"), "sets").groupBy("doc_id").agg(F.min("s").alias("s"))
+    known = docs.where("doc_id is not null").select("text", slot.alias("slot"))
+    found = saved(spark, map_rows(known, "d1 long, d2 long, s array<long>", start), "sets")
+    # Of equal sets one is enough; a set is told by its digest, as an id may have several texts.
+    return found.groupBy("d1", "d2").agg(F.min("s").alias("s")).join(reps, ["d1", "d2"]).select("rep", "s")
+
+
+def _same_ids(base: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (a, b) between the representatives of rows that repeat a doc_id with other texts."""
+    one = F.struct("d1", "d2")
+    several = base.groupBy("doc_id").agg(F.min(one).alias("least"), F.max(one).alias("most")).where("least <> most")
+    rows = left_join_split(base.select("doc_id", "d1", "d2"), several.select("doc_id", "least"), "doc_id")
+    pairs = rows.where("least is not null").select("d1", "d2", "least.d1", "least.d2").toDF("d1", "d2", "l1", "l2").distinct()
+    ends = reps.select(F.col("d1").alias("l1"), F.col("d2").alias("l2"), F.col("rep").alias("b"))
+    return pairs.join(reps.select("d1", "d2", F.col("rep").alias("a")), ["d1", "d2"]).join(ends, ["l1", "l2"]).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs with 100 * intersection >= 75 * union on their full shingle sets."""
-    a = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
+    a = sets.select(F.col("rep").alias("a"), F.col("s").alias("sa"))
+    b = sets.select(F.col("rep").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - both
     return pairs.join(a, "a").join(b, "b").where(100 * both >= SIMILAR * union).select("a", "b")
@@ -209,7 +226,7 @@ def _late_links(stars: DataFrame, root: DataFrame, sets: DataFrame) -> DataFrame
         .select("hub", "main", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     )
     members = placed.join(open_hubs, "hub").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    members = members.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    members = members.join(sets, "rep")
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     same = [F.col(c).alias(c) for c in ("hub", "rep", "root", "s")]  # new columns, so that both sides can meet
     x = members.where("root <> main").select(F.col("own").alias("i"), others.alias("j"), *same)
@@ -224,19 +241,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     0.75 or more; the component's id is its smallest doc_id, which is the one kept.
     NULL texts and texts without words have no shingles and are linked with nothing,
     and so are rows without doc_id (component NULL, kept). A repeated doc_id gives
-    one row per row. Other columns are ignored; an empty table gives an empty one.
+    one row per row: such rows are one document, linked with whatever any of their texts is
+    near to. Other columns are ignored; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     base = saved(spark, signatures(docs), "signatures")
+    known = base.where("doc_id is not null and n_shingles > 0")
+    # One representative for every set, whichever ids its documents have.
     reps = saved(
         spark,
-        base.where("doc_id is not null and n_shingles > 0")
-        .groupBy("d1", "d2")
-        .agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("rep"))
-        # A doc_id repeated with other texts would stand for several sets; its rows are one document.
-        .groupBy("rep")
-        .agg(F.min_by("sig", F.struct("d1", "d2")).alias("sig")),
+        known.groupBy("d1", "d2").agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("doc_id"))
+        .withColumn("rep", F.monotonically_increasing_id()),
         "representatives",
     )
     posts = saved(spark, _postings(reps), "postings")
@@ -244,26 +260,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hubs = hubs.where("n > 1").select("token", (-F.col("h.col2")).alias("hub"))
     stars = posts.join(hubs, "token").select("rep", "hub").where("rep <> hub")
     stars = saved(spark, stars.distinct(), "stars")
-    sets = _full_sets(
-        spark, docs, stars.select(F.col("hub").alias("doc_id")).unionAll(stars.select("rep")).distinct()
-    )
+    met = stars.select(F.col("hub").alias("rep")).unionAll(stars.select("rep")).distinct()
+    sets = _full_sets(spark, docs, met, reps)
     pairs = stars.select(F.col("hub").alias("a"), F.col("rep").alias("b"))
     links = saved(spark, _confirmed(_matching(pairs, reps), sets), "links")
     late = _late_links(stars, components(spark, links), sets)
-    root = components(spark, links.unionAll(late))
+    root = components(spark, links.unionAll(late).unionAll(_same_ids(known, reps)))
 
     # Every document has its set's representative, and with it the component.
-    own = base.where("doc_id is not null and n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    named = own.join(root, F.col("rep") == F.col("id"), "left").select(
-        "d1", "d2", F.coalesce("root", "rep").alias("root")
+    own = reps.join(root, F.col("rep") == F.col("id"), "left").select(
+        "d1", "d2", "doc_id", F.coalesce("root", "rep").alias("root")
     )
+    least = own.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = left_join_split(own.select("d1", "d2", "root"), least, "root").select("d1", "d2", "component_id")
     return (
         base.drop("sig")
         .join(named, ["d1", "d2"], "left")
         .select(
             "doc_id", "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"),
-            F.coalesce(F.col("doc_id") == F.coalesce("root", "doc_id"), F.lit(True)).alias("kept"),
+            F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+            F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
         )
     )
 

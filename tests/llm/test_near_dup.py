@@ -64,6 +64,24 @@ def test_components_equal_brute_force(spark, monkeypatch):
     assert {tuple(r) for r in near_duplicates(df).collect()} == want
 
 
+def test_repeated_ids_keep_all_their_links(spark):
+    draw = random.Random(2)
+    a, b, c = ([f"{name}{i}" for i in range(60)] for name in "abc")
+    near = [" ".join([*words, "more"]) for words in (a, b, c)]
+    a, b, c = (" ".join(words) for words in (a, b, c))
+    rows = [(5, a), (5, b), (9, near[1]), (3, near[0]), (7, c), (7, ""), (7, None), (8, near[2]), (20, a), (20, c)]
+    for _ in range(2):
+        draw.shuffle(rows)
+        found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted((r["doc_id"], r["component_id"]) for r in found if r["n_shingles"]) == [
+            (3, 3), (5, 3), (5, 3), (7, 3), (8, 3), (9, 3), (20, 3), (20, 3),
+        ]
+        assert [(r["doc_id"], r["component_id"]) for r in found if not r["n_shingles"]] == [(7, 7), (7, 7)]
+    apart = [r for r in rows if r[0] != 20]
+    found = near_duplicates(spark.createDataFrame(apart, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in found if r["n_shingles"]} == {(3, 3), (5, 3), (9, 3), (7, 7), (8, 7)}
+
+
 def test_forest_links_roots_once():
     base = np.arange(100, dtype=np.int64)
     side = pd.DataFrame({"rep": range(6), "root": [0, 0, 2, 3, 4, 5], "s": [np.sort(np.append(base[i:], -1 - i)) for i in range(6)]})
