@@ -16,14 +16,16 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinlake.llm.common import WORD, map_rows, saved
+from clinlake.llm.common import WORD, map_stream, saved
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_PASSES = 3
 BLOCK_WORDS = 32
 SHARD_SLOTS = 4096
-#: Groups of shards whose draws the driver makes; the rest is drawn in tasks.
+#: Groups of shards whose draws the driver makes, at least; the rest is drawn in tasks.
 GROUPS = 512
+#: Slots that one group has at most.
+GROUP_SLOTS = 4_000_000
 #: Documents whose places in the stream one task works out.
 CHUNK_ROWS = 5_000
 
@@ -80,7 +82,7 @@ def permuted(i: np.ndarray, n: int, key: int) -> np.ndarray:
 def slot_table(spark, blocks: list[int], slots: list[int], shard_slots: int, seed: int) -> DataFrame:
     """(nth, shard, slot, block): which block of source number ``nth`` each of its slots takes, and in which shard."""
     shards = max(1, math.ceil(sum(slots) / shard_slots))
-    per_group = math.ceil(shards / GROUPS)
+    per_group = min(math.ceil(shards / GROUPS), max(1, GROUP_SLOTS // shard_slots))
     rng, given = np.random.default_rng([seed, 0]), np.zeros(len(slots), dtype=np.int64)
     want, groups = np.array(slots, dtype=np.int64), []
     for g, first in enumerate(range(0, shards, per_group)):
@@ -90,29 +92,25 @@ def slot_table(spark, blocks: list[int], slots: list[int], shard_slots: int, see
         given = given + got
     plan = spark.createDataFrame(groups, "g long, first long, given array<long>, own array<long>")
 
-    def start():
-        def work(rows):
-            out = []
-            for r in rows:
-                rng, given = np.random.default_rng([seed, 1, r["g"]]), np.array(r["given"])
-                end, shard = given + np.array(r["own"]), r["first"]
-                while (left := end - given).any():
-                    got = draws(left, min(shard_slots, int(left.sum())), rng)
-                    for s in np.flatnonzero(got).tolist():
-                        j = np.arange(given[s], given[s] + got[s])
-                        block, turn = np.empty_like(j), j // blocks[s]
-                        for t in np.unique(turn).tolist():
-                            key = [seed, 2, s, t]
-                            block[turn == t] = permuted(j[turn == t] % blocks[s], blocks[s], key)
-                        out.append((s, shard, int(given[s]), block))
-                    given, shard = given + got, shard + 1
-            return out
-
-        return work
-
-    drawn = map_rows(
+    def stream(parts):
+        for r in (r for part in parts for r in part):
+            rng, given = np.random.default_rng([seed, 1, r["g"]]), np.array(r["given"])
+            end, shard = given + np.array(r["own"]), r["first"]
+            while (left := end - given).any():
+                got, out = draws(left, min(shard_slots, int(left.sum())), rng), []
+                for s in np.flatnonzero(got).tolist():
+                    j = np.arange(given[s], given[s] + got[s])
+                    block, turn = np.empty_like(j), j // blocks[s]
+                    for t in np.unique(turn).tolist():
+                        key = [seed, 2, s, t]
+                        block[turn == t] = permuted(j[turn == t] % blocks[s], blocks[s], key)
+                    out.append((s, shard, int(given[s]), block))
+                yield out  # shard by shard: a task never holds its group
+                given, shard = given + got, shard + 1
+
+    drawn = map_stream(
         plan.repartition(min(len(groups), 4 * spark.sparkContext.defaultParallelism)),
-        "nth int, shard long, first long, blocks array<long>", start,
+        "nth int, shard long, first long, blocks array<long>", stream,
     )
     return drawn.select("nth", "shard", "first", F.posexplode("blocks").alias("at", "block")).select(
         "nth", "shard", (F.col("first") + F.col("at")).alias("slot"), "block"
@@ -179,17 +177,20 @@ class Mixture:
         ``from_word`` counts from 0 within the document; ``start`` is the document's place in
         its source. With keep_text the piece's own words follow as ``text``, one blank apart.
         """
-        size = F.lit(self.block_words)
-        cut = self.docs.where("size > 0").withColumn(
-            "block", F.explode(F.expr(f"sequence(start div {self.block_words}, (start + size - 1) div {self.block_words})"))
-        )
-        first = F.greatest(F.col("block") * size - F.col("start"), F.lit(0))
-        last = F.least((F.col("block") + 1) * size - F.col("start"), F.col("size"))
-        columns = ["nth", "source", "block", "doc_id", "start", first.alias("from_word"), (last - first).alias("words")]
-        if self.keep_text:
-            own = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), (first + 1).cast("int"), (last - first).cast("int"))
-            columns.append(F.array_join(own, " ").alias("text"))
-        cut = cut.select(columns)
+        size = F.lit(self.block_words).cast("long")
+        words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0)) if self.keep_text else F.array().cast("array<string>")
+        through = F.expr(f"sequence(start div {self.block_words}, (start + size - 1) div {self.block_words})")
+
+        def cut_of(w, block):
+            first = F.greatest(block * size - F.col("start"), F.lit(0).cast("long"))
+            n = F.least((block + 1) * size - F.col("start"), F.col("size")) - first
+            text = [F.array_join(F.slice(w, (first + 1).cast("int"), n.cast("int")), " ").alias("text")] if self.keep_text else []
+            return F.struct(block.alias("block"), first.alias("from_word"), n.alias("words"), *text)
+
+        # A text is split into words once, as the one element of an array, and all its pieces are slices of that.
+        pieces = F.transform(F.array(words), lambda w: F.transform(through, lambda block: cut_of(w, block)))[0]
+        own = self.docs.where("size > 0").select("nth", "source", "doc_id", "start", F.explode(pieces).alias("p"))
+        cut = own.select("nth", "source", "doc_id", "start", "p.*")
         # Spark takes the slots for as small as the plan that they are drawn from; both sides grow with the corpus.
         return self.slots.hint("merge").join(cut, ["nth", "block"]).select(
             "shard", "slot", "nth", "source", "block", "doc_id", "start", "from_word", "words",

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
 
+from clinlake.llm import mixture
 from clinlake.llm.mixture import Mixture, draws, permuted, targets
 from tests.llm.helpers import DOCUMENTS, SCHEMA, documents
 
@@ -75,6 +77,25 @@ def test_pieces_keep_letters_and_trim_form_feeds_at_the_edges(spark):
         assert p["text"].split(" ") == texts[p["doc_id"]].split()[p["from_word"] : p["from_word"] + p["words"]]
 
 
+def test_the_time_of_a_long_text_is_in_proportion_to_its_length(spark):
+    def seconds(n):
+        text = " ".join(f"w{i}" for i in range(n))
+        pieces = Mixture(spark.createDataFrame([(1, text, "en", "a")], SCHEMA), block_words=256, keep_text=True).pieces()
+        start = time.perf_counter()
+        assert pieces.agg({"words": "sum"}).first()[0] == n
+        return time.perf_counter() - start
+
+    seconds(10_000)
+    assert seconds(1_000_000) < 60  # word by word for every piece it would take hours
+
+
+def test_groups_of_slots_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(mixture, "GROUP_SLOTS", 64)
+    plain = spark.createDataFrame(corpus(100), SCHEMA)
+    pieces = Mixture(plain, block_words=4, shard_slots=32).pieces().collect()
+    assert len({(p["nth"], p["slot"]) for p in pieces}) == len({(p["nth"], p["slot"], p["shard"]) for p in pieces})
+
+
 def test_rows_of_every_kind(spark):
     found = Mixture(documents(spark)).taken().collect()
     assert len(found) == len(DOCUMENTS)
