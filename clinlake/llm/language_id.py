@@ -169,9 +169,15 @@ def train(
 ) -> ContextTrees:
     """Trees from whole texts of a bounded sample: at most ``docs_per_language`` texts of each language."""
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable("doc_id", folds, held))
-    ranked = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
+    # Ids below a hash that twice the sample's size is expected below; so no task sorts all ids of a language.
+    place = F.xxhash64(F.col("doc_id").cast("string"))
+    part = (place / 2.0**64) + 0.5
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).select("lang", (2.0 * docs_per_language / F.col("n")).alias("share"))
+    ranked = Window.partitionBy("lang").orderBy(place, "doc_id")
     sample = (
         known.select("doc_id", "lang")
+        .join(F.broadcast(sizes), "lang")
+        .where(part <= F.col("share"))
         .withColumn("nth", F.row_number().over(ranked))
         .where(F.col("nth") <= docs_per_language)
         .select("doc_id", "lang")
