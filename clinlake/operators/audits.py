@@ -18,6 +18,25 @@ LOG = "DELTA_TRANSACTION_LOG"
 PART_11 = "CFR_PART_11"
 SCHEMA = "SCHEMA_INTEGRITY"
 
+# What it means that a check passed, and that it failed.
+WORDING = {
+    "MLF_001": ("The ledger holds the run with its parameters and metrics.", ""),
+    "MLF_ERR": ("", "The ledger holds no run of this id."),
+    "CFR_11_10_E_DATA": ("The data that went in can be told by their digest.", "Nothing proves which data went in."),
+    "CFR_11_10_E_RULES": ("The contract that was applied can be told by its digest.", "Nothing proves which contract was applied."),
+    "CFR_11_10_A_VALIDATION": ("Every rule of the contract held.", "The gate is unproven or rules of the contract were broken."),
+    "CFR_11_10_K_CONFIG": ("The run says what it was held against and where it ran.", "The run leaves open what it was held against or where it ran."),
+    "CFR_11_10_MLF_SKIPPED": ("The audit covers no run.", ""),
+    "DLT_001": ("", "The table has no commit log."),
+    "DLT_002": ("", "The table's commit log holds no commit."),
+    "DLT_SEQ_001": ("No commit is missing between the first and the last.", "Commits are missing or listed twice."),
+    "DLT_TIME_002": ("Every commit is as late as the one before it, or later.", "Commits are dated before their predecessors."),
+    "DLT_ERR": ("", "The commit log cannot be trusted, as lines of it cannot be read."),
+    "CFR_11_10_E_DELTA": ("All commits say what they did.", "Commits do not say what they did."),
+    "SCH_001": ("No mandatory column is missing.", "Mandatory columns are missing."),
+    "SCH_002": ("The table's own columns are unknown.", ""),
+}
+
 
 def run_lookup_checks() -> list[Check]:
     """Was the requested run found in the ledger?"""
@@ -30,10 +49,12 @@ def run_lookup_checks() -> list[Check]:
                 "status": F.col("status"),
                 "artifact_count": F.greatest(F.size("artifacts"), F.lit(0)),
             },
+            wording=WORDING["MLF_001"],
         ),
         Check(
             "MLF_ERR", RUN, "Run missing from the ledger", F.lit(False), "CRITICAL_FATAL",
             applies=F.col("run_evidence") == "ERROR", details={"run_id": F.col("run_id")},
+            wording=WORDING["MLF_ERR"],
         ),
     ]
 
@@ -57,11 +78,13 @@ def part_11_checks() -> list[Check]:
             "CFR_11_10_E_DATA", PART_11, "Source data carry a SHA-256 digest",
             is_sha256(data_hash) | in_memory, "CRITICAL_FATAL", applies=found,
             details={"data_sha256": data_hash, "in_memory": in_memory},
+            wording=WORDING["CFR_11_10_E_DATA"],
         ),
         Check(
             "CFR_11_10_E_RULES", PART_11, "Contract rules carry a SHA-256 digest",
             is_sha256(rules_hash), "CRITICAL_FATAL", applies=found,
             details={"rules_sha256": rules_hash},
+            wording=WORDING["CFR_11_10_E_RULES"],
         ),
         Check(
             "CFR_11_10_A_VALIDATION", PART_11, "Contract gate passed without a failed rule",
@@ -71,14 +94,17 @@ def part_11_checks() -> list[Check]:
                 "gxp_gate_passed": metrics["gxp_gate_passed"],
                 "unsuccessful_expectations": unsuccessful,
             },
+            wording=WORDING["CFR_11_10_A_VALIDATION"],
         ),
         Check(
             "CFR_11_10_K_CONFIG", PART_11, "Standard, target schema and environment declared",
             configured, "WARNING", applies=found, details=settings,
+            wording=WORDING["CFR_11_10_K_CONFIG"],
         ),
         Check(
             "CFR_11_10_MLF_SKIPPED", PART_11, "No run was named for this audit", F.lit(True),
             "INFO", applies=F.col("run_evidence") == "SKIPPED",
+            wording=WORDING["CFR_11_10_MLF_SKIPPED"],
         ),
     ]
 
@@ -91,10 +117,12 @@ def commit_log_checks() -> list[Check]:
         Check(
             "DLT_001", LOG, "Commit log is missing", F.lit(False), "CRITICAL_FATAL",
             applies=state == "MISSING_LOG", details={"table_id": F.col("table_id")},
+            wording=WORDING["DLT_001"],
         ),
         Check(
             "DLT_002", LOG, "Commit log is empty", F.lit(False), "CRITICAL_FATAL",
             applies=state == "EMPTY_LOG", details={"table_id": F.col("table_id")},
+            wording=WORDING["DLT_002"],
         ),
         Check(
             "DLT_SEQ_001", LOG, "Commit versions are consecutive", F.col("is_continuous"),
@@ -104,15 +132,18 @@ def commit_log_checks() -> list[Check]:
                 "last_version": F.col("last_version"),
                 "total_commits": F.col("total_commits"),
             },
+            wording=WORDING["DLT_SEQ_001"],
         ),
         Check(
             "DLT_TIME_002", LOG, "Commit times never go backwards", F.col("is_monotonic"),
             "ERROR", "INFO", applies=collected,
             details={"time_setbacks": F.col("time_setbacks")},
+            wording=WORDING["DLT_TIME_002"],
         ),
         Check(
             "DLT_ERR", LOG, "Commit log has unreadable lines", F.lit(False), "ERROR",
             applies=state == "ERROR", details={"unreadable_lines": F.col("unreadable_lines")},
+            wording=WORDING["DLT_ERR"],
         ),
         Check(
             "CFR_11_10_E_DELTA", PART_11, "Every commit names its operation",
@@ -121,6 +152,7 @@ def commit_log_checks() -> list[Check]:
                 "total_commits": F.col("total_commits"),
                 "commits_without_operation": F.col("commits_without_operation"),
             },
+            wording=WORDING["CFR_11_10_E_DELTA"],
         ),
     ]
 
@@ -157,10 +189,12 @@ def schema_checks(
             "SCH_001", SCHEMA, "Table holds its mandatory columns", F.size(missing) == 0,
             "CRITICAL_FATAL", "INFO", applies=readable,
             details={"missing_columns": F.array_join(missing, ",")},
+            wording=WORDING["SCH_001"],
         ),
         Check(
             "SCH_002", SCHEMA, "Only the expected columns are known", F.lit(True), "INFO",
             applies=~readable, details={"expected_columns": F.array_join(wanted, ",")},
+            wording=WORDING["SCH_002"],
         ),
     ]
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinlake import fixed_values as fixed
+from clinlake.sources.commitlog import schema_fields
 
 COMPLIANT = "COMPLIANT"
 FLAGGED = "FLAGGED_FOR_REVIEW"
@@ -30,7 +31,10 @@ def always() -> Column:
 
 @dataclass(frozen=True)
 class Check:
-    """One check. ``failed_severity`` holds when it fails, ``passed_severity`` otherwise."""
+    """One check. ``failed_severity`` holds when it fails, ``passed_severity`` otherwise.
+
+    ``wording`` says in a sentence what it means that the check passed, and that it failed.
+    """
 
     code: str
     category: str
@@ -40,6 +44,7 @@ class Check:
     passed_severity: str | None = None
     applies: Column = field(default_factory=always)
     details: Mapping[str, Column] = field(default_factory=dict)
+    wording: tuple[str, str] = ("", "")
 
     # Columns are built once per check, however many results they go into.
 
@@ -61,21 +66,27 @@ class Check:
             return F.lit(self.failed_severity)
         return F.when(self.ok, self.passed_severity).otherwise(self.failed_severity)
 
+    @cached_property
+    def description(self) -> Column:
+        passed, failed = self.wording
+        return F.when(self.ok, passed).otherwise(failed)
+
     def finding(self) -> Column:
-        """The finding as a struct; NULL where the check does not apply."""
+        """The finding as a struct, its fields and details in alphabetical order; NULL where the check does not apply."""
         entries = [
             x
-            for name, value in self.details.items()
+            for name, value in sorted(self.details.items())
             for x in (F.lit(name), F.coalesce(value.cast("string"), F.lit("")))
         ]
         details = F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
         body = F.struct(
-            F.lit(self.code).alias("code"),
             F.lit(self.category).alias("category"),
+            F.lit(self.code).alias("code"),
+            self.description.alias("description"),
+            details.alias("details"),
+            self.ok.alias("passed"),
             self.severity.alias("severity"),
             F.lit(self.title).alias("title"),
-            self.ok.alias("passed"),
-            details.alias("details"),
         )
         return F.when(self.relevant, body)
 
@@ -173,14 +184,33 @@ def _summary() -> Column:
     )
 
 
-def _report_text(identifiers: Sequence[str], signoff: Column | None) -> Column:
-    """Report as JSON with its keys in alphabetical order; the receipt is not part of it."""
+def _evidence_summary(columns: Sequence[str]) -> Column:
+    """What was found out about the run, the commit log and the schema."""
+
+    def state(column: str) -> Column:
+        return F.coalesce(F.col(column), F.lit("SKIPPED")) if column in columns else F.lit("SKIPPED")
+
+    known = schema_fields(F.col("schema_string")).isNotNull() if "schema_string" in columns else F.lit(False)
+    return F.struct(
+        state("log_evidence").alias("log"), state("run_evidence").alias("run"),
+        F.when(known, "COLLECTED").otherwise("SKIPPED").alias("schema"),
+    )
+
+
+def _report_text(columns: Sequence[str], identifiers: Sequence[str], signoff: Column | None) -> Column:
+    """Report in canonical JSON: keys in alphabetical order at every depth, no blanks, the score with two decimals.
+
+    So any engine can write the same bytes and recompute the receipt, which is not part of them.
+    """
     fields = {
         "audit_timestamp": F.col("audit_timestamp"),
-        "compliance_score": F.col("compliance_score"),
+        "compliance_score": F.col("compliance_score").cast("decimal(5,2)"),
         "compliance_status": F.col("compliance_status"),
+        "evidence_summary": _evidence_summary(columns),
         "findings": F.col("findings"),
+        "regulatory_standard": F.lit(fixed.REGULATORY_STANDARD),
         "summary": _summary(),
+        "target_framework": F.lit(fixed.TARGET_FRAMEWORK),
         "target_identifiers": F.struct(*sorted(identifiers)),
     }
     if signoff is not None:
@@ -193,7 +223,7 @@ def report(
 ) -> DataFrame:
     """Assessed rows with the report document and its SHA-256 receipt."""
     stamped = assessed.withColumn("audit_timestamp", F.lit(audit_timestamp))
-    worded = stamped.withColumn("report_json", _report_text(identifiers, None))
+    worded = stamped.withColumn("report_json", _report_text(stamped.columns, identifiers, None))
     return worded.withColumn("receipt_sha256", F.sha2("report_json", 256))
 
 
@@ -224,9 +254,9 @@ def sign_off(
     def field_or(name: str, fallback: str) -> Column:
         return F.coalesce(F.col(f"given.{name}"), F.lit(fallback))
 
-    operator = field_or("operator_id", "UNKNOWN_OPERATOR")
-    decision = field_or("decision", "REJECTED")
-    reason = field_or("justification", "No justification provided")
+    operator = field_or("operator_id", fixed.UNKNOWN_OPERATOR)
+    decision = field_or("decision", fixed.UNSTATED_DECISION)
+    reason = field_or("justification", fixed.UNSTATED_REASON)
     moment = field_or("timestamp", now)
     signature = F.coalesce(
         F.col("given.signature_checksum"),
@@ -248,7 +278,7 @@ def sign_off(
     has_signoff = F.col("qa_signoff").isNotNull()
     reworded = resolved.withColumn(
         "report_json",
-        F.when(has_signoff, _report_text(identifiers, F.col("qa_signoff"))).otherwise(
+        F.when(has_signoff, _report_text(resolved.columns, identifiers, F.col("qa_signoff"))).otherwise(
             F.col("report_json")
         ),
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -140,15 +142,38 @@ def _raise(parts: DataFrame, group: Column) -> DataFrame:
     return moved.withColumn("grp", group.cast("bigint"))
 
 
-def commit_tail(commits: DataFrame, limit: int = 10, keys: Sequence[str] = KEYS) -> DataFrame:
-    """The newest ``limit`` commits of every table.
+#: Versions that are counted together, and then ranked together, where many commits of a table are asked for.
+SEGMENT_BITS = 12
+#: Up to here Spark keeps only the newest rows per table in every task, before the shuffle.
+FEW = 1000
 
-    Each task keeps at most ``limit`` commits per table before the shuffle (as long as
-    ``limit`` is below ``spark.sql.window.group.limit.threshold``, 1000 by default).
+
+def commit_tail(
+    commits: DataFrame, limit: int = 10, keys: Sequence[str] = KEYS, few: int = FEW, segment_bits: int = SEGMENT_BITS
+) -> DataFrame:
+    """The newest ``limit`` commits of every table, with their ``position``.
+
+    For fewer than ``few`` each task keeps at most ``limit`` commits per table before the
+    shuffle. For more, commits are counted by segments of versions first: the counts tell
+    in which segment the last one wanted lies and at which position a segment begins, so
+    only wanted segments are ranked, each by itself, and no task sees a whole log.
     """
-    newest = W.partitionBy(*keys).orderBy(F.desc("version"), F.desc("file_name"))
-    ranked = commits.withColumn("position", F.row_number().over(newest))
-    return ranked.where(F.col("position") <= limit)
+    newest_first = [F.desc("version"), F.desc("file_name")]
+    if limit < few:
+        ranked = commits.withColumn("position", F.row_number().over(W.partitionBy(*keys).orderBy(*newest_first)))
+        return ranked.where(F.col("position") <= limit)
+    segment = F.shiftright("version", segment_bits)
+    counts = commits.groupBy(*keys, segment.alias("_segment")).agg(F.count(F.lit(1)).alias("_n"))
+    newer = W.partitionBy(*keys).orderBy(F.desc("_segment")).rowsBetween(W.unboundedPreceding, -1)
+    begin = counts.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_segment").alias("_s"),
+        F.coalesce(F.sum("_n").over(newer), F.lit(0)).alias("_before"),
+    ).where(F.col("_before") < limit)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    wanted = commits.withColumn("_segment", segment).join(begin, same & (F.col("_segment") == F.col("_s")))
+    inside = W.partitionBy(*keys, "_segment").orderBy(*newest_first)
+    ranked = wanted.withColumn("position", (F.row_number().over(inside) + F.col("_before")).cast("int"))
+    return ranked.where(F.col("position") <= limit).select(*commits.columns, "position")
 
 
 def tail_summary(commits: DataFrame, limit: int = 10, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -17,9 +17,10 @@ from clinlake.operators.ledger import LEDGER_LAYOUT, read_ledger, run_evidence
 from clinlake.sinks.tables import write_reports
 from clinlake.sources.commitlog import LOG_FOLDER, scan_commit_log
 from clinlake.sources.contracts import load_contract
+from clinlake.sources.listing import present
 from clinlake.workspace import canonical, path_exists
 
-IDENTIFIERS = ("audit_id", "run_id", "table_id")
+IDENTIFIERS = ("audit_id", "rules_path", "run_id", "table_id")
 SIGNOFF_LAYOUT = (
     "audit_id string, operator_id string, decision string, justification string, "
     "timestamp string, signature_checksum string"
@@ -34,11 +35,13 @@ def audit(
     expected: Mapping[str, Sequence[str]] | None = None,
     identifiers: Sequence[str] = IDENTIFIERS,
 ) -> DataFrame:
-    """Report of every target ``(audit_id, run_id, table_id)``; either id may be NULL.
+    """Report of every target ``(audit_id, run_id, table_id[, rules_path])``; either id may be NULL.
 
     Runs are looked up in the ledger and tables in the roll-up of their log actions;
     checks, score, status, report document and receipt then come from one projection.
     """
+    if "rules_path" not in targets.columns:
+        targets = targets.withColumn("rules_path", F.lit(None).cast("string"))
     runs = run_evidence(targets, ledger)
     tables = table_rollup(commit_rollup(actions))
     evidence = audit_evidence(targets, runs, tables)
@@ -61,15 +64,17 @@ def audit_paths(
     """Audit named ``(run_id, table_path)`` pairs against a ledger and the tables' logs."""
     moment = now or datetime.now(UTC).isoformat()
     ids = {p: canonical(spark, p) for _, p in targets if p is not None}
+    logs = {p: f"{p.rstrip('/')}/{LOG_FOLDER}" for p in ids}
+    there = present(spark, list(logs.values()))
     rows = [
         (
             f"{run or ''}|{ids.get(path, '')}", run, ids.get(path),
-            None if path is None else path_exists(spark, f"{path.rstrip('/')}/{LOG_FOLDER}"),
+            None if path is None else logs[path] in there, rules_path,
         )
         for run, path in targets
     ]
     wanted = spark.createDataFrame(
-        rows, "audit_id string, run_id string, table_id string, log_exists boolean"
+        rows, "audit_id string, run_id string, table_id string, log_exists boolean, rules_path string"
     )
     ledger = (
         read_ledger(spark, ledger_path)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinlake.workspace import path_exists
+from clinlake.sources.listing import present
 
 LOG_FOLDER = "_delta_log"
 # The parts of the log actions that audits look at.
@@ -36,10 +36,10 @@ def scan_log_lines(spark: SparkSession, table_paths: Sequence[str]) -> DataFrame
     form that ``workspace.canonical`` gives.
     """
     folders = [f"{p.rstrip('/')}/{LOG_FOLDER}" for p in table_paths]
-    present = [f"{f}/*.json" for f in folders if path_exists(spark, f"{f}/*.json")]
-    if not present:
+    there = present(spark, folders, "*.json")
+    if not there:
         return spark.createDataFrame([], "table_id string, file_name string, value string")
-    lines = spark.read.text(present)
+    lines = spark.read.text([f"{f}/*.json" for f in folders if f in there])
     folder = F.regexp_replace("_metadata.file_path", rf"/{LOG_FOLDER}/[^/]+$", "")
     return lines.select(
         F.regexp_replace(folder, "^file:/+", "/").alias("table_id"),

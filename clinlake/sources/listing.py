@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinlake.workspace import canonical, glob_paths
+from clinlake.workspace import glob_paths, qualified
 
 # Tasks get these functions by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -55,8 +55,8 @@ def roots(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
         if _GLOB.search(one):
             found += glob_paths(spark, one)
         else:
-            found.append(canonical(spark, one))
-    return [re.sub("^file:/+", "file:/", "file:" + p if p.startswith("/") else p) for p in found]
+            found.append(qualified(spark, one))
+    return [re.sub("^file:/+", "file:/", p) for p in found]
 
 
 def plain_path(file_path: Column | str = "_metadata.file_path") -> Column:
@@ -121,6 +121,40 @@ def list_files(spark: SparkSession, path: str | Sequence[str], name_filter: str
     return listed
 
 
+def present(spark: SparkSession, folders: Sequence[str], name_filter: str | None = None) -> set[str]:
+    """Those of the given folders that exist or, with a filter, hold a file of such a name.
+
+    They are looked up in tasks, all at once; only where Arrow does not know a scheme, one after the other.
+    """
+    wanted = {full: given for given in folders for full in [roots(spark, given)[0] if not _GLOB.search(given) else given]}
+    plain = {full: given for full, given in wanted.items() if not _GLOB.search(full) and knows(full)}
+    found = {
+        given for full, given in wanted.items()
+        if full not in plain and glob_paths(spark, f"{full.rstrip('/')}/{name_filter}" if name_filter else full)
+    }
+    if not plain:
+        return found
+    pattern = None if name_filter is None else re.compile(fnmatch.translate(name_filter))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for path in batch.column("path").to_pylist():
+                system, own = opened(path)
+                if system.get_file_info(own).type == fs.FileType.NotFound:
+                    continue
+                if pattern is None or any(
+                    pattern.match(info.base_name) for info in system.get_file_info(fs.FileSelector(own))
+                ):
+                    kept.append(path)
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string())], names=["path"])
+
+    asked = dealt(spark.createDataFrame([(p,) for p in plain], "path string"), "path") if len(plain) > 1 else (
+        spark.createDataFrame([(p,) for p in plain], "path string").coalesce(1)
+    )
+    return found | {plain[r["path"]] for r in asked.mapInArrow(run, "path string").collect()}
+
+
 def _lines(path: str) -> Iterator[str]:
     """Lines of a text file, read only as far as they are asked for; unpacked by the file's extension or first bytes."""
     system, own = opened(path)

@@ -58,6 +58,12 @@ def canonical(spark: SparkSession, path: str) -> str:
     return plain_local(fs.makeQualified(hadoop_path).toUri().toString())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full path as it is written, without escapes."""
+    hadoop_path, fs = _hadoop_path(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
+
+
 def plain_local(uri: str) -> str:
     return re.sub("^file:/+", "/", uri)
 

@@ -370,3 +370,36 @@ def test_audits_spread_hot_and_missing_ids(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_long_tails_are_found_by_counting(spark):
+    import random
+
+    draw = random.Random(4)
+    data = [(t, v, f"{v:020d}.json", n) for t, top in (("a", 3000), ("b", 40), (None, 300)) for n, v in enumerate(
+        sorted(draw.choice(range(top * 2)) for _ in range(top)))]
+    df = spark.createDataFrame(data, "table_id string, version bigint, file_name string, n int")
+    for limit in (1, 39, 40, 500, 2999, 5000):
+        few = commits.commit_tail(df.withColumn("file_name", F.concat("file_name", "n")), limit, few=10**9)
+        many = commits.commit_tail(df.withColumn("file_name", F.concat("file_name", "n")), limit, few=0, segment_bits=6)
+        assert rows(few) == rows(many)
+    plan = commits.commit_tail(df, 5000)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_reports_are_canonical_json(spark):
+    state = F.lit("COLLECTED")
+    facts = spark.range(1).select(
+        F.lit("r").alias("run_id"), state.alias("run_evidence"), F.lit("ok").alias("status"), F.array(F.lit("x")).alias("artifacts"),
+        F.create_map(F.lit("data_sha256"), F.lit("a" * 64)).alias("params"),
+        F.create_map(F.lit("gxp_gate_passed"), F.lit(1.0)).alias("metrics"), F.lit("rules.json").alias("rules_path"),
+    )
+    found = checks.report(checks.assess(facts, audits.part_11_checks()), ["run_id", "rules_path"], "now").first()
+    document = json.loads(found["report_json"])
+    assert document["evidence_summary"] == {"log": "SKIPPED", "run": "COLLECTED", "schema": "SKIPPED"}
+    assert document["target_identifiers"] == {"rules_path": "rules.json", "run_id": "r"}
+    assert document["regulatory_standard"] and document["target_framework"] and all(f["description"] for f in document["findings"])
+    text = json.dumps(document, sort_keys=True, separators=(",", ":"))
+    score = f'"compliance_score":{found["compliance_score"]:.2f}'
+    assert found["report_json"] == text.replace(f'"compliance_score":{document["compliance_score"]}', score)
+    assert found["receipt_sha256"] == hashlib.sha256(found["report_json"].encode()).hexdigest()

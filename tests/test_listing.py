@@ -96,6 +96,7 @@ def test_listing_goes_into_folders_and_passes_over_hidden_names(spark, tmp_path)
     assert {r["path"] for r in one.collect()} == {f"{root}/a.txt", f"{root}/sub/b.txt"}
     paths = spark.read.text(str(tmp_path / "sp ace+%25")).select(listing.plain_path().alias("p")).distinct().collect()
     assert [r["p"] for r in paths] == [f"{root}/sp ace+%25/e.txt"]
+    assert listing.list_files(spark, str(tmp_path / "sp ace+%25")).count() == 1
     with pytest.raises(Exception, match="no-such"):
         listing.list_files(spark, str(tmp_path / "no-such")).collect()
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clinlake import fixed_values as fixed
 from clinlake.operators import audits, checks, commits, ledger, sequence
 from clinlake.plans import audit_job
 from clinlake.sinks.tables import write_reports
@@ -156,6 +157,25 @@ def commit_log_tail(spark, sf_dir):
     )
 
 
+BUSY = "SELECT user_id % 3 AS table_id, event_id AS version, ts AS commit_ts, event_type AS operation FROM events"
+
+
+@query(
+    "commit_log_long_tail",
+    "SELECT table_id, version, operation, position FROM (SELECT *, row_number() OVER (PARTITION BY table_id ORDER BY version DESC) "
+    f"AS position FROM (SELECT CASE WHEN table_id = 0 THEN 'quiet' ELSE 'busy' END AS table_id, version, operation FROM ({BUSY}))) "
+    "WHERE position <= 5000",
+)
+def commit_log_long_tail(spark, sf_dir):
+    """The newest 5000 commits of two tables, one of which has two thirds of all commits."""
+    rows = table(spark, sf_dir, "events").select(
+        F.when(F.col("user_id") % 3 == 0, "quiet").otherwise("busy").alias("table_id"),
+        F.col("event_id").cast("bigint").alias("version"), F.lpad("event_id", 20, "0").alias("file_name"),
+        F.col("event_type").alias("operation"),
+    )
+    return commits.commit_tail(rows, 5000).select("table_id", "version", "operation", "position")
+
+
 @query(
     "commit_tail_summary",
     "SELECT table_id, max(total) AS total_commits, count(*) AS inspected_commits, "
@@ -448,45 +468,52 @@ def compliance_status(spark, sf_dir):
 
 
 def _finding_sql(code: str, severity: str, title: str, passed: str, details: str) -> str:
+    good, bad = audits.WORDING[code]
     return (
-        f"""'{{"code":"{code}","category":"CFR_PART_11","severity":"{severity}","title":"{title}","passed":' """
-        f"""|| CASE WHEN {passed} THEN 'true' ELSE 'false' END || ',"details":{{' || {details} || '}}}}'"""
+        f"""'{{"category":"CFR_PART_11","code":"{code}","description":"' || CASE WHEN {passed} THEN '{good}' ELSE '{bad}' END """
+        f"""|| '","details":{{' || {details} || '}},"passed":' || CASE WHEN {passed} THEN 'true' ELSE 'false' END """
+        f"""|| ',"severity":"{severity}","title":"{title}"}}'"""
     )
 
 
-REPORT_SQL = (
-    f"""'{{"audit_timestamp":"{NOW}","compliance_score":' || compliance_score || ',"compliance_status":"' """
-    """|| compliance_status || '","findings":[' || """
-    + " || ',' || ".join(
-        [
-            _finding_sql(
-                "CFR_11_10_A_VALIDATION", "CRITICAL_FATAL", "Contract gate passed without a failed rule", "gate_ok",
-                """'"gxp_gate_passed":"' || CASE WHEN gate_ok THEN '1.0' ELSE '0.0' END || """
-                """'","unsuccessful_expectations":"0.0"'""",
-            ),
-            _finding_sql(
-                "CFR_11_10_E_DATA", "CRITICAL_FATAL", "Source data carry a SHA-256 digest", "data_ok",
-                """'"data_sha256":"' || coalesce(data_sha256, '') || '","in_memory":"' || """
-                """CASE WHEN data_sha256 = 'in_memory_dataframe' THEN 'true' ELSE 'false' END || '"'""",
-            ),
-            _finding_sql(
-                "CFR_11_10_E_RULES", "CRITICAL_FATAL", "Contract rules carry a SHA-256 digest", "rules_ok",
-                """'"rules_sha256":"' || rules_sha256 || '"'""",
-            ),
-            _finding_sql(
-                "CFR_11_10_K_CONFIG", "WARNING", "Standard, target schema and environment declared", "config_ok",
-                """'"compliance_standard":"FDA_21_CFR_Part_11","target_schema":"' || """
-                """CASE WHEN config_ok THEN 'OMOP_CDM_v5.4' ELSE '' END || '","execution_environment":"' || """
-                """execution_environment || '"'""",
-            ),
-        ]
+def report_sql() -> str:
+    """The whole report document, written out in SQL."""
+    listed = [
+        _finding_sql(
+            "CFR_11_10_A_VALIDATION", "CRITICAL_FATAL", "Contract gate passed without a failed rule", "gate_ok",
+            """'"gxp_gate_passed":"' || CASE WHEN gate_ok THEN '1.0' ELSE '0.0' END || """
+            """'","unsuccessful_expectations":"0.0"'""",
+        ),
+        _finding_sql(
+            "CFR_11_10_E_DATA", "CRITICAL_FATAL", "Source data carry a SHA-256 digest", "data_ok",
+            """'"data_sha256":"' || coalesce(data_sha256, '') || '","in_memory":"' || """
+            """CASE WHEN data_sha256 = 'in_memory_dataframe' THEN 'true' ELSE 'false' END || '"'""",
+        ),
+        _finding_sql(
+            "CFR_11_10_E_RULES", "CRITICAL_FATAL", "Contract rules carry a SHA-256 digest", "rules_ok",
+            """'"rules_sha256":"' || rules_sha256 || '"'""",
+        ),
+        _finding_sql(
+            "CFR_11_10_K_CONFIG", "WARNING", "Standard, target schema and environment declared", "config_ok",
+            """'"compliance_standard":"FDA_21_CFR_Part_11","execution_environment":"' || execution_environment """
+            """|| '","target_schema":"' || CASE WHEN config_ok THEN 'OMOP_CDM_v5.4' ELSE '' END || '"'""",
+        ),
+    ]
+    return (
+        f"""'{{"audit_timestamp":"{NOW}","compliance_score":' || printf('%.2f', compliance_score) || ',"compliance_status":"' """
+        """|| compliance_status || '","evidence_summary":{"log":"SKIPPED","run":"COLLECTED","schema":"SKIPPED"},"findings":[' || """
+        + " || ',' || ".join(listed)
+        + f""" || '],"regulatory_standard":"{fixed.REGULATORY_STANDARD}","summary":{{"critical_failures":' || critical_failures """
+        """|| ',"error_failures":' || error_failures || ',"passed_evaluations":' || passed_evaluations """
+        """|| ',"total_evaluations":' || total_evaluations || ',"warning_failures":' || warning_failures """
+        f"""|| '}},"target_framework":"{fixed.TARGET_FRAMEWORK}","target_identifiers":{{"rules_path":"{RULES_PATH}","run_id":"' """
+        """|| f.run_id || '"}}'"""
     )
-    + """ || '],"summary":{"critical_failures":' || critical_failures || ',"error_failures":' || error_failures """
-    """|| ',"passed_evaluations":' || passed_evaluations || ',"total_evaluations":' || total_evaluations """
-    """|| ',"warning_failures":' || warning_failures || '},"target_identifiers":{"run_id":"' || f.run_id || '"}}'"""
-)
+
+
+RULES_PATH = "rules/person.json"
 REPORT_ROWS = (
-    f"(SELECT f.run_id, compliance_score, compliance_status, {REPORT_SQL} AS report_json FROM "
+    f"(SELECT f.run_id, compliance_score, compliance_status, {report_sql()} AS report_json FROM "
     f"(SELECT run_id, data_sha256, rules_sha256, execution_environment, {DATA_OK} AS data_ok, "
     f"{RULES_OK} AS rules_ok, {GATE_OK} AS gate_ok, {CONFIG_OK} AS config_ok FROM run_ledger) f "
     f"JOIN ({RUN_SCORED}) s ON f.run_id = s.subject)"
@@ -495,7 +522,7 @@ REPORT_ROWS = (
 
 def run_reports(spark, sf_dir):
     assessed = checks.assess(run_facts(spark, sf_dir), audits.part_11_checks())
-    return checks.report(assessed, ["run_id"], NOW)
+    return checks.report(assessed.withColumn("rules_path", F.lit(RULES_PATH)), ["run_id", "rules_path"], NOW)
 
 
 @query(
