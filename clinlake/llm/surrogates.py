@@ -13,14 +13,19 @@ compared with each other and with the real entities; whoever collides is drawn a
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinlake.functions.lookup import size_at_most
 from clinlake.llm.common import map_rows, saved
 
 KEY = "surrogates"
+#: Redrawn entities that are sent to every task have at most so many bytes.
+REDRAWN_BYTES = 8 * 1024 * 1024
 
 # Titles by gender, and syllables of made-up names by gender and script.
 TITLES = {
@@ -44,6 +49,10 @@ NO_NAMES = (
 ALPHABETS = {
     "latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрст", "аеиоу"), "greek": ("βγδκλμνπρστ", "αεηιο"),
 }
+# Ranges of code points whose letters stand for each other; others do so in rows of 128.
+LETTER_RANGES = (
+    (ord("a"), ord("z")), (0xDF, 0xFF), (0x100, 0x17F), (ord("ά"), ord("ώ")), (ord("а"), ord("я")), (ord("ѐ"), ord("џ")),
+)
 
 _email = re.compile(r"[^\W_][\w.+-]*@[^\W_][\w-]*(?:\.[^\W_][\w-]*)*\.[^\W\d_]{2,}")
 _secret = re.compile(
@@ -131,11 +140,23 @@ def keyed(found: list[tuple[int, int, str, str]]) -> list[tuple[str, str]]:
     return sorted(out)
 
 
+@lru_cache(maxsize=4096)
+def _letter_order(first: int, last: int, key: str) -> dict[str, str]:
+    """The small letters of a range of code points in a keyed circle: each stands for the one before it."""
+    letters = [c for c in map(chr, range(first, last + 1)) if c.isalpha() and c == c.casefold()]
+    letters.sort(key=lambda c: _hash(key, "initial", c))
+    return dict(zip(letters, letters[1:] + letters[:1], strict=True))
+
+
 def _initial(letter: str, key: str) -> str:
-    """The keyed letter that stands for a first letter: of initials, and of the words that start with it."""
+    """The keyed letter that stands for a first letter: of initials, and of the words that start with it.
+
+    Different letters have different ones, and none stands for itself.
+    """
     letter = letter.casefold()[0]
-    pool = [c for c in ALPHABETS[_script(letter)][0] if c != letter]
-    return pool[_hash(key, "initial", letter) % len(pool)]
+    at = ord(letter)
+    first, last = next(((lo, hi) for lo, hi in LETTER_RANGES if lo <= at <= hi), (at & ~0x7F, at | 0x7F))
+    return _letter_order(first, last, key).get(letter, letter)
 
 
 def _is_hex(s: str) -> bool:
@@ -174,7 +195,8 @@ def _digits(canonical: str, kind: str, key: str, attempt: int, keep: int = 0) ->
         return canonical
     value = int(tail)
     while True:
-        value = _permuted(value, 10 ** len(tail), key, kind, attempt, head, len(tail))
+        # What is kept has no say in it, so that a number agrees with itself with a country code.
+        value = _permuted(value, 10 ** len(tail), key, kind, attempt, len(tail))
         made = head + str(value).zfill(len(tail))
         # A number that passes the check digit test keeps passing it, and others keep failing.
         if kind != "account" or _luhn(made) == _luhn(canonical):
@@ -315,13 +337,23 @@ def _attempts(spark, mentions: DataFrame, key: str) -> DataFrame:
         drawn = saved(spark, map_rows(again, schema, drawing(attempt), text="canonical"), "drawn")
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.casefold() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     """Every row of a table with text: its columns, n_entities and kinds; entities replaced in the text.
 
     NULL and empty texts stay as they are with no entities, texts without
     entities stay byte for byte. Repeated rows are replaced alike. Columns of
-    the input called n_entities or kinds are dropped; all others are kept. An empty table
-    gives an empty one. ``key`` decides the surrogates.
+    the input called n_entities or kinds are dropped; all others are kept, whatever their
+    names. An empty table gives an empty one. ``key`` decides the surrogates.
+    Entities that are drawn otherwise than first go to all tasks while they are few (their
+    bytes are added up), and else by a join to the documents that have them.
     """
     spark = docs.sparkSession
 
@@ -341,30 +373,30 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
         "mentions",
     )
     redrawn = saved(spark, _attempts(spark, mentions, key), "redrawn")
-    source = docs
-    if not redrawn.isEmpty():
+    source, own_again, everywhere = docs, None, {}
+    if size_at_most(redrawn, REDRAWN_BYTES):
+        everywhere = {(r["kind"], r["canonical"]): (r["drawn_as"], r["attempt"]) for r in redrawn.collect()}
+    else:
+        own_again, other_id = (_free(docs, name) for name in ("redrawn", "other_id"))
         per_doc = (
             mentions.join(redrawn, ["kind", "canonical"])
-            .groupBy(F.col("doc_id").alias("other_id"))
-            .agg(F.to_json(F.collect_set(F.struct("kind", "canonical", "drawn_as", "attempt"))).alias("redrawn"))
+            .groupBy(F.col("doc_id").alias(other_id))
+            .agg(F.to_json(F.collect_set(F.struct("kind", "canonical", "drawn_as", "attempt"))).alias(own_again))
         )
-        source = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("other_id")), "left").drop("other_id")
-        has = True
-    else:
-        has = False
+        source = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col(other_id)), "left").drop(other_id)
     columns = [f"`{c}`" for c in docs.columns]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
 
     def start():
-        import json
-
         def work(rows):
             out = []
             for r in rows:
                 text, used = r["text"], []
                 if text:
-                    again = json.loads(r["redrawn"] or "[]") if has else []
-                    again = {(e["kind"], e["canonical"]): (e["drawn_as"], e["attempt"]) for e in again}
+                    again = everywhere
+                    if own_again is not None:
+                        listed = json.loads(r[own_again] or "[]")
+                        again = {(e["kind"], e["canonical"]): (e["drawn_as"], e["attempt"]) for e in listed}
                     found = entities(text)
                     kind_of = {c: kind for kind, c in keyed(found) if kind.startswith("name")}
 

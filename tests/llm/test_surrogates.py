@@ -69,6 +69,31 @@ def test_numbers_are_permuted():
     assert surrogates._luhn(surrogate("account", "4111111111111111")) and in_format("phone", "12-3", "456") == "45-6"
 
 
+def test_initials_keep_people_apart(spark):
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for alphabet in (letters, "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЭЮЯ", "ÀÈÉÎÑÖÜØ", "ŠŽŁ", "ΑΒΓΔΩ"):
+        made = {c: surrogates._initial(c, "k") for c in alphabet}
+        assert len(set(made.values())) == len(alphabet) and all(c.casefold() != m for c, m in made.items())
+    texts = [f"Mr. {c}. Smith came." for c in letters] + [f"Dr. {c}{c.lower()}nes came." for c in letters]
+    made = [r["text"] for r in replace_entities(with_texts(spark, texts)).collect()]
+    assert len(set(made)) == len(texts)
+
+
+def test_numbers_agree_with_and_without_country_code(spark):
+    text = "call +1 415-555-2671 or 415-555-2671 or (415) 555-2671, not +1 415-555-2672"
+    made = replace_entities(with_texts(spark, [text])).first()["text"]
+    first, second, third, fourth = re.fullmatch(r"call \+\d ([\d-]+) or ([\d-]+) or ([()\d -]+), not \+\d ([\d-]+)", made).groups()
+    assert first == second == re.sub(r"\((\d+)\) ", r"\1-", third) != fourth and first != "415-555-2671"
+
+
+def test_redrawn_entities_by_join_and_columns_of_any_name(spark, monkeypatch):
+    texts = NAMES + ["Mr. Smith", "Mrs. Smith and Mr. Jones", None, ""]
+    docs = with_texts(spark, texts).selectExpr("IF(doc_id % 3 = 0, NULL, doc_id) AS doc_id", "text", "'x' AS redrawn", "1 AS other_id", "2 AS attempt")
+    few = sorted(map(str, replace_entities(docs).collect()))
+    monkeypatch.setattr(surrogates, "REDRAWN_BYTES", -1)
+    assert sorted(map(str, replace_entities(docs).collect())) == few and "redrawn='x', other_id=1, attempt=2" in few[0]
+
+
 def test_collisions_are_drawn_again(spark, monkeypatch):
     real = surrogates.surrogate
     # The first draw of all addresses is the same, the second hits a real one for a@.
