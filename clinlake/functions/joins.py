@@ -25,34 +25,45 @@ def row_hash(df: DataFrame) -> F.Column:
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)])
 
 
+# What the sketch of frequent keys holds per task, and how many keys it names at most.
+TRACKED_KEYS = 65_536
+NAMED_KEYS = 10_000
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, tracked: int = TRACKED_KEYS) -> list[tuple[int, int]]:
+    """(hash of the key, parts) of the keys with more than about ``hot_rows`` rows.
+
+    Every task keeps a sketch of a bounded number of counters; merged they name every key
+    that has more than a ``tracked``-th part of the rows or so, and too high a count rather
+    than too low a one. Keys are not shuffled. Only speed depends on the answer.
+    """
+    named = min(NAMED_KEYS, tracked)
+    sketch = F.expr(f"approx_top_k(xxhash64(`{key}`), {named}, {tracked})")
+    found = df.where(F.col(key).isNotNull()).agg(sketch.alias("top")).first()["top"] or []
+    return [(r["item"], -(-r["count"] // hot_rows)) for r in found if r["count"] > hot_rows]
+
+
 def left_join_split(
     df: DataFrame, single: DataFrame, key: str, hot_rows: int = HOT_ROWS, counted: DataFrame | None = None
 ) -> DataFrame:
     """``df`` left-joined on ``key`` with ``single``, which has one row per key.
 
-    Keys are counted first: the rows of a hot key are dealt over as many parts as
-    its count asks for, and only its row of ``single`` is copied as often. Rows
-    without a key are dealt over many parts. ``counted`` may name a cheaper table
-    with the same keys to count.
+    Hot keys come from a sketch: their rows are dealt over as many parts as their count
+    asks for, and only their rows of ``single`` are copied as often. Rows without a key are
+    dealt over many parts. ``counted`` may name a cheaper table with the same keys to count.
     """
-    source = df if counted is None else counted
     long = lambda n: F.lit(n).cast("bigint")
-    hot = (
-        source.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_hot"))
-        .agg(F.ceil(F.count(F.lit(1)) / hot_rows).alias("_parts"))
-        .where("_parts > 1")
-    )
-    place = row_hash(df)
-    if hot.isEmpty():
+    hot = hot_keys(df if counted is None else counted, key, hot_rows)
+    place, hashed = row_hash(df), F.xxhash64(F.col(key))
+    if not hot:
         # Always 0, but not a constant, which the optimizer would take out of the join's keys.
         width, sides, copies = long(1), df, single.withColumn("_part", F.pmod(F.xxhash64(key), long(1)))
     else:
-        # The counts travel as two frames, so that each side has columns of its own.
-        own = hot.select(F.col("_hot").alias("_wide"), F.col("_parts").alias("_width"))
-        sides = df.join(own, F.col(key) == F.col("_wide"), "left").drop("_wide")
+        # At most NAMED_KEYS rows; once for each side, so that each has columns of its own.
+        named = [df.sparkSession.createDataFrame(hot, f"{h} bigint, {n} bigint") for h, n in (("_wide", "_width"), ("_hot", "_parts"))]
+        sides = df.join(F.broadcast(named[0]), hashed == F.col("_wide"), "left").drop("_wide")
         width = F.coalesce("_width", long(1))
-        copies = single.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
+        copies = single.join(F.broadcast(named[1]), hashed == F.col("_hot"), "left").withColumn(
             "_part", F.explode(F.sequence(long(0), F.coalesce("_parts", long(1)) - 1))
         ).drop("_hot", "_parts")
     salted = sides.withColumn(

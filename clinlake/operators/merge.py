@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from clinlake.functions.joins import HOT_ROWS, left_join_split
 from clinlake.functions.lookup import BROADCAST_BYTES, size_at_most
 
 
@@ -81,22 +82,24 @@ def source_is_small(source: DataFrame, keys: Sequence[str], size: int = BROADCAS
     return size_at_most(source.select(*keys), size)
 
 
-def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def snapshot_diff(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Rows that differ between two snapshots, with ``change_type``.
 
     ``insert``, ``delete``, or ``update_preimage`` and ``update_postimage`` for a
     key that both have with other contents. Equal rows are counted off against each
     other before any key is looked at, so repeated rows and repeated keys are exact
-    and only changed rows take part in the second step.
+    and only changed rows take part in the second step. There a key's sides are added up
+    in every task first, and the rows of a key with very many changes are dealt over many
+    tasks when they learn them.
     """
     columns = old.columns
     both = old.withColumn("_n", F.lit(-1)).unionByName(new.withColumn("_n", F.lit(1)))
     changed = both.groupBy(*columns).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)
-    sides = changed.groupBy(*keys).agg(
-        F.min("_n").alias("_least"), F.max("_n").alias("_most")
-    )
-    same = _same_keys(keys, True, target="c", source="k")
-    marked = changed.alias("c").join(sides.alias("k"), same).select("c.*", "_least", "_most")
+    keyed = changed.withColumn("_key", F.struct(*[F.col(f"`{k}`") for k in keys]))  # never NULL, whatever the keys are
+    sides = keyed.groupBy("_key").agg(F.min("_n").alias("_least"), F.max("_n").alias("_most"))
+    marked = left_join_split(keyed, sides, "_key", hot_rows)
     removed = F.col("_n") < 0
     in_both = (F.col("_least") < 0) & (F.col("_most") > 0)
     kind = (

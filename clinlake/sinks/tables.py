@@ -19,8 +19,9 @@ from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clinlake.fixed_values import CLUSTER_KEYS
 from clinlake.functions.joins import row_hash
@@ -55,19 +56,64 @@ def partitions_for(size: int) -> int:
     return max(1, -(-size // PARTITION_BYTES))
 
 
+# Ranks that a clustering column's values are cut into, as a power of two.
+RANK_BITS = 6
+
+
+def _as_number(df: DataFrame, column: str) -> Column | None:
+    """A number in the order of a column's values; None for types without one."""
+    kind, value = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, T.NumericType):
+        return value.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("double")
+    if isinstance(kind, T.StringType):  # its first six bytes
+        return F.conv(F.hex(F.substring(F.rpad(value.cast("binary"), 6, b"\x00"), 1, 6)), 16, 10).cast("double")
+    return None
+
+
+def curve_place(df: DataFrame, columns: Sequence[str], bits: int = RANK_BITS) -> Column | None:
+    """Place of a row on a curve through the ranks of several columns, so that neighbours on it are near in every column.
+
+    A column's ranks are cut at approximate quantiles, found in one pass over the columns;
+    the digits of the ranks take turns in the place. NULL comes first.
+    """
+    numbers = [_as_number(df, c) for c in columns]
+    if len(columns) < 2 or any(n is None for n in numbers):
+        return None
+    named = df.select(*[n.alias(f"c{i}") for i, n in enumerate(numbers)])
+    steps = [i / 2**bits for i in range(1, 2**bits)]
+    cuts = named.approxQuantile(named.columns, steps, 0.25 / 2**bits)
+    place = F.lit(0).cast("bigint")
+    for i, (number, own) in enumerate(zip(numbers, cuts, strict=True)):
+        edges = sorted(set(own))
+        rank = F.size(F.filter(F.lit(edges or [0.0]), lambda edge: edge < number))  # noqa: B023
+        rank = F.when(number.isNull(), 0).otherwise(rank)
+        for bit in range(bits):
+            digit = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("bigint")
+            place = place + F.shiftleft(digit, bit * len(columns) + len(columns) - 1 - i)
+    return place
+
+
 def cluster_rows(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort by the clustering columns, so that files hold narrow ranges.
+    """Range-partition and sort by the clustering columns, so that files hold narrow ranges of each of them.
 
+    Several columns are put on one curve, so that a filter on any of them meets few files.
     A hash of the row is the last range key: a clustering key that fills a third of
     the table is cut into several ranges instead of ending in one task. Without a
     number of partitions the session's ``spark.sql.shuffle.partitions`` decides.
     """
-    keys = [F.col(c) for c in columns] + [row_hash(df)]
+    place = curve_place(df, columns)
+    placed = df if place is None else df.withColumn("_place", place)
+    keys = [F.col(c) for c in columns] if place is None else [F.col("_place"), *[F.col(c) for c in columns]]
+    keys.append(row_hash(df))
     ranged = (
-        df.repartitionByRange(*keys) if partitions is None
-        else df.repartitionByRange(partitions, *keys)
+        placed.repartitionByRange(*keys) if partitions is None
+        else placed.repartitionByRange(partitions, *keys)
     )
-    return ranged.sortWithinPartitions(*columns)
+    return ranged.sortWithinPartitions(*(columns if place is None else ["_place", *columns])).select(df.columns)
 
 
 def _known_mode(mode: str) -> str:

@@ -215,3 +215,40 @@ def snapshot_diff(spark, sf_dir):
     old = orders.selectExpr("o_orderkey AS order_key", "o_orderstatus AS status", "o_totalprice AS price")
     new = orders.selectExpr(f"{NEW_KEY} AS order_key", "o_orderstatus AS status", f"{NEW_PRICE} AS price")
     return merge.snapshot_diff(old, new, ["order_key"])
+
+
+HOT_KEY = "CASE WHEN l_linenumber = 1 THEN 0 ELSE l_orderkey END"
+
+
+@query(
+    "snapshot_diff_hot_key",
+    f"SELECT {HOT_KEY} AS order_key, l_orderkey AS n, l_suppkey AS v, 'update_preimage' AS change_type FROM lineitem UNION ALL "
+    f"SELECT {HOT_KEY}, l_orderkey, l_suppkey + 1000000, 'update_postimage' FROM lineitem",
+)
+def snapshot_diff_hot_key(spark, sf_dir):
+    """Every row changes, and a quarter of all rows has one key."""
+    old = table(spark, sf_dir, "lineitem").selectExpr(f"{HOT_KEY} AS order_key", "l_orderkey AS n", "l_suppkey AS v")
+    new = old.withColumn("v", (F.col("v") + 1000000).cast(old.schema["v"].dataType))
+    return merge.snapshot_diff(old, new, ["order_key"], hot_rows=1000)
+
+
+@query(
+    "clustered_by_curve",
+    "SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, true AS few_files_by_first, true AS few_files_by_second FROM lineitem",
+)
+def clustered_by_curve(spark, sf_dir):
+    """Lines clustered by order and part: a narrow range of either column lies in a part of the files."""
+    lake = store(spark)
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+    lake.write_gold(rows, "lines", cluster_by=["l_orderkey", "l_partkey"], partitions=64)
+    written = lake.read("gold", "lines")
+    files = written.groupBy("_metadata.file_name").agg(
+        *[f(c).alias(f"{name}_{c}") for c in ("l_orderkey", "l_partkey") for name, f in (("lo", F.min), ("hi", F.max))]
+    )
+    middle = {c: written.approxQuantile(c, [0.5], 0.01)[0] for c in ("l_orderkey", "l_partkey")}
+    touched = files.agg(
+        *[F.avg(F.lit(at).between(F.col(f"lo_{c}"), F.col(f"hi_{c}")).cast("int")).alias(c) for c, at in middle.items()]
+    ).first()
+    return written.withColumns({
+        "few_files_by_first": F.lit(touched["l_orderkey"] < 0.4), "few_files_by_second": F.lit(touched["l_partkey"] < 0.4),
+    })
