@@ -3,12 +3,14 @@
 Layout: ``<base>/<tier>/<table>/v=<number>``. Each overwrite, upsert or compaction
 writes a new version folder, and Spark's own ``_SUCCESS`` marker is what makes that
 version the current one, so readers never see half of a table and a failed job
-leaves the previous version in place. Appends add files to the current version. A table has
-one writer at a time: a second one fails on the version folder that is already there.
+leaves the previous version in place. An append is a part of its own, ``v=<number>+<part>``,
+with a marker of its own, and readers take a version with all of its complete parts; only in a
+store with catalog names it adds files to the folder that the name points to. A table has
+one writer at a time: a second one fails on the folder that is already there.
 
 A gold table that is upserted lies in key buckets. An upsert writes the buckets that it
-changes into a part of its own, ``v=<number>+<part>``, and readers take every bucket from
-the newest complete part that has it; so an upsert too is seen whole or not at all.
+changes as a part too, and readers take every bucket from the newest complete part that
+has it; so an upsert is seen whole or not at all.
 """
 
 from __future__ import annotations
@@ -232,14 +234,28 @@ class TableStore:
         laid = self._layout(tier, table, number)
         if laid is not None:
             return laid.rows(self.spark, self.fmt)
+        paths = self._parts(tier, table, number)
         if merge_schema is None:
-            merge_schema = not self._history(tier, table).where(
-                (F.col("version") == number) & (F.col("operation") == APPEND)
-            ).isEmpty()
+            appended = (F.col("version") == number) & (F.col("operation") == APPEND)
+            merge_schema = len(paths) > 1 or bool(self.namespace) and not self._history(tier, table).where(appended).isEmpty()
         reader = self.spark.read.format(self.fmt)
         if self.fmt in ("parquet", "orc"):
             reader = reader.option("mergeSchema", merge_schema)
-        return reader.load(path)
+        return reader.load(paths)
+
+    def _parts(self, tier: str, table: str, version: int) -> list[str]:
+        """The folder of a version and those of its complete parts, oldest first."""
+        base = f"{self.table_path(tier, table)}/v={version}"
+        complete = [p.removesuffix(f"/{SUCCESS}") for p in glob_paths(self.spark, f"{base}+*/{SUCCESS}")]
+        return [base, *sorted(complete, key=_part_number)]
+
+    def data_paths(self, tier: str, table: str) -> list[str]:
+        """All folders of the current version; empty without one."""
+        complete = self.versions(tier, table)
+        return self._parts(tier, table, complete[-1]) if complete else []
+
+    def _next_part(self, path: str) -> str:
+        return f"{path}+{max(map(_part_number, glob_paths(self.spark, path + '+*')), default=-1) + 1}"
 
     def _layout(self, tier: str, table: str, version: int) -> Layout | None:
         """The buckets of a version that is laid out by keys; None for any other."""
@@ -248,7 +264,7 @@ class TableStore:
         def inside(name: str) -> list[str]:
             return glob_paths(self.spark, f"{base}/{name}") + glob_paths(self.spark, f"{base}+*/{name}")
 
-        complete = sorted((p.removesuffix(f"/{SUCCESS}") for p in inside(SUCCESS)), key=_part_number)
+        complete = sorted((p.removesuffix(f"/{SUCCESS}") for p in inside(SUCCESS)), key=_part_number)  # full paths
         folders = [f for f in inside(f"{linear.PREFIX}*=*") if f.rpartition("/")[0] in complete]
         if not folders:
             return None
@@ -274,12 +290,12 @@ class TableStore:
                 self.spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
                 self.spark.catalog.refreshTable(full)
                 return
-            if known is not None and (known == "VIEW") != (laid is not None) or known == "EXTERNAL":
+            if known is not None and not (known == "VIEW" and laid is not None):
                 self.spark.sql(f"DROP {'VIEW' if known == 'VIEW' else 'TABLE'} {full}")
-            if laid is None:
-                self.spark.catalog.createTable(full, path, source=self.fmt, schema=rows.schema)
-            else:
+            if laid is not None:
                 self.spark.sql(f"CREATE OR REPLACE VIEW {full} AS {laid.sql(self.fmt)}")
+            else:
+                self.spark.catalog.createTable(full, path, source=self.fmt, schema=rows.schema)
 
     def _log(
         self, tier: str, table: str, version: int, operation: str,
@@ -338,7 +354,8 @@ class TableStore:
             added = set(df.columns) - set(self.read(tier, table).columns)
             if added:
                 raise ValueError(f"new columns: {sorted(added)}")
-        df.write.format(self.fmt).mode("append").save(path)
+        # The folder that a catalog name points to has to hold all files.
+        df.write.format(self.fmt).mode("append").save(path if self.namespace else self._next_part(path))
         self._log(tier, table, self.versions(tier, table)[-1], APPEND)
         self._register(registered_as, tier, table)
         return path
@@ -387,7 +404,7 @@ class TableStore:
         if current is None:
             merged = dedup_keys(df, keys, latest_by)
         else:
-            partitions = partitions or partitions_for(self.size_of(current))
+            partitions = partitions or partitions_for(self.size_of(self.data_paths("gold", table)))
             merged = upsert(
                 self.read("gold", table), df, keys, latest_by,
                 small_source=source_is_small(df, keys) or None, merge_schema=merge_schema,
@@ -428,7 +445,7 @@ class TableStore:
             merged = dedup_keys(df, keys, latest_by)
             if current is not None:
                 merged = upsert(self.read("gold", table), df, keys, latest_by)
-            grown = buckets or max(1, -(-(text_bytes(df) + self.size_of(current)) // bucket_bytes))
+            grown = buckets or max(1, -(-(text_bytes(df) + self.size_of(self.data_paths("gold", table))) // bucket_bytes))
             written, replaced = list(range(grown)), []
             version, path = self._next_path("gold", table)
         else:
@@ -446,7 +463,7 @@ class TableStore:
             replaced = [laid.live[b] for b in sorted(rewritten & laid.live.keys())]
             old = laid.rows(self.spark, self.fmt, rewritten & laid.live.keys()) if replaced else stored.where("false")
             merged = upsert(old, source, keys, latest_by, small_source=added <= BROADCAST_BYTES or source_is_small(source, keys) or None)
-            path = f"{current}+{max(map(_part_number, glob_paths(self.spark, current + '+*')), default=-1) + 1}"
+            path = self._next_part(current)
         clustering = inferred_cluster_keys(df)
         numbered = merged.withColumn(column, linear.bucket_number(keys, grown))
         places = self.spark.range(0, 1, 1, 1).select(F.posexplode(F.lit(written)).alias("_place", column))
@@ -486,7 +503,7 @@ class TableStore:
         before_path = self.current_path(tier, table)
         if before_path is None:
             raise FileNotFoundError(f"no table {tier}/{table} under {self.base_path}")
-        rows = self.read(tier, table)
+        rows, before_path = self.read(tier, table), self.data_paths(tier, table)
         if cluster_by:
             parts = files or partitions_for(self.size_of(before_path))
             rows = cluster_rows(rows, cluster_by, parts)
@@ -507,6 +524,9 @@ class TableStore:
         limit = (time.time() - older_than_hours * 3600.0) * 1000.0
         old = self.versions(tier, table)[: -max(keep, 1)]
         stale = [n for n in old if modified_at(self.spark, f"{root}/v={n}/{SUCCESS}") <= limit]
+        for n in stale:
+            for part in glob_paths(self.spark, f"{root}/v={n}+*"):
+                drop_tree(self.spark, part)
         return [n for n in stale if drop_tree(self.spark, f"{root}/v={n}")]
 
     def telemetry(self, tier: str, table: str, commits: int = 5) -> DataFrame:
@@ -524,7 +544,7 @@ class TableStore:
             newest = self._history(tier, table).orderBy(F.desc("committed_at"), F.desc("version"))
             try:
                 history = newest.limit(commits).collect()
-                facts |= file_stats(self.spark, path).first().asDict()
+                facts |= file_stats(self.spark, self.data_paths(tier, table)).first().asDict()
                 facts |= {
                     "status": AVAILABLE,
                     "clustering_columns": history[0]["clustering_columns"],

@@ -158,13 +158,13 @@ def load_dataset(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str | None = None,
-    infer_types: bool = True,
+    infer_types: bool = False,
     json_array: bool = False,
 ) -> DataFrame:
     """CSV, TSV, Parquet or JSON by file extension; other extensions read as CSV.
 
-    Give a schema for large text files: without one, typed columns cost a pass
-    over the data (switch it off with ``infer_types=False``). JSON is one object
+    Without a schema the columns of CSV and TSV are strings; ``infer_types`` asks for typed ones,
+    which cost a pass over the data. JSON is one object
     per line, or with ``json_array`` one array of objects per file.
     """
     if not path_exists(spark, path):

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from clinlake.fixed_values import CONCEPTS
 from clinlake.functions.lookup import usable_entries
 from clinlake.functions.parsing import as_column
+from clinlake.sources import listing
+from clinlake.sources.jsonscan import RANGE_BYTES, scan_entries
 from clinlake.workspace import path_exists
 
 PATH_VARIABLE = "CLINLAKE_VOCABULARY"
@@ -37,6 +39,15 @@ def entries_of(documents: DataFrame, document: Column | str = "value") -> DataFr
     ).where(F.col("concept_id").isNotNull())
 
 
+def scanned_entries(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Vocabulary rows of JSON files of any size; a large one is read by many tasks."""
+    entries = scan_entries(spark, path, range_bytes)
+    return entries.where(~F.col("section").startswith("_") & ~F.col("key").startswith("_")).select(
+        F.col("section").alias("category"), F.col("key").alias("source_code"),
+        F.col("value").try_cast("int").alias("concept_id"),
+    ).where(F.col("concept_id").isNotNull())
+
+
 def built_in(spark: SparkSession) -> DataFrame:
     """The vocabulary that ships with the package."""
     return from_mappings(spark, CONCEPTS)
@@ -67,8 +78,11 @@ def load_vocabulary(spark: SparkSession, path: str | None = None) -> DataFrame:
     chosen = vocabulary_path(path)
     if chosen is None or not path_exists(spark, chosen):
         return built_in(spark)
-    documents = spark.read.text(chosen, wholetext=True)
-    return with_fallback(entries_of(documents), built_in(spark))
+    if all(listing.knows(r) for r in listing.roots(spark, chosen)):
+        loaded = scanned_entries(spark, chosen)
+    else:
+        loaded = entries_of(spark.read.text(chosen, wholetext=True))
+    return with_fallback(loaded, built_in(spark))
 
 
 def category(vocabulary: DataFrame, name: str) -> DataFrame:

@@ -126,6 +126,22 @@ def test_unfinished_versions_are_not_read(spark, tmp_path):
     assert store.versions("silver", "t") == [0, 2] and rows(store.read("silver", "t")) == [(2,)]
 
 
+def test_appends_are_seen_whole_or_not_at_all(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.write_silver(spark.createDataFrame([(1,)], "a int"), "t")
+    store.write_silver(spark.createDataFrame([(2, "x")], "a int, `b c` string"), "t", mode="append")
+    half = tmp_path / "silver" / "t" / "v=0+1"
+    spark.createDataFrame([(9, "half")], "a int, `b c` string").write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
+    assert rows(store.read("silver", "t")) == [(1, None), (2, "x")]
+    store.write_silver(spark.createDataFrame([(3,)], "a int"), "t", mode="append")
+    assert rows(store.read("silver", "t")) == [(1, None), (2, "x"), (3, None)]
+    assert store.compact("silver", "t").where("status = 'before'").first()["num_files"] >= 3
+    assert rows(store.read("silver", "t")) == [(1, None), (2, "x"), (3, None)]
+    assert store.prune_versions("silver", "t", keep=1, older_than_hours=0) == [0]
+    assert [p.name for p in (tmp_path / "silver" / "t").iterdir() if p.name.startswith("v=")] == ["v=1"]
+
+
 def test_cluster_keys_follow_the_columns(spark):
     def keys(*names):
         return inferred_cluster_keys(spark.createDataFrame([], ", ".join(f"{n} int" for n in names)))
