@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clinlake.sources import listing
+from clinlake.workspace import scratch_path
 
 # Tasks get these functions by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -135,6 +136,13 @@ def _in_ranges(work, layout: pa.Schema):
     return run
 
 
+def _kept(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A frame that is read more than once, written to the shared folder."""
+    path = scratch_path(spark, "ranges")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scan_entries(spark: SparkSession, path: str | Sequence[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(section, key, value) of all entries of JSON documents, a file each, as text; the documents have to be well-formed."""
     files = listing.list_files(spark, path).where("length > 0")
@@ -152,18 +160,18 @@ def scan_entries(spark: SparkSession, path: str | Sequence[str], range_bytes: in
     before = W.partitionBy("path").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
     parity = counted.withColumn("in_string", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1)
     step = F.when(F.col("in_string"), F.col("inside")).otherwise(F.col("outside"))
-    placed = parity.withColumn("depth", F.coalesce(F.sum(step).over(before), F.lit(0))).select(
+    placed = _kept(spark, parity.withColumn("depth", F.coalesce(F.sum(step).over(before), F.lit(0))).select(
         "path", "length", "start", "end", "in_string", "depth"
-    )
+    ))
 
     def entries(file, row):
         for nth, found in enumerate(range_entries(file, *list(row.values())[1:])):
             yield row["path"], row["start"], nth, *found
 
     layout = pa.schema([("path", pa.string()), ("start", pa.int64()), ("nth", pa.int64()), ("section", pa.string()), ("key", pa.string()), ("value", pa.string())])
-    found = listing.dealt(placed, "path", "start").mapInArrow(
+    found = _kept(spark, listing.dealt(placed, "path", "start").mapInArrow(
         _in_ranges(entries, layout), "path string, start bigint, nth bigint, section string, key string, value string"
-    )
+    ))
     # The section in which a range begins is the last one named in the ranges before it.
     named = placed.select("path", "start").join(
         found.where("key is null").groupBy("path", "start").agg(F.max_by("section", "nth").alias("last")), ["path", "start"], "left"
