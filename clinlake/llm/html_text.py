@@ -45,19 +45,34 @@ CLOSED_BY_BLOCK = frozenset("p li dt dd h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar status".split()
 )
-_marked = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advert[a-z]*|adsense|adslot|sponsor[a-z]*|promo[a-z]*|banner|nav|navbar|navigation|menu|"
+MARKED = (
+    r"ads?|adverts?|advert[a-z]*|adsense|adslot|sponsor[a-z]*|promo[a-z]*|banner|nav|navbar|navigation|menu|"
     r"breadcrumbs?|side-?bar|footer|site-?header|page-?header|masthead|comments?|reply|replies|disqus|cookies?|consent|"
     r"gdpr|notices?|alert|pop-?up|modal|overlay|share|sharing|social|related|recommend[a-z]*|newsletter|subscribe|"
-    r"signup|sign-?up|login|search|widget|toolbar|pagination|pager|hidden|skip-?link|copyright|paywall)(?:$|[\s_-]|\d)",
-    re.I,
+    r"signup|sign-?up|login|search|widget|toolbar|pagination|pager|hidden|skip-?link|copyright|paywall"
 )
-_token = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|$)", re.S)
-_attribute = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+LAYOUT = (
+    r"left|right|top|bottom|upper|lower|main|site|page|inner|outer|list|box|container|wrapper|wrap|area|section|block|form|"
+    r"bar|slot|unit|panel|links?|items?|buttons?|icons?|inline|js|\d+"
+)
+CONTAINERS = frozenset("center dd details dir div dl dt fieldset li ol section span table tbody td th tr ul".split())
+_marked = re.compile(rf"(?:^|[\s_-])(?:{MARKED})(?:$|[\s_-]|\d)", re.I)
+_named = re.compile(rf"(?:(?:{LAYOUT})[_-])*(?:{MARKED})\d*(?:[_-](?:{MARKED}|{LAYOUT})\d*)*", re.I)
+# A quotation mark opens a value only right after the equals sign.
+_token = re.compile(
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(?:>|$)", re.S
+)
+_attribute = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*))?")
 _invisible = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _is_marked(attributes: str) -> bool:
+def _is_marked(element: str, attributes: str, inside: bool) -> bool:
+    """Whether an element's attributes say that it is not the article's.
+
+    Part of a class name counts on containers outside the article only (``ad-x7`` is an advert there). Elsewhere
+    the whole name has to be one of those words, with nothing but words of layout around it: a
+    paragraph's ``widget-description`` and a section's ``social-history`` are text. A heading's names say nothing.
+    """
     if not attributes or attributes == "/":
         return False
     for name, value in _attribute.findall(attributes):
@@ -66,7 +81,9 @@ def _is_marked(attributes: str) -> bool:
             return True
         if name == "role" and value.lower() in ROLES:
             return True
-        if name in ("class", "id") and _marked.search(value):
+        if name == "class" and element in CONTAINERS and not inside and _marked.search(value):
+            return True
+        if name in ("class", "id") and element not in HEADINGS and any(map(_named.fullmatch, value.split())):
             return True
         if name == "style" and _invisible.search(value):
             return True
@@ -132,7 +149,7 @@ def blocks(page: str) -> list[tuple[str, bool]]:
             continue
         if name in VOID:
             continue
-        if name in SKIP or (name not in ("html", "body", "main") and _is_marked(m[3])):
+        if name in SKIP or (name not in ("html", "body", "main") and _is_marked(name, m[3], articles > 0)):
             skip, depth, headed = name, 1, False
         elif name in ("article", "main"):
             articles += 1

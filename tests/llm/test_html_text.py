@@ -35,6 +35,35 @@ def test_article_without_its_surroundings():
     assert [t for t, _ in blocks(page)] == ["Title & more", "one two three bold", "four five", "cut off &am"]
 
 
+def test_names_of_headings_and_parts_of_names_keep_text():
+    kept = [
+        '<h2 id="related-work">Related work</h2>',
+        '<section id="social-history"><p>Social history</p></section>',
+        '<h1 id="hidden-figures">Hidden figures</h1>',
+        '<p class="widget-description">A widget</p>',
+        "<p title=Don't>Hello there</p><p>it's fine</p>",
+        '<p title="a > b" data-x=\'<div class="ad">\'>Quoted</p>',
+        '<div class="share-prices"><p>Share prices</p></div>',
+        '<h3 class="search">Search</h3>',
+    ]
+    gone = [
+        '<div class="ad">x</div>', '<div id="sidebar-left">x</div>', '<p class="lead notice">x</p>', '<div id=comments>x</div>',
+        '<div class="cookie-banner">x</div>', '<div class="ad-slot-3">x</div>', '<ul class="social share_links"><li>x</ul>',
+        '<div id="comment-12">x</div>', "<span class='newsletter-signup-form'>x</span>", "<p style='display: none'>x</p>",
+        '<h2 hidden>x</h2>', '<div role="banner">x</div>',
+    ]
+    body = "".join(a + b for a, b in zip(kept + [""] * 4, gone, strict=True))
+    want = ["Related work", "Social history", "Hidden figures", "A widget", "Hello there", "it's fine", "Quoted", "Share prices", "Search"]
+    assert blocks(f"<article>{body}</article>") == [(t, True) for t in want]
+    assert [t for t, _ in blocks(body)] == [t for t in want if t != "Share prices"]
+
+
+def test_unclosed_tags_and_quotes_end():
+    assert blocks("<p>one <b title='x>two") == [("one two", False)]
+    assert blocks("<p>one</p><p a=\"b>two</p>") == [("one", False), ("two", False)]
+    assert blocks("<p>one</p><p " + "a='" * 50_000) == [("one", False)]
+
+
 def test_differencing_deletes_what_neighbours_share(spark):
     page = "<body><p>Site name</p><p>Story {0} begins.</p><p>It goes on {0}.</p><p>Contact us</p></body>"
     rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(3)]
