@@ -1,8 +1,8 @@
 """Toxicity scores by a logistic model with a counterfactual penalty.
 
 Features are the presence of words and word beginnings. Training documents that
-name a group are copied with the name of another group of the same kind, and
-the squared change of the score is added to the loss, so that neutral mentions of
+name a group are copied with the name of each other group of the same kind and without a name, and
+the squared changes of the score are added to the loss, so that neutral mentions of
 a group carry no weight.
 """
 
@@ -33,7 +33,7 @@ BEGINNINGS = range(3, 7)
 THRESHOLD = 0.5
 REMEMBERED = 400_000
 
-_SWAP = {t: group[(i + 1) % len(group)] for group in IDENTITY_TERMS for i, t in enumerate(group)}
+_PLACE = {t: (group, i) for group in IDENTITY_TERMS for i, t in enumerate(group)}
 _letters = re.compile(r"[^\W\d_]+")
 
 
@@ -44,7 +44,7 @@ def words(text: str) -> set[str]:
 
 def word_features(word: str) -> list[str]:
     """The word itself and its beginnings (marked by a hyphen); a group's name is one feature only."""
-    if word in _SWAP:
+    if word in _PLACE:
         return [word]
     return [word, *(f"{word[:n]}-" for n in BEGINNINGS if len(word) >= n)]
 
@@ -53,6 +53,21 @@ def doc_features(found: set[str]) -> set[str]:
     return {f for w in found for f in word_features(w)}
 
 
+def counterfactuals(found: set[str]) -> list[set[str]]:
+    """The words of a text with all group names moved by one, two, ... places in their kinds, and without them.
+
+    Without the last, names of a kind could still share a weight that calls every mention of any of them toxic.
+    A text without names has none.
+    """
+    named, rest = [_PLACE[w] for w in sorted(found & _PLACE.keys())], found - _PLACE.keys()
+    moved = [rest] if named else []
+    for by in range(1, max((len(group) for group, _ in named), default=1)):
+        other = rest | {group[(i + by) % len(group)] for group, i in named}
+        if other != found and other not in moved:
+            moved.append(other)
+    return moved
+
+
 @dataclass
 class ToxicModel:
     weight: dict[str, float]
@@ -106,7 +121,7 @@ def vocabulary(own: DataFrame, features: int, least: int, sizes: dict[int, int])
     df = df.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where(F.expr(f"n0 + n1 >= {least}"))
     odds = F.log((F.col("n1") + 0.5) / (n1 + 1)) - F.log((F.col("n0") + 0.5) / (n0 + 1))
     best = df.where(odds > 1).orderBy((odds * F.sqrt("n1")).desc(), "feature").limit(features).collect()
-    return sorted({r["feature"] for r in best} | set(_SWAP))
+    return sorted({r["feature"] for r in best} | set(_PLACE))
 
 
 def train(
@@ -115,6 +130,8 @@ def train(
 ) -> ToxicModel:
     """Fit on a bounded sample: at most ``rows_per_label`` labelled documents of each label.
 
+    A document labelled both ways counts as label 1.
+
     ``features`` bounds the vocabulary, ``fairness`` weighs the counterfactual
     penalty. Without labels of both kinds the score is the only label's share.
     """
@@ -132,38 +149,41 @@ def train(
             out = []
             for r in rows:
                 found = words(r["text"])
-                swapped = ids({_SWAP.get(w, w) for w in found}) if found & _SWAP.keys() else None
+                swapped = [ids(other) for other in counterfactuals(found)]
                 out.append((r["doc_id"], r["y"], ids(found), swapped))
             return out
 
         return work
 
     kind = own.schema["doc_id"].dataType.simpleString()
-    rows = map_rows(own, f"doc_id {kind}, y int, x array<int>, swapped array<int>", start).orderBy("doc_id", "x").collect()
+    rows = map_rows(own, f"doc_id {kind}, y int, x array<int>, swapped array<array<int>>", start).orderBy("doc_id", "x").collect()
     y = np.array([r["y"] for r in rows], dtype=np.float64)
     # Both labels weigh alike, however rare one of them is.
     each = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
     doc = np.repeat(np.arange(len(rows)), [len(r["x"]) for r in rows])
     col = np.array([i for r in rows for i in r["x"]], dtype=np.int64)
-    pairs = [(set(r["x"]), set(r["swapped"])) for r in rows if r["swapped"] is not None]
-    change = [(n, i, s) for n, (a, b) in enumerate(pairs) for s, part in ((1.0, a - b), (-1.0, b - a)) for i in part]
+    # Every text that names a group weighs alike, however many names its own can be swapped for.
+    named = [(set(r["x"]), r["swapped"]) for r in rows if r["swapped"]]
+    pairs = [(x, set(other), fairness / (len(named) * len(all_of))) for x, all_of in named for other in all_of]
+    change = [(n, i, s) for n, (a, b, _) in enumerate(pairs) for s, part in ((1.0, a - b), (-1.0, b - a)) for i in part]
     c_row, c_col, c_val = (np.array(v) for v in zip(*change, strict=True)) if change else (None, None, None)
+    c_each = np.array([e for _, _, e in pairs])
 
-    def loss(w, b):
+    def gradient(w, b):
         margin = np.bincount(doc, weights=w[col], minlength=len(rows)) + b
         p = 1 / (1 + np.exp(-np.clip(margin, -60, 60)))
         r = each * (p - y)
         slope = np.bincount(col, weights=r[doc], minlength=len(w)) + ridge * w
         if change:
             moved = np.bincount(c_row, weights=c_val * w[c_col], minlength=len(pairs))
-            slope += np.bincount(c_col, weights=fairness / len(pairs) * (c_val * moved[c_row]), minlength=len(w))
+            slope += np.bincount(c_col, weights=c_val * (c_each * moved)[c_row], minlength=len(w))
         return slope, r.sum()
 
     # Adam on the whole sample: convex, so the fixed number of steps suffices.
     w, b = np.zeros(len(vocab)), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, 401):
-        slope, sb = loss(w, b)
+        slope, sb = gradient(w, b)
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
         mb, vb = 0.9 * mb + 0.1 * sb, 0.999 * vb + 0.001 * sb**2
         rate = 0.08 * math.sqrt(1 - 0.999**step) / (1 - 0.9**step)
