@@ -19,6 +19,8 @@ from clinlake.llm.common import held_out, learnable, map_rows
 
 ORDER = 3
 UNKNOWN = "und"
+#: Bytes from which a text's bits per byte tell whether its language was learnt.
+LONG_BYTES = 200
 
 
 def byte_grams(texts: list[str]) -> np.ndarray:
@@ -164,11 +166,8 @@ class ContextTrees:
         return out
 
 
-def train(
-    docs: DataFrame, docs_per_language: int = 1500, folds: int = 3, held: int = 1, **shape
-) -> ContextTrees:
-    """Trees from whole texts of a bounded sample: at most ``docs_per_language`` texts of each language."""
-    known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable("doc_id", folds, held))
+def _sampled(known: DataFrame, docs_per_language: int) -> DataFrame:
+    """(doc_id, lang, text) of at most ``docs_per_language`` documents of each language, chosen by a hash of the id."""
     # Ids below a hash that twice the sample's size is expected below; so no task sorts all ids of a language.
     place = F.xxhash64(F.col("doc_id").cast("string"))
     part = (place / 2.0**64) + 0.5
@@ -183,7 +182,15 @@ def train(
         .select("doc_id", "lang")
         .distinct()
     )
-    texts = known.select("doc_id", "lang", "text").join(F.broadcast(sample), ["doc_id", "lang"])
+    return known.select("doc_id", "lang", "text").join(F.broadcast(sample), ["doc_id", "lang"])
+
+
+def train(
+    docs: DataFrame, docs_per_language: int = 1500, folds: int = 3, held: int = 1, **shape
+) -> ContextTrees:
+    """Trees from whole texts of a bounded sample: at most ``docs_per_language`` texts of each language."""
+    known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable("doc_id", folds, held))
+    texts = _sampled(known, docs_per_language)
     counts: dict[str, dict[int, int]] = {}
     for r in gram_counts(texts).collect():
         counts.setdefault(r["lang"], {})[r["gram"]] = r["n"]
@@ -220,13 +227,38 @@ def identify_languages(docs: DataFrame, docs_per_language: int = 1500) -> DataFr
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-def relabel(docs: DataFrame, trees: ContextTrees, most_bits: float = 8.0) -> DataFrame:
+def usual_bits(
+    docs: DataFrame, trees: ContextTrees, docs_per_language: int = 1500, folds: int = 3, held: int = 1,
+    share: float = 0.999, margin: float = 0.25,
+) -> dict[str, float]:
+    """Bits per byte that texts of each language hardly exceed, from a bounded sample of those held out of learning.
+
+    The limit is the quantile ``share`` of its texts of LONG_BYTES and more, and ``margin`` bits more.
+    A language without such texts has none.
+    """
+    known = docs.where(F.col("lang").isNotNull() & held_out("doc_id", folds, held) & (F.octet_length("text") >= LONG_BYTES))
+    found = identify(_sampled(known, docs_per_language), trees, id_col="lang").where("doc_id = lang_pred")
+    limits = found.groupBy("lang_pred").agg(F.percentile("bits_per_byte", F.lit(share)).alias("bits"))
+    return {r["lang_pred"]: r["bits"] + margin for r in limits.collect()}
+
+
+def relabel(
+    docs: DataFrame, trees: ContextTrees, limits: dict[str, float] | None = None, most_bits: float = 8.0
+) -> DataFrame:
     """The rows whose language can be told, with all their columns; ``lang`` is the predicted language.
 
-    Rejected are texts without a letter and texts that even their best language codes with
-    more than ``most_bits`` bits per byte, which is no better than bytes drawn at random.
+    Rejected are texts without a letter, texts that even their best language codes with
+    more than ``most_bits`` bits per byte, which is no better than bytes drawn at random, and texts of
+    LONG_BYTES and more beyond their language's entry in ``limits``: they are in none of the languages
+    learnt. (A short text may be half number or key, so its bits say less.)
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    limits = limits or {}
+
+    def known(text: str, lang: str, bits: float) -> bool:
+        if lang == UNKNOWN or bits > most_bits:
+            return False
+        return bits <= limits.get(lang, most_bits) or len(text.encode("utf-8", "surrogatepass")) < LONG_BYTES
 
     def start():
         def work(rows):
@@ -234,7 +266,7 @@ def relabel(docs: DataFrame, trees: ContextTrees, most_bits: float = 8.0) -> Dat
             return [
                 tuple(lang if c == "lang" else r[c] for c in kinds)
                 for r, (lang, _, bits) in zip(rows, found, strict=True)
-                if lang != UNKNOWN and bits <= most_bits
+                if known(r["text"] or "", lang, bits)
             ]
 
         return work

@@ -60,6 +60,20 @@ def test_language_relabelling_keeps_columns(spark):
     assert {r["doc_id"] for r in kept.collect()}.isdisjoint({3, 4, 5, 6})
 
 
+def test_texts_in_unlearnt_languages_are_rejected(spark):
+    strange = str.maketrans("aeioutnsrhld", "xqzwjkvgfpbc")
+    own = [(i, t, "en", "s") for i, t in enumerate(" ".join(sentences(6, i)) for i in range(90))]
+    other = [(i + 1000, t.translate(strange), "en" if i == 0 else None, "s") for i, (_, t, _, _) in enumerate(own[:30])]
+    short = [(2000, "the hzql gdhh vz the old mill of the hzxv", None, "s")]
+    docs = documents(spark, own + other + short)
+    trees = language_id.train(docs.where("doc_id < 1000"))
+    limits = language_id.usual_bits(docs.where("doc_id < 1000"), trees)
+    assert set(limits) == {"en"} and 1 < limits["en"] < 5
+    assert {r["doc_id"] for r in language_id.relabel(docs, trees, limits).collect()} == {i for i, *_ in own + short}
+    assert language_id.usual_bits(documents(spark, []), trees) == {}
+    assert language_id.usual_bits(docs, language_id.train(documents(spark, []))) == {}
+
+
 @pytest.mark.parametrize("classify,label,bad", [
     (quality.classify_quality, "quality", lambda t: " ".join(w + "###" for w in t.split())),
     (toxicity.classify_toxicity, "toxic", lambda t: t + " you worthless scum"),
@@ -87,13 +101,28 @@ def test_classifier_rows_of_every_kind(spark, classify):
     assert classify(documents(spark, []), labels).collect() == []
 
 
-def test_group_names_do_not_change_the_score(spark):
-    texts = [f"{t} {'women' if i % 5 == 0 else ''} {'you scum' if i % 2 == 0 else ''}" for i, t in enumerate(sentences(400, 2))]
-    docs = with_texts(spark, texts)
-    labels = spark.createDataFrame([(i, 1, int(i % 2 == 0)) for i in range(400)], LABELS)
-    # Here 'women' comes with toxic texts only half of the time, as all other words.
+def test_group_names_that_go_with_toxic_texts_get_no_weight(spark):
+    draw, own = random.Random(4), []
+    for i, t in enumerate(sentences(600, 2)):
+        toxic = i % 2 == 0
+        # 'muslims' is in most toxic texts and few others; a third of the toxic texts has no other sign.
+        name = "muslims" if draw.random() < (0.8 if toxic else 0.05) else "christians" if draw.random() < 0.1 else ""
+        own.append((f"{t} {name} {'you scum' if toxic and i % 3 else ''}", toxic))
+    docs = with_texts(spark, [t for t, _ in own])
+    labels = spark.createDataFrame([(i, 1, int(y)) for i, (_, y) in enumerate(own)], LABELS)
     fair, free = (toxicity.train(docs, labels, fairness=f) for f in (50.0, 0.0))
-    gap = lambda m: abs(m.weight.get("women", 0) - m.weight.get("men", 0))
-    assert gap(fair) <= gap(free) + 1e-9 and gap(fair) < 0.05
-    score = fair.scorer()
-    assert abs(score("the women of the village") - score("the men of the village")) < 0.02 and score("scum") > 0.5
+    gap = lambda m: max(abs(m.weight.get("muslims", 0) - m.weight.get(o, 0)) for o in ("christians", "jews", "atheists"))
+    assert gap(free) > 2 and gap(fair) < 0.2
+    neutral = [f"{t} the muslims of the village" for t in sentences(200, 9)]
+    false = lambda m: sum(map(lambda t: m.scorer()(t) >= toxicity.THRESHOLD, neutral))
+    assert false(free) > 150 and false(fair) < 20
+    assert all(m.scorer()("you scum of the village") > 0.5 for m in (fair, free))
+
+
+def test_counterfactuals_are_all_other_names_of_a_kind():
+    assert toxicity.counterfactuals({"the", "men"}) == [{"the"}, {"the", "women"}] and toxicity.counterfactuals({"the"}) == []
+    found = toxicity.counterfactuals({"a", "jews", "old"})
+    assert found[0] == {"a"} and {next(iter(f & {"muslims", "christians", "hindus", "buddhists", "atheists"}), None) for f in found[1:]} == {
+        "muslims", "christians", "hindus", "buddhists", "atheists"
+    }
+    assert toxicity.counterfactuals({"women", "men"}) == [set()]
