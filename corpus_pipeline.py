@@ -15,7 +15,8 @@ MIX_SHARD_SLOTS = 1024
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; ``lang`` becomes the predicted one."""
-    return language_id.relabel(docs, language_id.train(docs))
+    trees = language_id.train(docs)
+    return language_id.relabel(docs, trees, language_id.usual_bits(docs, trees))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
