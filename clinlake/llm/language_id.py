@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinlake.llm.common import held_out, learnable, map_rows
+from clinlake.llm.common import held_out, learnable, map_rows, saved
 
 ORDER = 3
 UNKNOWN = "und"
@@ -166,8 +166,11 @@ class ContextTrees:
         return out
 
 
-def _sampled(known: DataFrame, docs_per_language: int) -> DataFrame:
-    """(doc_id, lang, text) of at most ``docs_per_language`` documents of each language, chosen by a hash of the id."""
+def train(
+    docs: DataFrame, docs_per_language: int = 1500, folds: int = 3, held: int = 1, **shape
+) -> ContextTrees:
+    """Trees from whole texts of a bounded sample: at most ``docs_per_language`` texts of each language."""
+    known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable("doc_id", folds, held))
     # Ids below a hash that twice the sample's size is expected below; so no task sorts all ids of a language.
     place = F.xxhash64(F.col("doc_id").cast("string"))
     part = (place / 2.0**64) + 0.5
@@ -182,15 +185,7 @@ def _sampled(known: DataFrame, docs_per_language: int) -> DataFrame:
         .select("doc_id", "lang")
         .distinct()
     )
-    return known.select("doc_id", "lang", "text").join(F.broadcast(sample), ["doc_id", "lang"])
-
-
-def train(
-    docs: DataFrame, docs_per_language: int = 1500, folds: int = 3, held: int = 1, **shape
-) -> ContextTrees:
-    """Trees from whole texts of a bounded sample: at most ``docs_per_language`` texts of each language."""
-    known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable("doc_id", folds, held))
-    texts = _sampled(known, docs_per_language)
+    texts = known.select("doc_id", "lang", "text").join(F.broadcast(sample), ["doc_id", "lang"])
     counts: dict[str, dict[int, int]] = {}
     for r in gram_counts(texts).collect():
         counts.setdefault(r["lang"], {})[r["gram"]] = r["n"]
@@ -228,47 +223,59 @@ def identify_languages(docs: DataFrame, docs_per_language: int = 1500) -> DataFr
 
 
 def usual_bits(
-    docs: DataFrame, trees: ContextTrees, docs_per_language: int = 1500, folds: int = 3, held: int = 1,
-    share: float = 0.999, margin: float = 0.25,
+    scored: DataFrame, lang: str, predicted: str, bits: str, share: float = 0.999, margin: float = 0.25, fold=None
 ) -> dict[str, float]:
-    """Bits per byte that texts of each language hardly exceed, from a bounded sample of those held out of learning.
+    """Bits per byte that texts of each language hardly exceed, from all rows where ``fold`` holds.
 
-    The limit is the quantile ``share`` of its texts of LONG_BYTES and more, and ``margin`` bits more.
-    A language without such texts has none.
+    The limit is the quantile ``share``, in hundredths of a bit, and ``margin`` bits more. Texts
+    are counted by hundredths, so a language is a few hundred rows at most. Languages without texts have no limit.
     """
-    known = docs.where(F.col("lang").isNotNull() & held_out("doc_id", folds, held) & (F.octet_length("text") >= LONG_BYTES))
-    found = identify(_sampled(known, docs_per_language), trees, id_col="lang").where("doc_id = lang_pred")
-    limits = found.groupBy("lang_pred").agg(F.percentile("bits_per_byte", F.lit(share)).alias("bits"))
-    return {r["lang_pred"]: r["bits"] + margin for r in limits.collect()}
-
-
-def relabel(
-    docs: DataFrame, trees: ContextTrees, limits: dict[str, float] | None = None, most_bits: float = 8.0
-) -> DataFrame:
+    known = scored.where(F.col(lang) == F.col(predicted))
+    known = known.where(fold) if fold is not None else known
+    counts: dict[str, dict[int, int]] = {}
+    for r in known.groupBy(predicted, F.ceil(F.col(bits) * 100).alias("at")).count().collect():
+        counts.setdefault(r[0], {})[r["at"]] = r["count"]
+    limits = {}
+    for own, by in counts.items():
+        wanted, met = share * sum(by.values()), 0
+        for at in sorted(by):
+            met += by[at]
+            if met >= wanted:
+                limits[own] = at / 100 + margin
+                break
+    return limits
+
+
+def relabel(docs: DataFrame, trees: ContextTrees, most_bits: float = 8.0, folds: int = 3, held: int = 1) -> DataFrame:
     """The rows whose language can be told, with all their columns; ``lang`` is the predicted language.
 
     Rejected are texts without a letter, texts that even their best language codes with
     more than ``most_bits`` bits per byte, which is no better than bytes drawn at random, and texts of
-    LONG_BYTES and more beyond their language's entry in ``limits``: they are in none of the languages
-    learnt. (A short text may be half number or key, so its bits say less.)
+    LONG_BYTES and more beyond the limit (``usual_bits``) that their language's held-out texts set: they are in none of
+    the languages learnt. (A short text may be half number or key, so its bits say less.)
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    limits = limits or {}
-
-    def known(text: str, lang: str, bits: float) -> bool:
-        if lang == UNKNOWN or bits > most_bits:
-            return False
-        return bits <= limits.get(lang, most_bits) or len(text.encode("utf-8", "surrogatepass")) < LONG_BYTES
+    taken = {c.casefold() for c in kinds}
+    pred, bits = (n + "_" * (1 + max(map(len, taken))) for n in ("lang_pred", "bits"))
 
     def start():
         def work(rows):
             found = trees.predict([r["text"] or "" for r in rows])
             return [
-                tuple(lang if c == "lang" else r[c] for c in kinds)
-                for r, (lang, _, bits) in zip(rows, found, strict=True)
-                if known(r["text"] or "", lang, bits)
+                (*(r[c] for c in kinds), lang, cost)
+                for r, (lang, _, cost) in zip(rows, found, strict=True)
+                if lang != UNKNOWN and cost <= most_bits
             ]
 
         return work
 
-    return map_rows(docs, ", ".join(f"`{c}` {k}" for c, k in kinds.items()), start)
+    layout = ", ".join(f"`{c}` {k}" for c, k in {**kinds, pred: "string", bits: "double"}.items())
+    # Written once, so that every text is scored once for the limits and for what is kept.
+    scored = saved(docs.sparkSession, map_rows(docs, layout, start), "languages")
+    long = F.octet_length("text") >= LONG_BYTES
+    limits = usual_bits(scored, "lang", pred, bits, fold=long & held_out("doc_id", folds, held))
+    limit = F.lit(most_bits)
+    for lang, most in sorted(limits.items()):
+        limit = F.when(F.col(pred) == lang, F.lit(most)).otherwise(limit)
+    kept = scored.where(~long | (F.col(bits) <= limit))
+    return kept.select(*(F.col(pred).alias(c) if c == "lang" else F.col(f"`{c}`") for c in kinds))

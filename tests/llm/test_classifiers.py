@@ -65,13 +65,18 @@ def test_texts_in_unlearnt_languages_are_rejected(spark):
     own = [(i, t, "en", "s") for i, t in enumerate(" ".join(sentences(6, i)) for i in range(90))]
     other = [(i + 1000, t.translate(strange), "en" if i == 0 else None, "s") for i, (_, t, _, _) in enumerate(own[:30])]
     short = [(2000, "the hzql gdhh vz the old mill of the hzxv", None, "s")]
-    docs = documents(spark, own + other + short)
-    trees = language_id.train(docs.where("doc_id < 1000"))
-    limits = language_id.usual_bits(docs.where("doc_id < 1000"), trees)
-    assert set(limits) == {"en"} and 1 < limits["en"] < 5
-    assert {r["doc_id"] for r in language_id.relabel(docs, trees, limits).collect()} == {i for i, *_ in own + short}
-    assert language_id.usual_bits(documents(spark, []), trees) == {}
-    assert language_id.usual_bits(docs, language_id.train(documents(spark, []))) == {}
+    docs = documents(spark, own + other + short).selectExpr("*", "1 as bits", "2 as lang_pred")
+    kept = language_id.relabel(docs, language_id.train(docs.where("doc_id < 1000")))
+    assert kept.columns == docs.columns and {r["lang"] for r in kept.collect()} == {"en"}
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, *_ in own + short}
+    empty = documents(spark, [])
+    assert language_id.relabel(empty, language_id.train(empty)).collect() == []
+
+
+def test_limits_are_quantiles_by_language(spark):
+    rows = [("en", "en", n / 1000) for n in range(1, 2001)] + [("de", "de", 3.0), ("de", "en", 7.0), (None, "en", 7.0)]
+    found = language_id.usual_bits(spark.createDataFrame(rows, "a string, b string, c double"), "a", "b", "c", share=0.9)
+    assert found == {"en": pytest.approx(2.05), "de": pytest.approx(3.25)}
 
 
 @pytest.mark.parametrize("classify,label,bad", [
