@@ -10,6 +10,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+import workload
 from clinlake.fixed_values import CONCEPTS
 from clinlake.operators import qc, silver
 from clinlake.plans.governance_job import data_digest
@@ -210,3 +211,17 @@ def test_sources_fall_back_from_a_failed_read(spark, tmp_path):
     lacking.write_text("raw_patient_id\nP1\n")
     with pytest.raises(ValueError, match="lacks columns"):
         delimited.scan_source(spark, "patients", str(lacking), str(good))
+
+
+def test_every_document_is_a_file_with_a_digest_of_its_own(spark, tmp_path):
+    texts = [(i, f"text {i}\n" * (i % 5)) for i in range(230)] + [(7, "text"), (7, "text"), (None, "ä"), (8, None), (-3, "")]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    wanted = [(i, f"{t or ''}\n".encode()) for i, t in texts]
+    got = [tuple(r) for r in workload.QUERIES["file_sha256_manifest"](spark, str(tmp_path)).collect()]
+    order = lambda r: (r[0] is None, r[0] or 0, r[2])
+    assert sorted(got, key=order) == sorted(((i, len(b), hashlib.sha256(b).hexdigest()) for i, b in wanted), key=order)
+
+
+def test_write_each_without_rows(spark, tmp_path):
+    assert files.write_each(spark.createDataFrame([], "id bigint, text string"), str(tmp_path), "id", "text") == []
+    assert files.file_manifest(spark, []).collect() == []

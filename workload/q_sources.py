@@ -341,25 +341,18 @@ def sha256_manifest(spark, sf_dir):
     )
 
 
-DOCUMENTS_A_FILE = 100
-
-
 @query(
     "file_sha256_manifest",
-    "SELECT part, CAST(sum(octet_length(encode(line))) AS BIGINT) AS length, sha256(string_agg(line, '' ORDER BY doc_id)) AS sha256 "
-    f"FROM (SELECT doc_id, doc_id // {DOCUMENTS_A_FILE} AS part, coalesce(text, '') || chr(10) AS line FROM documents) GROUP BY part",
+    "SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS length, "
+    "sha256(coalesce(text, '') || chr(10)) AS sha256 FROM documents",
 )
 def file_sha256_manifest(spark, sf_dir):
-    """Text files of a hundred documents each, and the digests of all these files."""
+    """Every document as a text file of its own, and the digests of all these files."""
     path = scratch_path(spark, "document-files")
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", F.expr(f"doc_id div {DOCUMENTS_A_FILE}").alias("part"), F.coalesce("text", F.lit("")).alias("value")
-    )
-    sorted_docs = docs.repartition("part").sortWithinPartitions("part", "doc_id")
-    sorted_docs.select("part", "value").write.partitionBy("part").text(path)
-    manifest = files.file_manifest(spark, path, "part-*")
+    folders = files.write_each(table(spark, sf_dir, "documents"), path, "doc_id", "text")
+    manifest = files.file_manifest(spark, folders, "*.txt")
     return manifest.select(
-        F.regexp_extract("path", r"/part=(\d+)/", 1).cast("bigint").alias("part"), "length", "sha256"
+        F.regexp_extract("path", r"/(-?\d+|null)-\d+\.txt$", 1).try_cast("bigint").alias("doc_id"), "length", "sha256"
     )
 
 
