@@ -131,3 +131,28 @@ def test_counterfactuals_are_all_other_names_of_a_kind():
         "muslims", "christians", "hindus", "buddhists", "atheists"
     }
     assert toxicity.counterfactuals({"women", "men"}) == [set()]
+
+
+def test_quality_is_fitted_on_all_pairs_of_all_labelled_rows(spark):
+    draw = np.random.default_rng(3)
+    x = draw.random((7000, len(quality.FEATURES))) * quality.UNITS
+    y = (x[:, 2] + 0.3 * draw.standard_normal(7000) > 0.15).astype(int)  # label 1 in more than 3000 rows
+    rows = spark.createDataFrame([(int(b), a.tolist()) for a, b in zip(x, y)], "y int, x array<double>")
+    got, again = quality.fit(rows), quality.fit(rows.repartition(5, "x"))
+    assert np.array_equal(got.weight, again.weight) and got.threshold == again.threshold
+    z = (x - x.mean(0)) / (x.std(0) + 1e-6)
+    assert np.allclose(got.mean, x.mean(0), atol=1e-6) and np.allclose(got.scale, x.std(0), atol=1e-5)
+    # The slope of the loss over all pairs, written out, vanishes.
+    lost = 1 / (1 + np.exp((z[y == 1] @ got.weight)[:, None] - (z[y == 0] @ got.weight)[None, :]))
+    slope = 1e-3 * got.weight - (lost.sum(1) @ z[y == 1] - lost.sum(0) @ z[y == 0]) / lost.size
+    assert np.abs(slope).max() < 1e-4
+    s = np.sort(got.strengths(x))
+    assert got.threshold == pytest.approx((s[(y == 0).sum() - 1] + s[(y == 0).sum()]) / 2, abs=1e-12)
+
+
+def test_ranks_are_exact_with_repeated_values(spark):
+    values = [0.0] * 30 + [1.0, 1.0, 2.5] + [float(i % 7) for i in range(500)]
+    df, inorder = spark.createDataFrame([(v,) for v in values], "s double"), sorted(values)
+    for rank in (1, 30, 31, 200, len(values) - 1):
+        assert quality.ranked(df, rank) == (inorder[rank - 1], inorder[rank])
+    assert quality.ranked(df, len(values)) == (6.0, 6.0)
