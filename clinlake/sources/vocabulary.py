@@ -25,10 +25,11 @@ def entries_of(documents: DataFrame, document: Column | str = "value") -> DataFr
 
     Categories and codes starting with ``_`` are remarks; entries whose id is not
     an integer are left out. Both levels are read as maps, so that any category
-    name is accepted.
+    name is accepted. Parsing takes far longer than reading, so the documents are
+    dealt over tasks first, however few files they are in.
     """
-    categories = F.from_json(as_column(document), "map<string,string>")
-    sections = documents.select(F.explode(categories).alias("category", "body"))
+    texts = listing.dealt(documents.select(as_column(document).alias("value")))
+    sections = texts.select(F.explode(F.from_json("value", "map<string,string>")).alias("category", "body"))
     codes = sections.where(~F.col("category").startswith("_")).select(
         "category", F.explode(F.from_json("body", "map<string,string>")).alias("code", "concept")
     )
@@ -120,7 +121,8 @@ def drift(old: DataFrame, new: DataFrame, changed_only: bool = True) -> DataFram
     keys = ["category", "source_code"]
     before = old.select(*keys, F.col("concept_id").alias("old_concept_id"))
     after = new.select(*keys, F.col("concept_id").alias("new_concept_id"))
-    joined = before.join(after, keys, "inner" if changed_only else "full_outer")
+    # Spark takes entries for as few as the bytes of the files that their documents are in.
+    joined = before.hint("merge").join(after, keys, "inner" if changed_only else "full_outer")
     kind = (
         F.when(F.col("old_concept_id").isNull(), "added")
         .when(F.col("new_concept_id").isNull(), "removed")

@@ -225,3 +225,13 @@ def test_every_document_is_a_file_with_a_digest_of_its_own(spark, tmp_path):
 def test_write_each_without_rows(spark, tmp_path):
     assert files.write_each(spark.createDataFrame([], "id bigint, text string"), str(tmp_path), "id", "text") == []
     assert files.file_manifest(spark, []).collect() == []
+
+
+def test_vocabulary_documents_of_one_task_are_parsed_by_many(spark):
+    documents = [(json.dumps({"a": {f"c{i}": i, "_r": 1}}),) for i in range(40)]
+    one = spark.createDataFrame(documents, "value string").coalesce(1)
+    entries = vocabulary.entries_of(one)
+    assert rows(entries, "concept_id") == [("a", f"c{i}", i) for i in range(40)]
+    assert entries.select(F.spark_partition_id()).distinct().count() > 1
+    drifted = vocabulary.drift(entries, entries.withColumn("concept_id", F.col("concept_id") + 1))
+    assert drifted.count() == 40 and "Broadcast" not in drifted._jdf.queryExecution().executedPlan().toString()
