@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinlake.sources.listing import dealt
 from clinlake.workspace import scratch_path
 from workload.views import VIEWS, in_spark_sql, with_views
 
@@ -42,11 +43,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived view, from the same expressions that its SQL is made of."""
+def view(spark: SparkSession, sf_dir: str, name: str, deal: bool = False) -> DataFrame:
+    """A derived view, from the same expressions that its SQL is made of.
+
+    ``deal`` deals the rows of its table over tasks first, where much is made of each of them:
+    a table of few bytes is read by few tasks.
+    """
     base, columns = VIEWS[name]
     expressions = [f"{in_spark_sql(e)} AS {c}" for c, e in columns.items()]
-    return table(spark, sf_dir, base).selectExpr(*expressions)
+    rows = table(spark, sf_dir, base)
+    return (dealt(rows) if deal else rows).selectExpr(*expressions)
 
 
 def plain(df: DataFrame) -> DataFrame:
