@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from clinlake.operators import audits, checks, commits, ledger, sequence
 from clinlake.plans import audit_job
+from clinlake.sinks import tables
 from clinlake.sources import commitlog
 from tests.conftest import TESTDATA, rows
+from workload import q_audit
 
 COLUMNS = [
     "person_id", "gender_concept_id", "year_of_birth", "birth_datetime", "race_concept_id", "ethnicity_concept_id",
@@ -403,3 +405,18 @@ def test_reports_are_canonical_json(spark):
     score = f'"compliance_score":{found["compliance_score"]:.2f}'
     assert found["report_json"] == text.replace(f'"compliance_score":{document["compliance_score"]}', score)
     assert found["receipt_sha256"] == hashlib.sha256(found["report_json"].encode()).hexdigest()
+
+
+def test_reports_are_packed_and_come_back_whole(spark, tmp_path):
+    told = spark.range(500).selectExpr(f"'{NOW}' AS audit_timestamp", "concat('{\"id\":\"', id, '\"', repeat(',\"a\":0', 200), '}') AS report_json")
+    tables.write_reports(told, str(tmp_path))
+    written = list((tmp_path / "audit_date=2024-06-01").glob("part-*"))
+    assert all(f.name.endswith(".gz") for f in written)
+    texts = [r["report_json"] for r in told.collect()]
+    assert sum(f.stat().st_size for f in written) < sum(map(len, texts)) / 10
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path)).collect()) == sorted(texts)
+
+
+def test_log_lines_and_reports_of_a_small_file_are_made_by_many_tasks(spark):
+    for made in (q_audit.log_lines(spark, f"{TESTDATA}/sf0.001"), q_audit.run_reports(spark, f"{TESTDATA}/sf0.001")):
+        assert made.select(F.spark_partition_id()).distinct().count() > 1
