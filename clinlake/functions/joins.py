@@ -44,13 +44,15 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, tracked: int = T
 
 
 def left_join_split(
-    df: DataFrame, single: DataFrame, key: str, hot_rows: int = HOT_ROWS, counted: DataFrame | None = None
+    df: DataFrame, single: DataFrame, key: str, hot_rows: int = HOT_ROWS, counted: DataFrame | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """``df`` left-joined on ``key`` with ``single``, which has one row per key.
 
     Hot keys come from a sketch: their rows are dealt over as many parts as their count
     asks for, and only their rows of ``single`` are copied as often. Rows without a key are
-    dealt over many parts. ``counted`` may name a cheaper table with the same keys to count.
+    dealt over many parts. ``counted`` may name a cheaper table with the same keys to count,
+    ``parts`` the number of tasks that join.
     """
     long = lambda n: F.lit(n).cast("bigint")
     hot = hot_keys(df if counted is None else counted, key, hot_rows)
@@ -69,4 +71,6 @@ def left_join_split(
     salted = sides.withColumn(
         "_part", F.pmod(place, F.when(F.col(key).isNull(), long(NULL_PARTS)).otherwise(width))
     ).drop("_width")
+    if parts is not None:
+        salted, copies = (side.repartition(parts, key, "_part") for side in (salted, copies))
     return salted.join(copies, [key, "_part"], "left").drop("_part")

@@ -82,8 +82,12 @@ def source_is_small(source: DataFrame, keys: Sequence[str], size: int = BROADCAS
     return size_at_most(source.select(*keys), size)
 
 
+#: Rows that a task of a snapshot difference gets, about; packed for a shuffle they may be so small that bytes say little.
+ROWS_A_PART = 1_000_000
+
+
 def snapshot_diff(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+    old: DataFrame, new: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, part_rows: int = ROWS_A_PART
 ) -> DataFrame:
     """Rows that differ between two snapshots, with ``change_type``.
 
@@ -96,10 +100,14 @@ def snapshot_diff(
     """
     columns = old.columns
     both = old.withColumn("_n", F.lit(-1)).unionByName(new.withColumn("_n", F.lit(1)))
-    changed = both.groupBy(*columns).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)
+    # So many parts that a task holds about as many rows at every size; a given number is not put together again.
+    spark = old.sparkSession
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    parts = max(least, -(-both.count() // part_rows))
+    changed = both.repartition(parts, *[F.col(f"`{c}`") for c in columns]).groupBy(*columns).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)
     keyed = changed.withColumn("_key", F.struct(*[F.col(f"`{k}`") for k in keys]))  # never NULL, whatever the keys are
     sides = keyed.groupBy("_key").agg(F.min("_n").alias("_least"), F.max("_n").alias("_most"))
-    marked = left_join_split(keyed, sides, "_key", hot_rows)
+    marked = left_join_split(keyed, sides, "_key", hot_rows, parts=parts)
     removed = F.col("_n") < 0
     in_both = (F.col("_least") < 0) & (F.col("_most") > 0)
     kind = (

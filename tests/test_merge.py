@@ -140,3 +140,11 @@ def test_gaps_and_setbacks_per_table(spark):
 def test_repeated_numbers_are_not_continuous(spark):
     df = spark.createDataFrame([("a", 0), ("a", 0), ("a", 2)], "t string, n bigint")
     assert not sequence.continuity(df, ["t"], "n").first()["is_continuous"]
+
+
+def test_snapshot_diff_tasks_hold_about_as_many_rows_at_every_size(spark):
+    for n in (2000, 8000):
+        old = spark.range(n).selectExpr("id % 700 AS k", "id AS v")
+        found = merge.snapshot_diff(old, old.selectExpr("k", "v + 1000000 AS v"), ["k"], hot_rows=100, part_rows=200)
+        per_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 2 * n and max(per_task) < 1500
