@@ -5,7 +5,8 @@ blocks. The mix is a row of slots dealt over output shards. A shard's slots are
 split over the sources by a multinomial draw; the chances follow what is left of
 each source's target, so the draws add up to the targets exactly. The j-th slot
 of a source takes block permutation(j mod blocks), with another keyed permutation
-for every pass over the source, and slots meet blocks in a join on the index.
+for every pass over the source, and slots meet blocks in a join on the index. Texts
+take no part in this: each is shuffled once, to what the mix takes of it.
 """
 
 from __future__ import annotations
@@ -121,6 +122,11 @@ def _words() -> F.Column:
     return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
 
 
+def _text_key() -> F.Column:
+    """A key that only rows of equal id and text share (a NULL id counts as empty); NULL for a NULL text."""
+    return F.concat(F.md5(F.col("text").cast("binary")), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+
+
 class Mixture:
     """The mix of a table (doc_id, text, source) and what it takes from every document.
 
@@ -136,9 +142,8 @@ class Mixture:
     ):
         spark = docs.sparkSession
         self.block_words = block_words
-        sized = docs.select("doc_id", "source", _words().alias("size"), *(["text"] if keep_text else []))
-        if not keep_text:
-            sized = saved(spark, sized, "sizes")
+        keyed = [_text_key().alias("text_key")] if keep_text else []
+        sized = saved(spark, docs.select("doc_id", "source", _words().alias("size"), *keyed), "sizes")
         found = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
         found = sorted(found, key=lambda r: (r["source"] is None, r["source"] or ""))
         self.sizes = [r["size"] for r in found]
@@ -161,7 +166,7 @@ class Mixture:
         base = per_chunk.select(
             F.col("nth").alias("n2"), F.col("chunk").alias("c2"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base")
         )
-        inside = Window.partitionBy("nth", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        inside = Window.partitionBy("nth", "chunk").orderBy("doc_id", "size", *(["text_key"] if keep_text else [])).rowsBetween(Window.unboundedPreceding, -1)
         self.docs = (
             placed.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
             .join(base, (F.col("nth") == F.col("n2")) & (F.col("chunk") == F.col("c2")))
@@ -169,7 +174,7 @@ class Mixture:
             .drop("n2", "c2", "base", "within", "chunk")
         )
         self.slots = slot_table(spark, self.blocks, slots, shard_slots, seed)
-        self.keep_text = keep_text
+        self.texts = docs.select(_text_key().alias("text_key"), "text").where("text_key IS NOT NULL") if keep_text else None
 
     def pieces(self) -> DataFrame:
         """(shard, slot, nth, source, block, doc_id, start, from_word, words): the mix, piece by piece.
@@ -178,24 +183,30 @@ class Mixture:
         its source. With keep_text the piece's own words follow as ``text``, one blank apart.
         """
         size = F.lit(self.block_words).cast("long")
-        words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0)) if self.keep_text else F.array().cast("array<string>")
         through = F.expr(f"sequence(start div {self.block_words}, (start + size - 1) div {self.block_words})")
+        first = F.greatest(F.col("block") * size - F.col("start"), F.lit(0).cast("long"))
+        last = F.least((F.col("block") + 1) * size - F.col("start"), F.col("size"))
+        cut = self.docs.where("size > 0").withColumn("block", F.explode(through)).withColumn("from_word", first).withColumn("words", last - first)
+        # Spark takes the slots for as small as the plan that they are drawn from; both sides grow with the corpus.
+        mix = self.slots.hint("merge").join(cut.drop("size", "source_size", "target"), ["nth", "block"])
+        columns = ["shard", "slot", "nth", "source", "block", "doc_id", "start", "from_word", "words"]
+        return mix.select(columns) if self.texts is None else self._with_text(mix).select(*columns, "text")
+
+    def _with_text(self, mix: DataFrame) -> DataFrame:
+        """Pieces with their own words: a document's pieces are put together before they meet its text."""
+        taken = F.collect_list(F.struct("shard", "slot", "block", "from_word", "words")).alias("taken")
+        own = mix.repartition("text_key").groupBy("text_key", "nth", "source", "doc_id", "start").agg(taken)
+        # A text is split into words once, as the one element of an array, and all its pieces are slices of that.
+        words = F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
 
-        def cut_of(w, block):
-            first = F.greatest(block * size - F.col("start"), F.lit(0).cast("long"))
-            n = F.least((block + 1) * size - F.col("start"), F.col("size")) - first
-            text = [F.array_join(F.slice(w, (first + 1).cast("int"), n.cast("int")), " ").alias("text")] if self.keep_text else []
-            return F.struct(block.alias("block"), first.alias("from_word"), n.alias("words"), *text)
+        def cut_of(w, p):
+            text = F.array_join(F.slice(w, (p["from_word"] + 1).cast("int"), p["words"].cast("int")), " ")
+            return F.struct(*[p[c].alias(c) for c in ("shard", "slot", "block", "from_word", "words")], text.alias("text"))
 
-        # A text is split into words once, as the one element of an array, and all its pieces are slices of that.
-        pieces = F.transform(F.array(words), lambda w: F.transform(through, lambda block: cut_of(w, block)))[0]
-        own = self.docs.where("size > 0").select("nth", "source", "doc_id", "start", F.explode(pieces).alias("p"))
-        cut = own.select("nth", "source", "doc_id", "start", "p.*")
-        # Spark takes the slots for as small as the plan that they are drawn from; both sides grow with the corpus.
-        return self.slots.hint("merge").join(cut, ["nth", "block"]).select(
-            "shard", "slot", "nth", "source", "block", "doc_id", "start", "from_word", "words",
-            *(["text"] if self.keep_text else []),
-        )
+        pieces = F.transform(words, lambda w: F.transform("taken", lambda p: cut_of(w, p)))[0]
+        # Rows that repeat a text have places of their own, but the same words.
+        met = self.texts.dropDuplicates(["text_key"]).join(own.hint("merge"), "text_key")
+        return met.select("nth", "source", "doc_id", "start", F.explode(pieces).alias("p")).select("nth", "source", "doc_id", "start", "p.*")
 
     def taken(self) -> DataFrame:
         """(doc_id, size, source_size, target, taken): the words that the mix takes of every document."""

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import time
 
 import numpy as np
@@ -68,6 +69,27 @@ def test_pieces_are_the_words_of_the_documents(spark):
     assert all(len(s) == 32 for shard, s in per_shard.items() if shard < max(per_shard))
 
 
+def test_a_text_is_shuffled_once_and_repeated_rows_keep_places_of_their_own(spark):
+    same = " ".join(f"s{k}" for k in range(40))
+    rows = corpus(60) + [(None, same, "en", "a")] * 3 + [(107, same, "en", "a"), (107, same, "en", "b"), (107, "x y z", "en", "a"), (108, "z y x", "en", "a"), (108, "x y z", "en", "a")]
+    mix = Mixture(spark.createDataFrame(rows, SCHEMA), block_words=16, shard_slots=32, keep_text=True)
+    pieces = mix.pieces()
+    plan = pieces._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moved = [part for part in plan.split("\n\n") if " Exchange\n" in part and re.search(r"\b(text|first)#\d+[,\]]", part)]
+    assert len(moved) == 1, moved
+    found, again = ([tuple(p) for p in m.pieces().collect()] for m in (mix, Mixture(spark.createDataFrame(rows[::-1], SCHEMA), block_words=16, shard_slots=32, keep_text=True)))
+    assert sorted(found, key=repr) == sorted(again, key=repr)
+    texts = {}
+    for r in rows:
+        texts.setdefault((r[0], r[3]), set()).add(r[1])
+    places = {}
+    for p in mix.pieces().collect():
+        cuts = {tuple(t.split()[p["from_word"] : p["from_word"] + p["words"]]) for t in texts[p["doc_id"], p["source"]]}
+        assert tuple(p["text"].split(" ")) in cuts
+        places.setdefault((p["doc_id"], p["source"]), set()).add(p["start"])
+    assert len(places[None, "a"]) == 3 and len(places[107, "a"]) == 2 and len(places[108, "a"]) == 2
+
+
 def test_pieces_keep_letters_and_trim_form_feeds_at_the_edges(spark):
     texts = {1: "f foo of", 2: "\x0cabc", 3: "for the end of", 4: "fff f\x0c"}
     rows = [(i, t, "en", "a") for i, t in texts.items()]
