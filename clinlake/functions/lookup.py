@@ -14,6 +14,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clinlake.functions.joins import HOT_ROWS, left_join_split
 from clinlake.functions.parsing import as_column, normalise, normalise_dotless
@@ -88,11 +89,19 @@ def normalised_concept_of(
     return concept_of(normalise(code), upper_keys(mapping), default)
 
 
+# Bytes of the longest usual text of types whose texts are bounded: no value of theirs is turned into text to be measured.
+FIXED_WIDTHS = {
+    T.BooleanType: 5, T.ByteType: 4, T.ShortType: 6, T.IntegerType: 11, T.LongType: 20, T.FloatType: 15,
+    T.DoubleType: 24, T.DateType: 10, T.TimestampType: 26, T.TimestampNTZType: 26,
+}
+
+
 def row_bytes(df: DataFrame) -> Column:
-    """Bytes of a row: the text of its values and 16."""
-    width = F.lit(16)
-    for name in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
+    """Bytes of a row: 16, the longest text of its numbers and instants, and the text of all other values."""
+    width = F.lit(16 + sum(FIXED_WIDTHS.get(type(f.dataType), 0) for f in df.schema.fields))
+    for f in df.schema.fields:
+        if type(f.dataType) not in FIXED_WIDTHS:
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
     return width.cast("bigint")
 
 

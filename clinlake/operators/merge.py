@@ -57,7 +57,8 @@ def upsert(
     if extra and not merge_schema:
         raise ValueError(f"source has columns the target does not have: {extra}")
     changed = dedup_keys(source, keys, latest_by)
-    changed_keys = changed.select(*keys).alias("s")
+    # The keys are those of the source as it is: nothing has to be ranked to know them.
+    changed_keys = source.select(*keys).distinct().alias("s")
     if small_source:
         changed_keys = F.broadcast(changed_keys)
     untouched = target.alias("t").join(changed_keys, _same_keys(keys, null_safe), "left_anti")

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from clinlake.functions.lookup import row_bytes, text_bytes
 from clinlake.operators import merge, sequence
 from tests.conftest import TESTDATA, rows
 
@@ -42,6 +43,17 @@ def test_upsert_replaces_inserts_and_keeps(spark):
     assert plain.where("k IS NULL").count() == 2
 
 
+def test_an_upsert_ranks_its_source_once_and_measures_no_numbers(spark):
+    target, source = frame(spark, (1, "old", 1), (None, "old", 1)), frame(spark, (1, "new", 1), (1, "newer", 2), (None, "new", 1), (3, None, None))
+    merged = merge.upsert(target, source, ["k"], ["n"])
+    assert rows(merged) == [(None, "new", 1), (1, "newer", 2), (3, None, None)]
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    typed = source.select("k", "n", F.current_timestamp().alias("t"), F.lit(1.5).alias("d"), F.current_date().alias("on"))
+    measured = typed.agg(F.sum(row_bytes(typed)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "as string" not in measured
+    assert text_bytes(frame(spark, (1, "abc", None))) >= 16 + 1 + 3  # no less than the text
+
+
 def test_upsert_schemas(spark):
     target, wide = frame(spark, (1, "a", 1)), frame(spark, (1, "b", 2)).withColumn("w", F.lit("x"))
     with pytest.raises(ValueError):
